@@ -1,9 +1,11 @@
 """Queries of this folder, and DuckDB SQL where it can express them."""
 
+from .jaccard_join import op1_jaccard_join
 from .packing import op9_best_fit_packing
 from .sharding import op8_sharding
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op8_sharding": op8_sharding,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
