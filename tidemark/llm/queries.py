@@ -3,9 +3,11 @@
 from .jaccard_join import op1_jaccard_join
 from .packing import op9_best_fit_packing
 from .sharding import op8_sharding
+from .suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
