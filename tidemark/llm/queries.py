@@ -1,5 +1,6 @@
 """Queries of this folder, and DuckDB SQL where it can express them."""
 
+from .hidden_markov import op2_hidden_markov
 from .jaccard_join import op1_jaccard_join
 from .license_scan import op5_license_scan
 from .media_columns import op10_media_columns
@@ -9,6 +10,7 @@ from .suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_hidden_markov": op2_hidden_markov,
     "op5_license_scan": op5_license_scan,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
