@@ -29,7 +29,7 @@ from .textkit import SPACE, buffers, chunks, documents, find_words, gram_hashes,
 
 BUCKETS = 1 << 16
 TRUSTED = 50_000
-THRESHOLD = -0.35
+THRESHOLD = -0.2
 REPEAT_WINDOW = 8
 
 _SYMBOL = np.zeros(256, dtype=bool)
