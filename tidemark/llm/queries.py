@@ -5,6 +5,7 @@ from .jaccard_join import op1_jaccard_join
 from .license_scan import op5_license_scan
 from .media_columns import op10_media_columns
 from .packing import op9_best_fit_packing
+from .piece_transducer import op6_piece_transducer
 from .quality_rules import op3_quality_rules
 from .sharding import op8_sharding
 from .suffix_dedup import op7_suffix_dedup
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_hidden_markov": op2_hidden_markov,
     "op3_quality_rules": op3_quality_rules,
     "op5_license_scan": op5_license_scan,
+    "op6_piece_transducer": op6_piece_transducer,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_best_fit_packing": op9_best_fit_packing,
