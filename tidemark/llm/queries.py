@@ -1,5 +1,6 @@
 """Queries of this folder, and DuckDB SQL where it can express them."""
 
+from .cotraining import op4_cotraining
 from .hidden_markov import op2_hidden_markov
 from .jaccard_join import op1_jaccard_join
 from .license_scan import op5_license_scan
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_hidden_markov": op2_hidden_markov,
     "op3_quality_rules": op3_quality_rules,
+    "op4_cotraining": op4_cotraining,
     "op5_license_scan": op5_license_scan,
     "op6_piece_transducer": op6_piece_transducer,
     "op7_suffix_dedup": op7_suffix_dedup,
