@@ -22,7 +22,8 @@ packed as documents of their own. Extra columns are ignored.
 
 from __future__ import annotations
 
-import re
+import functools
+import json
 import zlib
 from bisect import bisect_right
 
@@ -35,44 +36,53 @@ from .textkit import cut, documents, narrow
 
 CAPACITY = 1024
 END_ID = 2
-CACHE_UNITS = 400_000
 NODE_BUDGET = 4000
 
-_BLANKS = re.compile(r" \s|\s $")
 
+class RankEncoder:
+    """Ids of texts as little-endian 32-bit bytes, for a byte-level vocabulary file of `tokenizers`.
 
-class CachedEncoder:
-    """Ids of texts as little-endian 32-bit bytes, by the `tokenizers` library.
-
-    A space that a non-space follows always begins a new pre-token of a byte-level vocabulary, so
-    a text can be cut there and equal units be encoded once. Texts with runs of blanks, where this
-    does not hold, are encoded whole. The cache is emptied when it holds CACHE_UNITS units.
+    In such a file a merged piece's id grows with the rank of its merge, so the ids are the ranks
+    of a byte-pair encoder, and `tiktoken`'s merge loop over them gives the very ids that the
+    `tokenizers` library gives, at a fifth of its time (the tests hold one against the other).
+    Special tokens' strings in a text are ordinary text. Any other kind of file is encoded by
+    `tokenizers` itself.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        plain = spec["model"].get("type", "BPE") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer")
+        self.encoding = self._ranks(spec) if plain else None
+        if self.encoding is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
+
+    @staticmethod
+    def _ranks(spec: dict):
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(byte_of[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if self.encoding is not None:
+            return [np.asarray(self.encoding.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
+        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def direct(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 2000):
-            for e in self.tokenizer.encode_batch_fast(texts[i : i + 2000], add_special_tokens=False):
-                out.append(np.asarray(e.ids, dtype="<u4").tobytes())
-        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [_BLANKS.search(t) is None and len(t) < 2_000_000 for t in texts]
-        units = [t.replace(" ", "\x00 ").split("\x00") if ok and "\x00" not in t else None for t, ok in zip(texts, plain)]
-        if len(self.cache) > CACHE_UNITS:
-            self.cache = {}
-        cache = self.cache
-        missing = list({u for us in units if us is not None for u in us if u not in cache})
-        cache.update(zip(missing, self.direct(missing)))
-        whole = iter(self.direct([t for t, us in zip(texts, units) if us is None]))
-        return [next(whole) if us is None else b"".join([cache[u] for u in us]) for us in units]
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> RankEncoder:
+    """One encoder a Python worker, kept over its tasks."""
+    return RankEncoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,10 +91,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def tokenise(batches):
-        encoder = CachedEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 out = [], [], [], [], []
                 for i, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
