@@ -40,6 +40,7 @@ PER_ROUND = 200
 CONFIDENT = 0.95
 THRESHOLD = 0.5
 MIN_TEXTS = 4
+CERTAIN = 12.0
 HEADS = ("junk", "toxic")
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -104,7 +105,7 @@ def batch_views(batch: pa.RecordBatch, at: dict[str, int]):
         yield (start, end, *read_views(part, where, other["lang"][start:end], other["source"][start:end], other["n_chars"][start:end]))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 250) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 250) -> np.ndarray:
     """Weights (bias last) by accelerated gradient steps."""
     x = np.column_stack([x, np.ones(len(x))]).astype(np.float32)
     penalty = np.full(x.shape[1], ridge, dtype=np.float32)
@@ -136,7 +137,7 @@ def chi_square(words: list[np.ndarray], y: np.ndarray, top: int) -> np.ndarray:
     spread = expected * (1 - positive / total) * (1 - seen / total)
     score = np.where((seen >= MIN_TEXTS) & (seen < total), (a - expected) ** 2 / np.maximum(spread, 1e-9), 0.0)
     best = np.lexsort((values, -score))[:top]
-    return values[best[score[best] > 4.0]]
+    return values[best[score[best] > CERTAIN]]
 
 
 class Views:
@@ -201,7 +202,7 @@ class Training:
             for view, x in (("content", self.content), ("metadata", self.meta)):
                 y = self.y[~self.held, k]
                 more, answers = self.handed.get((head, view), ([], []))
-                rows = np.concatenate([x[~self.held], np.asarray(more, dtype=x.dtype).reshape(-1, x.shape[1])])
+                rows = np.concatenate([x[~self.held], np.asarray(more, dtype=x.dtype).reshape(len(more), x.shape[1])])
                 target = np.concatenate([y, np.asarray(answers, dtype=np.float64)])
                 if 0 < y.sum() < len(y):
                     self.views.weights[head, view] = fit_logistic(rows, target)

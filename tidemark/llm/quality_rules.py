@@ -5,7 +5,7 @@ them over the whole corpus and over trusted texts (all that are named, or the TR
 the smallest hash of their id, if there are more: the sample is of labelled rows and bounded).
 A bucket's weight is
 
-    log((trusted count + 1) / (expected trusted count + 1))
+    log((trusted count + PRIOR) / (expected trusted count + PRIOR))
 
 with the count expected from the corpus, which leaves buckets that neither side knows near 0. A
 text's score is the mean weight of its n-grams; texts at or above THRESHOLD are kept unless a page
@@ -29,6 +29,7 @@ from .textkit import SPACE, buffers, chunks, documents, find_words, gram_hashes,
 
 BUCKETS = 1 << 16
 TRUSTED = 50_000
+PRIOR = 5.0
 THRESHOLD = -0.2
 REPEAT_WINDOW = 8
 
@@ -134,7 +135,7 @@ def ratio_weights(rows: DataFrame, trusted: list, buckets: int = BUCKETS) -> np.
     at = counts.column("bucket").to_numpy()
     raw[at], good[at] = counts.column("raw").to_numpy(), counts.column("good").to_numpy()
     expected = raw * (good.sum() / max(raw.sum(), 1.0))
-    return np.log((good + 1.0) / (expected + 1.0)) if good.sum() else np.zeros(buckets)
+    return np.log((good + PRIOR) / (expected + PRIOR)) if good.sum() else np.zeros(buckets)
 
 
 FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
