@@ -64,6 +64,7 @@ def test_long_lists_and_hot_tiles_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(J, "LOCAL_REPEATS", 2)
     rows = near_rows(2, 12, 40)
     assert run(spark, rows, hot=7, small=3) == brute(rows)
+    assert run(spark, rows, hot=7, small=3, group_grams=300) == brute(rows)
 
 
 def test_repeated_rows_extra_columns_and_empty_table(spark):

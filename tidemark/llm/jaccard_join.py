@@ -7,18 +7,23 @@ same set are one entity (64-bit sum signature and set size), so copies are never
    linked sets share an n-gram among the first n - ceil(t n) + 1 of each (the prefix), so an
    inverted index over prefixes loses no link. The order's table of frequent n-grams has a fixed
    size (FREQUENT); it decides how many candidates arise, never which links are found. Entries
-   travel as packed arrays per bucket of n-grams. An n-gram with more than HOT holders is dealt out as tiles: by
-   size band (two linked sizes lie in one band or in neighbours), then by pairs of salts.
+   travel as packed arrays per bucket of n-grams. An n-gram with more than HOT holders is dealt out
+   as tiles: by size band (two linked sizes lie in one band or in neighbours), then by pairs of
+   salts.
 2. In a bucket, holders of an n-gram stand sorted by size. Up to SMALL of them give all pairs of
-   compatible size; longer lists give a star around one pivot per size range, and the list itself
-   is kept for step 4.
+   compatible size; longer lists are kept as lists.
 3. Each pair first meets as bitmaps of hashed n-grams (width by size, two widths folded to the
    smaller). Bits set on one side only are elements that the other lacks, so bit counts bound the
-   overlap from above; survivors are settled by intersecting the sorted arrays.
-4. Links form components. Long lists whose holders already lie in one component need no more
-   pairs; in the others the pairs between different components pass the same two tests. Pairs
+   overlap from above. A long list is one tile: the pairs that the bound leaves there are spanned
+   by a forest, of which alone the edges go on. Pairs and forests split the entities into candidate
+   groups: no link leaves one.
+4. A candidate group of up to GROUP_GRAMS n-grams is one task's tile: its texts come together,
+   pairs are settled by intersecting the sorted arrays, and where a long list took part all pairs
+   of compatible size between different components pass the bound and the intersection too. Pairs
    inside a component could not change it.
-5. Components by alternating stars; a document's component is the smallest id in it.
+5. Larger candidate groups go by joins: pairs meet the arrays of both sides, components form, and
+   the long lists that still span several components give their pairs, block by block of a list.
+   A document's component is the smallest id in it.
 
 Null and empty texts: empty set, linked with nothing. Fewer words than n: the whole sequence is
 one n-gram. Repeated rows come back as often as they came. Empty table: no rows. Extra columns are
@@ -45,6 +50,7 @@ SMALL = 16
 HOT = 50_000
 BUCKET_ENTRIES = 1_500_000
 FLUSH_ENTRIES = 1_000_000
+GROUP_GRAMS = 4_000_000
 
 
 def document_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -110,8 +116,11 @@ def overlap_bound(a: np.ndarray, na: int, b: np.ndarray, nb: int) -> int:
     return min(na - int(np.bitwise_count(a & ~b).sum()), nb - int(np.bitwise_count(b & ~a).sum()))
 
 
+SCAN = ["kind", "id", "n", "s", "bits"]
+
+
 def scan_sets(docs: DataFrame, words: int) -> DataFrame:
-    """Kind 0: id, size and signature of each row. Kind 1: n-grams repeated within one run of texts."""
+    """Kind 0: id, size, signature and bitmap of each row. Kind 1: n-grams repeated within one run of texts."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -123,11 +132,12 @@ def scan_sets(docs: DataFrame, words: int) -> DataFrame:
             return values[often], counts[often]
 
         for batch in batches:
-            ids, n, s = batch.column(0), [], []
+            ids, n, s, bits = batch.column(0), [], [], []
             for _, sets in batch_sets(batch.column(1), words):
                 for grams in sets:
                     n.append(len(grams))
                     s.append(signature(grams) if len(grams) else 0)
+                    bits.append(bitmap(grams).tobytes() if len(grams) else None)
                     if len(grams) and (s[-1], n[-1]) not in seen:
                         seen.add((s[-1], n[-1]))
                         held.append(grams)
@@ -135,14 +145,14 @@ def scan_sets(docs: DataFrame, words: int) -> DataFrame:
                 if size >= 2 * FLUSH_ENTRIES:
                     yield pair_rows(ids.type, *repeated())
                     held, size, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids, pa.array(n, pa.int64()), pa.array(s, pa.int64())], names=["kind", "id", "n", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids, pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(bits, pa.binary())], names=SCAN)
         if held:
             yield pair_rows(ids.type, *repeated())
 
     def pair_rows(id_kind, values, counts):
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), id_kind), pa.array(counts.astype(np.int64)), pa.array(values.view(np.int64))], names=["kind", "id", "n", "s"])
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), id_kind), pa.array(counts.astype(np.int64)), pa.array(values.view(np.int64)), pa.nulls(len(values), pa.binary())], names=SCAN)
 
-    return docs.mapInArrow(run, f"kind int, id {id_type}, n long, s long")
+    return docs.mapInArrow(run, f"kind int, id {id_type}, n long, s long, bits binary")
 
 
 def frequent_grams(scanned: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -274,12 +284,6 @@ def bucket_candidates(similarity, small: int = SMALL):
             who = np.stack([s[a : a + m], n[a : a + m]], axis=1)
             list_id = int((mix(who[:, 0].view(np.uint64)) + mix(who[:, 1].view(np.uint64) + np.uint64(77))).sum(dtype=np.uint64).view(np.int64))
             lists[list_id] = who.tobytes()
-            at = a
-            while at < a + m:
-                end = a + int(np.searchsorted(n[a : a + m], hi * n[at] // lo, side="right"))
-                right.append(np.arange(at + 1, end))
-                left.append(np.full(end - at - 1, at))
-                at = end
         i, j = np.concatenate([*left, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*right, np.zeros(0, np.int64)]).astype(np.int64)
         pairs = np.unique(np.stack([s[i], n[i], s[j], n[j]], axis=1), axis=0) if len(i) else np.zeros((0, 4), np.int64)
         p, q = len(pairs), len(lists)
@@ -290,6 +294,18 @@ def bucket_candidates(similarity, small: int = SMALL):
     return run, "kind int, sa long, na long, sb long, nb long, list_id long, members binary"
 
 
+def long_lists(found: DataFrame) -> DataFrame:
+    """list_id, s, n: the holders of each distinct long list."""
+
+    def unpack(batches):
+        for batch in batches:
+            for list_id, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                who = np.frombuffer(blob, dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), list_id)), pa.array(who[:, 0]), pa.array(who[:, 1])], names=["list_id", "s", "n"])
+
+    return found.where("kind = 1").select("list_id", "members").dropDuplicates(["list_id"]).mapInArrow(unpack, "list_id long, s long, n long")
+
+
 def entity_arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """rep, n, bits, grams of the entities in `wanted` (rep, s, n), from the texts of their representatives."""
 
@@ -327,55 +343,179 @@ def surviving(pairs: DataFrame, column: str, test) -> DataFrame:
     return pairs.select("a", "b", f"{column}_a", "n_a", f"{column}_b", "n_b").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def with_sides(pairs: DataFrame, entities: DataFrame, column: str) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(entities.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}")), side)
+    return pairs
+
+
+def bounded(pairs: DataFrame, entities: DataFrame, similarity) -> DataFrame:
+    """The pairs (a, b) that the bitmap bound lets through."""
+    return surviving(with_sides(pairs.select("a", "b"), entities, "bits"), "bits", lambda a, na, b, nb: enough(overlap_bound(a, na, b, nb), na, nb, similarity))
+
+
+def linked(a: np.ndarray, b: np.ndarray, similarity) -> bool:
+    return bool(enough(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), similarity))
+
+
 def verified(pairs: DataFrame, entities: DataFrame, similarity) -> DataFrame:
-    """The pairs (a, b) that are links: bitmap bound, then exact intersection."""
+    """The pairs (a, b) whose sorted arrays make a link."""
+    return surviving(with_sides(pairs.select("a", "b"), entities, "grams"), "grams", lambda a, na, b, nb: linked(a, b, similarity))
+
+
+def settle_group(ids: list, sets: list[np.ndarray], partners: list, star: bool, similarity) -> np.ndarray:
+    """Component number of each entity of one candidate group."""
+    order = sorted(range(len(ids)), key=lambda i: len(sets[i]))
+    place = {ids[i]: k for k, i in enumerate(order)}
+    sets = [sets[i] for i in order]
+    label = np.arange(len(ids))
+
+    def meet(i, j):
+        if label[i] != label[j] and linked(sets[i], sets[j], similarity):
+            label[label == label[j]] = label[i]
+
+    for k, i in enumerate(order):
+        for other in partners[i] or ():
+            meet(k, place[other])
+    if star and (label != label[0]).any():
+        tile = Tile(np.asarray([len(x) for x in sets]), [bitmap(x) for x in sets], similarity)
+        for i in range(len(sets)):
+            for k in tile.later(i, label).tolist():
+                meet(i, k)
+    out = np.empty(len(ids), dtype=np.int64)
+    out[order] = label
+    return out
 
-    def with_sides(p: DataFrame, column: str) -> DataFrame:
-        for side in ("a", "b"):
-            p = p.join(entities.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}")), side)
-        return p
 
-    def bounded(a, na, b, nb):
-        return enough(overlap_bound(a, na, b, nb), na, nb, similarity)
+def settle_groups(docs: DataFrame, members: DataFrame, words: int, similarity) -> DataFrame:
+    """node, component of the entities of candidate groups of bounded size."""
+    id_type = docs.schema["id"].dataType.simpleString()
 
-    def exact(a, na, b, nb):
-        return enough(len(np.intersect1d(a, b, assume_unique=True)), na, nb, similarity)
+    def run(batches):
+        held: list[tuple] = []
+
+        def settled(rows):
+            ids, sets, partners, star = [], [], [], False
+            for _, rep, grams, others, starred in rows:
+                star = star or starred
+                if rep not in ids[-1:]:  # rows of one id and text
+                    ids.append(rep)
+                    sets.append(grams)
+                    partners.append(others)
+            label = settle_group(ids, sets, partners, star, similarity)
+            lowest: dict[int, object] = {}
+            for k, i in zip(label.tolist(), ids):
+                lowest[k] = min(lowest.get(k, i), i)
+            return [(i, lowest[k]) for k, i in zip(label.tolist(), ids)]
+
+        def packed(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], names=["node", "component"])
+
+        kind = None
+        for batch in batches:
+            kind = batch.column(1).type
+            candidate, rep, s, n, others, star = (batch.column(c).to_pylist() for c in (0, 1, 3, 4, 5, 6))
+            out = []
+            for first, sets in batch_sets(batch.column(2), words):
+                for k, grams in enumerate(sets, first):
+                    if len(grams) != n[k] or signature(grams) != s[k]:
+                        continue  # another text under the same id
+                    if held and held[0][0] != candidate[k]:
+                        out += settled(held)
+                        held = []
+                    held.append((candidate[k], rep[k], grams, others[k], star[k]))
+            if out:
+                yield packed(out)
+        if held:
+            yield packed(settled(held))
 
-    near = surviving(with_sides(pairs, "bits"), "bits", bounded)
-    return surviving(with_sides(near, "grams"), "grams", exact)
+    texts = docs.join(members, docs["id"] == members["rep"]).select("candidate", "rep", "text", "s", "n", "partners", "star")
+    dealt = texts.repartition("candidate").sortWithinPartitions("candidate", "rep")
+    return dealt.mapInArrow(run, f"node {id_type}, component {id_type}")
 
 
-def list_pairs(similarity):
-    """Function of one long list: pairs of different components that sizes and bitmaps let through."""
+def settle_by_joins(docs: DataFrame, near: DataFrame, members: DataFrame, listed: DataFrame, described: DataFrame, words: int, similarity) -> DataFrame:
+    """node, component of the entities of candidate groups of any size."""
+    id_type = docs.schema["id"].dataType.simpleString()
+    entities, path = store(entity_arrays(docs, members.select("rep", "s", "n"), words))
+    pairs = near.select("a", "b").join(members.select(F.col("rep").alias("a")), "a", "left_semi").distinct()
+    links = cut(verified(pairs, entities, similarity))
+    grouped = components(links)
+
+    listed = listed.join(members.select("rep"), "rep", "left_semi")
+    labelled = listed.join(grouped, listed["rep"] == grouped["node"], "left").select("list_id", "rep", F.coalesce("component", "rep").alias("component"))
+    split = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list_id")
+    open_lists = labelled.join(split, "list_id").join(described.select("rep", "n", "bits"), "rep").select("list_id", "rep", "n", "component", "bits")
+    more = cut(open_lists.groupBy("list_id").applyInArrow(list_pairs(similarity), f"a {id_type}, b {id_type}").distinct())
+    links = cut(links.union(verified(more, entities, similarity)))
+    drop(docs.sparkSession, path)
+    grouped = components(links)
+    return members.join(grouped, members["rep"] == grouped["node"], "left").select(F.col("rep").alias("node"), F.coalesce("component", "rep").alias("component"))
+
+
+class Tile:
+    """Entities of one list by size, as folded bitmaps; bound-passing partners of each among the later ones."""
+
+    def __init__(self, n: np.ndarray, bits: list[np.ndarray], similarity):
+        self.n, self.bits, self.similarity = n, bits, similarity
+        self.width = np.asarray([len(b) for b in bits])
+        self.table: dict[int, np.ndarray] = {}
+
+    def later(self, i: int, label: np.ndarray) -> np.ndarray:
+        """Later entities (sizes ascend, and so do widths) of another label that may be linked with i."""
+        n, (s, t) = self.n, self.similarity
+        j = np.arange(i + 1, int(np.searchsorted(n, t * n[i] // s, side="right")))
+        j = j[label[j] != label[i]]
+        if not len(j):
+            return j
+        w = int(self.width[i])
+        if w not in self.table:
+            self.table.clear()
+            self.table[w] = np.stack([fold(b, w) if len(b) >= w else np.zeros(w, np.uint64) for b in self.bits])
+        mine, other = self.table[w][i], self.table[w][j]
+        bound = np.minimum(n[i] - np.bitwise_count(mine & ~other).sum(axis=1, dtype=np.int64), n[j] - np.bitwise_count(other & ~mine).sum(axis=1, dtype=np.int64))
+        return j[enough(bound, n[i], n[j], self.similarity)]
+
+
+def sorted_tile(table: pa.Table, similarity) -> tuple[np.ndarray, Tile, np.ndarray]:
+    order = np.lexsort((table.column("rep").to_numpy(), table.column("n").to_numpy()))
+    bits = [np.frombuffer(x, dtype=np.uint64) for x in table.column("bits").take(pa.array(order)).to_pylist()]
+    return table.column("rep").to_numpy()[order], Tile(table.column("n").to_numpy()[order].astype(np.int64), bits, similarity), order
+
+
+def list_forest(similarity):
+    """Function of one long list: a forest that spans the pairs that sizes and bitmaps let through."""
 
     def run(table: pa.Table) -> pa.Table:
-        rep, n, comp = (table.column(c).to_numpy() for c in ("rep", "n", "component"))
-        order = np.lexsort((rep, n))
-        rep, n, comp = rep[order], n[order].astype(np.int64), comp[order]
-        bits = [np.frombuffer(x, dtype=np.uint64) for x in table.column("bits").take(pa.array(order)).to_pylist()]
-        width = np.asarray([len(b) for b in bits])
-        folded = {w: np.stack([fold(bits[j], w) for j in np.flatnonzero(width >= w)]) for w in np.unique(width).tolist()}
-        row_at = {w: np.cumsum(width >= w) - 1 for w in folded}
+        rep, tile, _ = sorted_tile(table, similarity)
+        label = np.arange(len(rep))
         left, right = [], []
-        for i in range(len(rep)):  # sizes ascend, and so do widths: each pair is met once, at the smaller set
-            w = int(width[i])
-            end = int(np.searchsorted(n, similarity[1] * n[i] // similarity[0], side="right"))
-            j = np.arange(i + 1, end)
-            j = j[comp[j] != comp[i]]
-            if not len(j):
-                continue
-            mine, other = folded[w][row_at[w][i]], folded[w][row_at[w][j]]
-            bound = np.minimum(n[i] - np.bitwise_count(mine & ~other).sum(axis=1, dtype=np.int64), n[j] - np.bitwise_count(other & ~mine).sum(axis=1, dtype=np.int64))
-            j = j[enough(bound, n[i], n[j], similarity)]
-            left.append(np.full(len(j), rep[i], dtype=rep.dtype))
-            right.append(rep[j])
-        none = np.zeros(0, dtype=rep.dtype)
-        return pa.table({"a": np.concatenate([*left, none]), "b": np.concatenate([*right, none])})
+        for i in range(len(rep)):
+            j = tile.later(i, label)
+            if len(j):
+                _, first = np.unique(label[j], return_index=True)
+                left += [i] * len(first)
+                right += j[first].tolist()
+                label[np.isin(label, label[j])] = label[i]
+        return pa.table({"a": rep[left], "b": rep[right]})
+
+    return run
+
+
+def list_pairs(similarity):
+    """Function of one long list: all pairs of different components that sizes and bitmaps let through."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rep, tile, order = sorted_tile(table, similarity)
+        component = table.column("component").to_numpy()[order]
+        found = [(i, tile.later(i, component)) for i in range(len(rep))]
+        none = np.zeros(0, dtype=np.int64)
+        return pa.table({"a": rep[np.concatenate([*(np.full(len(j), i) for i, j in found), none])], "b": rep[np.concatenate([*(j for _, j in found), none])]})
 
     return run
 
 
-def similar_groups(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY, hot: int = HOT, small: int = SMALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_groups(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY, hot: int = HOT, small: int = SMALL, group_grams: int = GROUP_GRAMS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, entity_id (smallest id with the same set) for every row."""
     spark = docs.sparkSession
     rows = narrow(docs, id_col, text_col).toDF("id", "text")
@@ -392,39 +532,32 @@ def similar_groups(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY, h
     pairs = found.where("kind = 0").select("sa", "na", "sb", "nb").distinct()
     for side in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("s").alias(f"s{side}"), F.col("n").alias(f"n{side}"), F.col("rep").alias(side)), [f"s{side}", f"n{side}"])
-    pairs = cut(pairs.select("a", "b").where("a <> b"))
-
-    unpack_schema = "list_id long, s long, n long"
-
-    def unpack(batches):
-        for batch in batches:
-            for list_id, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                who = np.frombuffer(blob, dtype=np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(who), list_id)), pa.array(who[:, 0]), pa.array(who[:, 1])], names=["list_id", "s", "n"])
-
-    lists = found.where("kind = 1").select("list_id", "members").dropDuplicates(["list_id"]).mapInArrow(unpack, unpack_schema)
-    members = cut(lists.join(reps, ["s", "n"]).select("list_id", "rep"))
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(members.select("rep")).distinct()
-    entities, entity_path = store(entity_arrays(rows, wanted.join(reps, "rep"), words))
-    links = cut(verified(pairs, entities, similarity))
-    grouped = components(links)
-
-    labelled = members.join(grouped, members["rep"] == grouped["node"], "left").select("list_id", "rep", F.coalesce("component", "rep").alias("component"))
-    split = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list_id")
-    open_lists = cut(labelled.join(split, "list_id"))
-    if not open_lists.isEmpty():
-        described = open_lists.join(entities.select("rep", "n", "bits"), "rep").select("list_id", "rep", "n", "component", "bits")
-        more = described.groupBy("list_id").applyInArrow(list_pairs(similarity), f"a {id_type}, b {id_type}").distinct()
-        more = cut(more)
-        links = cut(links.union(verified(more, entities, similarity)))
-        grouped = components(links)
+    pairs, pairs_path = store(pairs.select("a", "b").where("a <> b"))
+    listed = cut(long_lists(found).join(reps, ["s", "n"]).select("list_id", "rep"))
+    wanted = reps.join(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(listed.select("rep")).distinct(), "rep")
+    bits = scanned.where("kind = 0").select(F.col("id").alias("rep"), "s", "n", "bits")
+    described, bits_path = store(wanted.join(bits, ["rep", "s", "n"]).dropDuplicates(["rep"]))
+
+    forest = listed.join(described.select("rep", "n", "bits"), "rep").groupBy("list_id").applyInArrow(list_forest(similarity), f"a {id_type}, b {id_type}")
+    near = bounded(pairs, described, similarity).select("a", "b", F.lit(False).alias("star")).union(forest.distinct().select("a", "b", F.lit(True)))
+    near = cut(near)
+    candidate = components(near)
+    sizes = described.select("rep", "n").join(candidate, F.col("rep") == F.col("node")).groupBy("component").agg(F.sum("n").alias("grams"))
+    # One row an entity: its candidate group, its partners, and whether a long list took part.
+    partners = near.groupBy("a").agg(F.collect_list("b").alias("partners"), F.max("star").alias("star"))
+    members = candidate.join(sizes, "component").join(partners, F.col("node") == F.col("a"), "left").join(reps, F.col("node") == F.col("rep"))
+    members = cut(members.select("rep", "s", "n", F.col("component").alias("candidate"), "grams", "partners", F.coalesce("star", F.lit(False)).alias("star")))
+    grouped = settle_groups(rows, members.where(F.col("grams") <= group_grams), words, similarity)
+    if not (large := members.where(F.col("grams") > group_grams)).isEmpty():
+        grouped = grouped.union(settle_by_joins(rows, near, large, listed, described, words, similarity))
+    grouped = cut(grouped)
 
     entity_of = reps.join(grouped, reps["rep"] == grouped["node"], "left").select("s", "n", "rep", F.coalesce("component", "rep").alias("component"))
     out = sets.join(entity_of, ["s", "n"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.coalesce("rep", "id").alias("entity_id")
     )
     out = cut(out)
-    for path in (scan_path, found_path, entity_path):
+    for path in (scan_path, found_path, pairs_path, bits_path):
         drop(spark, path)
     return out
 
