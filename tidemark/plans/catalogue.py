@@ -18,6 +18,7 @@ from tidemark.operators import panel as P
 from tidemark.operators import price as R
 from tidemark.operators import ranking as G
 from tidemark.operators import rollup as A
+from tidemark.operators import serving as W
 from tidemark.plans import sqltext as S
 from tidemark.sources import retail as T
 from tidemark.streaming import closed_blocks as C
@@ -372,6 +373,30 @@ def node_labels(spark, sf):
     return G.labels(A.rollup_levels(T.facts(spark, sf)))
 
 
+@query(with_(S.DAYS + """, sk AS (SELECT section, store, list_sort(list(DISTINCT sku)) AS skus FROM days GROUP BY ALL)""", "SELECT section, store, skus, len(skus) AS n_skus FROM sk"))
+def skus_of_stores(spark, sf):
+    days = T.leaf_days(spark, sf)
+    pairs = W.index(days, P.horizons(days)).select("section", F.explode("skus_of_store").alias("store", "skus"))
+    return pairs.select("section", "store", "skus", F.size("skus").cast("long").alias("n_skus"))
+
+
+@query(with_(S.FC, f"""SELECT {S.UID} AS unique_id, level, period_type, ds, y, yhat FROM (SELECT section, store, sku, ds, min(period_type) AS period_type, {S.LEVEL}, sum(y) AS y, sum(yhat) AS yhat FROM fc GROUP BY GROUPING SETS ((section, ds), (section, store, ds), (section, sku, ds), (section, store, sku, ds)))"""))
+def node_series(spark, sf):
+    return W.node_series(T.forecast(spark, sf)).select("unique_id", "level", "period_type", "ds", "y", "yhat")
+
+
+@query(with_(S.NODES, f"SELECT {S.UID} AS unique_id, period_type, wmape, bias, n_points, CASE WHEN store IS NULL AND sku IS NULL THEN 'Section ' || section WHEN sku IS NULL THEN 'Store ' || store WHEN store IS NULL THEN 'SKU ' || sku ELSE 'SKU ' || sku || ' @ ' || store END AS label FROM nodes"))
+def served_metrics(spark, sf):
+    return W.node_metrics(T.forecast(spark, sf)).select("unique_id", "period_type", "wmape", "bias", "n_points", "label")
+
+
+@query(with_(S.FC, "SELECT CAST(date_trunc('week', ds) AS DATE) AS bucket, period_type, min(ds) AS ds, sum(y) AS y, sum(yhat) AS yhat FROM fc WHERE section = '0' GROUP BY ALL"))
+def section_view(spark, sf):
+    fc = T.forecast(spark, sf)
+    view = W.node_view(W.node_metrics(fc), W.node_series(fc), "0")
+    return view["series"].select("bucket", "period_type", "ds", "y", "yhat")
+
+
 # --- diagnostics ---------------------------------------------------------------------------------
 
 FOLDS = S.FC + ", folds AS (SELECT section, store, CAST(c AS DOUBLE) AS candidate, k, period_type, sum(abs(yhat * c - y)) AS abs_error, sum(y) AS abs_y FROM fc, (VALUES (0.5::DOUBLE), (0.75::DOUBLE), (1.0::DOUBLE), (1.25::DOUBLE)) t(c) WHERE y > 0 GROUP BY ALL)"
