@@ -38,7 +38,7 @@ FEATURES = 768
 ROUNDS = 2
 PER_ROUND = 200
 CONFIDENT = 0.95
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 MIN_TEXTS = 4
 CERTAIN = 12.0
 HEADS = ("junk", "toxic")
@@ -105,13 +105,14 @@ def batch_views(batch: pa.RecordBatch, at: dict[str, int]):
         yield (start, end, *read_views(part, where, other["lang"][start:end], other["source"][start:end], other["n_chars"][start:end]))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 250) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int = 120) -> np.ndarray:
     """Weights (bias last) by accelerated gradient steps."""
     x = np.column_stack([x, np.ones(len(x))]).astype(np.float32)
     penalty = np.full(x.shape[1], ridge, dtype=np.float32)
     penalty[-1] = 1e-3
     v = np.ones(x.shape[1], dtype=np.float32)
-    for _ in range(15):
+    top = 1.0
+    for _ in range(10):
         v = x.T @ (x @ v)
         top = float(np.linalg.norm(v))
         v /= max(top, 1e-12)
@@ -187,6 +188,8 @@ class Training:
         self.y, self.held = y, held
         fit = ~held
         chosen = [chi_square([w for w, f in zip(words, fit) if f], y[fit, k], FEATURES) for k in range(len(HEADS))]
+        #: Of each judgement, the places of its words in the joint vocabulary.
+        self.own = [np.searchsorted(np.unique(np.concatenate(chosen)), np.sort(c)) for c in chosen]
         spread = meta[fit].std(axis=0) if fit.any() else np.ones(meta.shape[1])
         self.views = Views(np.unique(np.concatenate(chosen)), meta[fit].mean(axis=0) if fit.any() else np.zeros(meta.shape[1]), np.where(spread > 1e-9, spread, 1.0))
         self.meta = self.views.scaled(meta)
@@ -205,7 +208,10 @@ class Training:
                 rows = np.concatenate([x[~self.held], np.asarray(more, dtype=x.dtype).reshape(len(more), x.shape[1])])
                 target = np.concatenate([y, np.asarray(answers, dtype=np.float64)])
                 if 0 < y.sum() < len(y):
-                    self.views.weights[head, view] = fit_logistic(rows, target)
+                    own = self.own[k] if view == "content" else np.arange(x.shape[1])
+                    fitted, whole = fit_logistic(rows[:, own], target), np.zeros(x.shape[1] + 1)
+                    whole[own], whole[-1] = fitted[:-1], fitted[-1]
+                    self.views.weights[head, view] = whole
                 else:
                     prior = np.zeros(x.shape[1] + 1)
                     prior[-1] = np.log((y.sum() + 0.05) / (len(y) - y.sum() + 0.95))
