@@ -121,3 +121,25 @@ def report(tables: dict[str, tuple[DataFrame, list, int]]) -> str:
         out.append(f"== {title}")
         out += ["  " + ", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in df.orderBy(*order).limit(n).collect()]
     return "\n".join(out)
+
+
+def rls_summary(records: DataFrame) -> DataFrame:
+    """Score of each candidate over all nodes, by target and period; with how many nodes and blocks it was scored on."""
+    out = records.groupBy("target", "mode", "decay", "period_type").agg(
+        F.count_distinct("unique_id").alias("n_nodes"), F.count_distinct(F.struct("unique_id", "block")).alias("n_blocks"), F.sum("abs_error").alias("abs_error"), F.sum("abs_y").alias("abs_y")
+    )
+    return out.withColumn("wmape", ratio(F.col("abs_error"), F.col("abs_y")))
+
+
+def driver_decisions(screen: DataFrame, margin: float = 0.005, most: float = 0.6) -> DataFrame:
+    """Whether a group of drivers helps: history decides, the holdout confirms or vetoes."""
+    delta = ratio(F.col("abs_error_without") - F.col("abs_error"), F.col("abs_y"))
+    rows = screen.withColumn("delta", delta)
+    sums = rows.groupBy("driver_group", "period_type").agg(F.sum(F.col("delta") * F.col("abs_y")).alias("gain"), F.sum("abs_y").alias("weight"), share_true(F.col("delta") > 0).alias("share_helped"))
+    sums = sums.withColumn("weighted_delta", ratio(F.col("gain"), F.col("weight")))
+    history = sums.where("period_type = 'in_sample'").select("driver_group", "weighted_delta", "share_helped")
+    holdout = sums.where("period_type = 'out_sample'").select("driver_group", F.col("weighted_delta").alias("holdout_delta"))
+    helps = (F.col("weighted_delta") >= margin) & (F.col("share_helped") >= most)
+    harms = (F.col("weighted_delta") <= -margin) & (F.col("share_helped") <= 1 - most)
+    kind = F.when(helps, "keep").when(harms & (F.col("holdout_delta") < 0), "candidate_remove").when(harms, "vetoed_by_holdout").otherwise("neutral")
+    return history.join(holdout, "driver_group", "left").withColumn("decision", kind)

@@ -131,3 +131,71 @@ def forecast_node(frame: pd.DataFrame, cadences=CADENCES, rls: Rls = Rls()) -> p
 def node_forecasts(panel: DataFrame, cadences=CADENCES) -> DataFrame:
     """One group a node; a node's recent history is bounded by the horizon."""
     return panel.groupBy("unique_id").applyInPandas(lambda frame: forecast_node(frame, cadences), OUTPUT)
+
+
+# --- candidate records and driver screens --------------------------------------------------------
+
+DRIVER_GROUPS = {
+    "price": PRICES,
+    "weekday": list(WEEKDAYS.values()),
+    "month": list(MONTHS.values()),
+    "holiday": [offset_column(h, o) for h in HOLIDAYS for o in OFFSETS],
+    "ramp": ["mothers_day", "fathers_day"],
+}
+CANDIDATES = "unique_id string, target string, mode string, decay double, period_type string, block long, abs_error double, abs_y double, n_days long"
+SCREEN = "unique_id string, driver_group string, period_type string, block long, abs_error double, abs_error_without double, abs_y double"
+
+
+def block_scores(x: np.ndarray, frame: pd.DataFrame, target: str, mode: str, decay: float, size: int, rls: Rls) -> list[tuple[str, int, float, float, int]]:
+    """Period, block, error and sales of a candidate's causal forecasts, block by block of known days."""
+    period = frame["period_type"].to_numpy()
+    n = int((period != "forecast_only").sum())
+    actual, units = frame[target].to_numpy(dtype=float), frame["y"].to_numpy(dtype=float)
+    z = np.log1p(np.maximum(actual, 0.0))
+    rows = x[:n] if mode == "base" else np.column_stack([x[:n], lag_matrix(z[:n])])
+    path = coefficient_path(rows, z[:n], decay, rls.min_y_units if target == "y" else rls.min_y_value, rls.seed_days, rls.prior_scale)
+    out = []
+    for number, (a, b) in enumerate(blocks_of(period[:n], size, rls.seed_days)):
+        hat = predict_log_base(x[a:b], path[a - 1]) if mode == "base" else predict_log_ar(x[a:b], path[a - 1], z[:a])
+        use = units[a:b] > 0
+        out.append((period[a], number, float(np.abs(hat - actual[a:b])[use].sum()), float(np.abs(actual[a:b])[use].sum()), int(use.sum())))
+    return out
+
+
+def designs_of(frame: pd.DataFrame) -> dict[str, np.ndarray]:
+    calendar = np.column_stack([np.ones(len(frame)), frame[CALENDAR].to_numpy(dtype=float)])
+    return {"y": np.column_stack([calendar, np.nan_to_num(frame[PRICES].to_numpy(dtype=float))]), "value": calendar}
+
+
+def node_candidates(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataFrame:
+    """Every candidate's score in every block of every node."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("ds", ignore_index=True)
+        out = [
+            (frame["unique_id"][0], target, mode, decay, *score)
+            for target, x in designs_of(frame).items()
+            for mode in rls.modes
+            for decay in rls.decays
+            for score in block_scores(x, frame, target, mode, decay, size, rls)
+        ]
+        return pd.DataFrame(out, columns=[c.split()[0] for c in CANDIDATES.split(", ")])
+
+    return panel.groupBy("unique_id").applyInPandas(run, CANDIDATES)
+
+
+def driver_screen(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataFrame:
+    """Exact refits of the default unit model without each group of drivers, next to the full model."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("ds", ignore_index=True)
+        x, names = designs_of(frame)["y"], ["intercept", *CALENDAR, *PRICES]
+        full, out = block_scores(x, frame, "y", *rls.default, size, rls), []
+        for group, columns in DRIVER_GROUPS.items():
+            reduced = x.copy()
+            reduced[:, [names.index(c) for c in columns]] = 0.0
+            for (period, number, error, sales, _), other in zip(full, block_scores(reduced, frame, "y", *rls.default, size, rls)):
+                out.append((frame["unique_id"][0], group, period, number, error, other[2], sales))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SCREEN.split(", ")])
+
+    return panel.groupBy("unique_id").applyInPandas(run, SCREEN)

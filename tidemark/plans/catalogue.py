@@ -522,6 +522,16 @@ def rls_node_forecast(spark, sf):
     return N.node_forecasts(N.node_panel(spark, T.leaf_days(spark, sf)), (28,))
 
 
+@query()
+def rls_candidate_summary(spark, sf):
+    return D.rls_summary(N.node_candidates(N.node_panel(spark, T.leaf_days(spark, sf))))
+
+
+@query()
+def driver_decisions(spark, sf):
+    return D.driver_decisions(N.driver_screen(N.node_panel(spark, T.leaf_days(spark, sf))))
+
+
 @query()
 def multi_cadence_forecast(spark, sf):
     return N.node_forecasts(N.node_panel(spark, T.leaf_days(spark, sf)))
