@@ -8,7 +8,6 @@ they pass the third stage; an empty document passes the fourth and packs as its
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import cotraining, jaccard_join, packing, quality_rules, suffix_dedup
 from tidemark.llm.scratch import drop, store
