@@ -120,6 +120,31 @@ def test_serving_files_and_manifest(spark, tmp_path):
         S.ensure_selected(path + "x", False, False, None, None)
 
 
+def test_configuration_gate_and_sampling(spark):
+    from dataclasses import replace
+
+    from tidemark.config import Effect, Horizon, Rls, Ses
+    from tidemark.operators import gates as V
+    from tidemark.operators import ranking as G
+
+    assert V.config_errors(Horizon(), Ses(), Effect(), Rls()) == []
+    assert V.config_errors(replace(Horizon(), oos_days=7), Ses(), Effect(), replace(Rls(), decays=(1.1,))) == ["holdout and horizon have 28 days", "decays lie in (0, 1]"]
+    days = spark.createDataFrame([("1", "a", k, i) for k in "xyz" for i in range(3)], "section string, store string, sku string, y int")
+    assert G.sample_series(days, 2).count() == 6
+
+
+def test_parent_switch_needs_history_and_holdout(spark):
+    from tidemark.operators import leaves as L
+
+    schema = "section string, store string, sku string, candidate string, period_type string, rls_block long, abs_error double, current_error double, abs_y double"
+
+    def status(history, holdout):
+        rows = [("1", "a", "x", "section", "in_sample", b, history, 10.0, 100.0) for b in range(4)] + [("1", "a", "x", "section", "out_sample", 9, holdout, 10.0, 100.0)]
+        return L.parent_switches(spark.createDataFrame(rows, schema)).collect()[0]["status"]
+
+    assert [status(5.0, 5.0), status(5.0, 20.0), status(10.0, 1.0)] == ["validated_parent_switch", "vetoed_by_holdout", "keep_policy"]
+
+
 def test_closed_blocks_stream(spark, tmp_path):
     rows = [("a", 0, 10.0), ("a", 1, 20.0), ("b", 0, 5.0)]
     spark.createDataFrame(rows, "leaf string, block long, y double").coalesce(1).write.parquet(str(tmp_path / "in"))

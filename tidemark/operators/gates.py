@@ -84,3 +84,17 @@ def acceptance(fc: DataFrame) -> DataFrame:
     """Overall sizes and accuracy for a release note."""
     parts = leaf_parts(fc, ["period_type"])
     return parts.withColumn("wmape", ratio(F.col("sum_abs_error"), F.col("sum_abs_y")))
+
+
+def config_errors(horizon, ses, effect, rls) -> list[str]:
+    """Rules of the configuration that are broken; empty if it may be released."""
+    rules = {
+        "holdout and horizon have 28 days": horizon.oos_days == 28 and horizon.forecast_days == 28,
+        "seed covers a block": rls.seed_days >= 28 and horizon.block_days <= rls.seed_days,
+        "decays lie in (0, 1]": all(0 < d <= 1 for d in rls.decays) and rls.default[1] in rls.decays and rls.default[0] in rls.modes,
+        "smoothing weights lie in (0, 1)": all(0 < a < 1 for a in ses.alphas) and ses.default_alpha in ses.alphas,
+        "effect bounds hold 1": 0 < effect.low < 1 < effect.high,
+        "envelope holds 1": ses.envelope[0] < 1 < ses.envelope[1],
+        "caps exceed the mean": ses.gap_mean_multiple <= ses.mean_multiple and ses.max_multiple >= 1,
+    }
+    return [name for name, ok in rules.items() if not ok]

@@ -73,3 +73,29 @@ def forecast_leaf(frame: pd.DataFrame) -> pd.DataFrame:
 
 def leaf_forecasts(days: DataFrame, nodes: DataFrame, cadence: int = 28) -> DataFrame:
     return leaf_rows(days, selected_parent(nodes, cadence)).groupBy(*LEAF).applyInPandas(forecast_leaf, OUTPUT)
+
+
+def parent_candidates(forecast: DataFrame, nodes: DataFrame, cadence: int = 28) -> DataFrame:
+    """Error of each leaf and block if its level moved with the store's or with the section's effect, next to the policy's own."""
+    rows = nodes.where(F.col("cadence") == cadence)
+    stores = rows.where("store IS NOT NULL").select("section", "store", "ds", F.col("driver_effect").alias("store_effect"))
+    sections = rows.where("store IS NULL").select("section", "ds", F.col("driver_effect").alias("section_effect"))
+    scored = forecast.where(F.col("rls_metric_eligible") & (F.col("y") > 0)).join(stores, ["section", "store", "ds"], "left").join(sections, ["section", "ds"], "left")
+    long = scored.select("*", F.expr("stack(2, 'store', coalesce(store_effect, 0D), 'section', coalesce(section_effect, 0D)) AS (candidate, effect)"))
+    hat = F.least(F.greatest(F.expm1(F.log1p("ses_level_y") + F.col("effect")), F.lit(0.0)), F.col("leaf_forecast_cap_y"))
+    return long.groupBy(*LEAF, "candidate", "period_type", "rls_block").agg(
+        F.sum(F.abs(hat - F.col("y"))).alias("abs_error"), F.sum(F.abs(F.col("yhat_raw") - F.col("y"))).alias("current_error"), F.sum("y").alias("abs_y")
+    )
+
+
+def parent_switches(folds: DataFrame, margin: float = 0.005, most: float = 0.6) -> DataFrame:
+    """Per section and parent: whether history speaks for a switch to it, and whether the holdout bears it out (it can't create one)."""
+    keys = ["section", "candidate"]
+    better = (F.col("abs_error") < F.col("current_error")).cast("double")
+    sums = folds.groupBy(*keys, "period_type").agg(F.sum(F.col("current_error") - F.col("abs_error")).alias("gain"), F.sum("abs_y").alias("weight"), F.avg(better).alias("share_better"), F.count(F.lit(1)).alias("folds"))
+    sums = sums.withColumn("delta", ratio(F.col("gain"), F.col("weight")))
+    history = sums.where("period_type = 'in_sample'").select(*keys, "delta", "share_better", "folds")
+    holdout = sums.where("period_type = 'out_sample'").select(*keys, F.col("delta").alias("holdout_delta"))
+    wanted = (F.col("delta") >= margin) & (F.col("share_better") >= most)
+    status = F.when(~wanted, "keep_policy").when(F.col("holdout_delta") > 0, "validated_parent_switch").otherwise("vetoed_by_holdout")
+    return history.join(holdout, keys, "left").withColumn("status", F.coalesce(status, F.lit("keep_policy")))

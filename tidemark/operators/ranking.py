@@ -57,3 +57,10 @@ def labels(nodes: DataFrame) -> DataFrame:
 
 def non_active_leaves(cohorts: DataFrame) -> DataFrame:
     return cohorts.where(F.col("metric_cohort") != "active")
+
+
+def sample_series(days: DataFrame, n: int) -> DataFrame:
+    """A fixed choice of n leaves for debugging; a sampling operator, so it has a limit."""
+    keys = ["section", "store", "sku"]
+    chosen = days.select(*keys).distinct().orderBy(F.xxhash64(*keys), *keys).limit(n)
+    return days.join(chosen, keys, "left_semi")

@@ -543,6 +543,13 @@ def leaf_ses_forecast(spark, sf):
     return L.leaf_forecasts(days, N.node_forecasts(N.node_panel(spark, days), (28,)))
 
 
+@query()
+def leaf_parent_switches(spark, sf):
+    days = T.leaf_days(spark, sf)
+    nodes = N.node_forecasts(N.node_panel(spark, days), (28,))
+    return L.parent_switches(L.parent_candidates(L.leaf_forecasts(days, nodes), nodes))
+
+
 @query()
 def structural_validation(spark, sf):
     return V.structural(leaf_ses_forecast(spark, sf))
