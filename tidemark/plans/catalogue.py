@@ -517,6 +517,11 @@ def simple_ses_fold(spark, sf):
     return rows.select(*LEAF, F.round(level, 6).alias("level"), F.size("s").cast("long").alias("n_sales"))
 
 
+def nodes_of(spark, days):
+    """Node forecasts of one cadence, kept for the several joins that read them (a row a node and day)."""
+    return N.node_forecasts(N.node_panel(spark, days), (28,)).cache()
+
+
 @query()
 def rls_node_forecast(spark, sf):
     return N.node_forecasts(N.node_panel(spark, T.leaf_days(spark, sf)), (28,))
@@ -540,13 +545,13 @@ def multi_cadence_forecast(spark, sf):
 @query()
 def leaf_ses_forecast(spark, sf):
     days = T.leaf_days(spark, sf)
-    return L.leaf_forecasts(days, N.node_forecasts(N.node_panel(spark, days), (28,)))
+    return L.leaf_forecasts(days, nodes_of(spark, days))
 
 
 @query()
 def leaf_parent_switches(spark, sf):
     days = T.leaf_days(spark, sf)
-    nodes = N.node_forecasts(N.node_panel(spark, days), (28,))
+    nodes = nodes_of(spark, days)
     return L.parent_switches(L.parent_candidates(L.leaf_forecasts(days, nodes), nodes))
 
 
