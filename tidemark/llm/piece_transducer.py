@@ -35,9 +35,10 @@ from pyspark.sql import DataFrame
 from .textkit import documents, narrow
 
 MARK = "▁"
-PART_TABLE = 200_000
+PART_TABLE = 400_000
 ARC_TABLE = 600_000
 LONGEST_KEPT = 48
+ARC_STRIDE = 1 << 24
 
 _PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -54,31 +55,40 @@ class PieceTransducer:
         self.scores = {i: model.get_score(i) for i in plain}
         self.bytes = {int(self.pieces[i][1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.is_byte = np.zeros(size, dtype=np.int64)
+        self.is_byte[list(self.byte_of)] = 1
         self.unknown = model.unk_id()
-        self.longest = max(map(len, self.ids))
+        # The piece machine as a trie: every prefix of a piece, with the piece's id or -1.
+        self.prefixes = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.prefix = model.normalize(f"a{MARK}")[:1] == MARK
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.ids)
         # Fixed by the format: byte-pair models number their merges, so scores fall by whole steps.
         self.merging = all(float(s).is_integer() for s in self.scores.values())
         self.parts: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}  # the table before the last change of tables
         self.arcs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces after merging the characters of a short string by rank, leftmost first."""
         symbols = list(text)
-        while True:
-            best, at = -math.inf, -1
-            for i in range(len(symbols) - 1):
-                k = self.ids.get(symbols[i] + symbols[i + 1])
-                if k is not None and self.scores[k] > best:
-                    best, at = self.scores[k], i
-            if at < 0:
-                return symbols
+        ids, scores = self.ids, self.scores
+        ranks = [scores.get(ids.get(a + b), -math.inf) for a, b in zip(symbols, symbols[1:])]
+        while ranks:
+            best = max(ranks)
+            if best == -math.inf:
+                break
+            at = ranks.index(best)
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = scores.get(ids.get(symbols[at] + symbols[at + 1]), -math.inf)
+            if at:
+                ranks[at - 1] = scores.get(ids.get(symbols[at - 1] + symbols[at]), -math.inf)
+        return symbols
 
     def passes(self, left: int, right: int) -> bool:
         """Whether the arc from piece left (-1: none) to piece right has a finite weight."""
-        key = left * 1_000_003 + right
+        key = left * ARC_STRIDE + right
         known = self.arcs.get(key)
         if known is None:
             if len(self.arcs) >= ARC_TABLE:
@@ -90,40 +100,73 @@ class PieceTransducer:
 
     def solve(self, part: str) -> tuple[int, ...]:
         """Ids on the shortest path over a normalised part."""
-        n = len(part)
-        weight = [math.inf] * (n + 1)
-        weight[0] = 0.0
-        last: list[tuple[int, int]] = [(-1, 0)] * (n + 1)  # piece (-2: a character in bytes) and where it begins
-        ids, merging, passes, scores = self.ids, self.merging, self.passes, self.scores
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - self.longest), end):
-                if weight[begin] == math.inf:
-                    continue
-                k = ids.get(part[begin:end])
-                if k is None:
-                    continue
-                before = last[begin][0] if begin else -1
-                w = weight[begin]
-                if not merging:
-                    w -= scores[k]
-                elif not passes(max(before, -1), k) and not (before == -2 and passes(-1, k)):
+        path = self.zero_path(part) if self.merging else self.lightest_path(part)
+        if all(k >= 0 for k, _ in path):
+            return tuple(k for k, _ in path)
+        out, at = [], 0
+        for k, end in path:
+            if k >= 0:
+                out.append(k)
+            else:
+                out.extend(self.bytes[b] for b in part[at:end].encode()) if self.bytes else out.append(self.unknown)
+            at = end
+        return tuple(out)
+
+    def arcs_from(self, part: str, begin: int) -> list[tuple[int, int]]:
+        """Pieces (-1: the character in bytes) that begin here, with their ends, shortest first."""
+        get, found = self.prefixes.get, []
+        for end in range(begin + 1, len(part) + 1):
+            k = get(part[begin:end])
+            if k is None:
+                break
+            if k >= 0:
+                found.append((k, end))
+        return found if found and found[0][1] == begin + 1 else [(-1, begin + 1), *found]
+
+    def zero_path(self, part: str) -> list[tuple[int, int]]:
+        """Shortest path where arcs weigh 0 or infinity: depth first, longest piece first.
+
+        A place is reached by one path at most (that of its prefix), so one that fails once is dead."""
+        n, arcs, path = len(part), self.arcs, []
+        levels, dead = [(0, -1, self.arcs_from(part, 0))], set()
+        while path is not None and (not path or path[-1][1] < n):
+            begin, before, choices = levels[-1]
+            base, step = before * ARC_STRIDE, None
+            while choices:
+                k, end = choices.pop()
+                if end in dead:
                     continue
+                if k < 0:  # no merge reaches over a character in bytes
+                    step = (k, end)
+                    break
+                known = arcs.get(base + k)
+                if self.passes(before, k) if known is None else known:
+                    step = (k, end)
+                    break
+            if step is None:
+                dead.add(begin)
+                levels.pop()
+                path.pop()
+            else:
+                path.append(step)
+                if step[1] < n:
+                    levels.append((step[1], step[0], self.arcs_from(part, step[1])))
+        return path
+
+    def lightest_path(self, part: str) -> list[tuple[int, int]]:
+        """Shortest path where a piece weighs minus its score."""
+        n = len(part)
+        weight, last = [0.0] + [math.inf] * n, [(-1, 0)] * (n + 1)
+        for begin in range(n):
+            for k, end in self.arcs_from(part, begin):
+                w = weight[begin] - (self.scores[k] if k >= 0 else -1e9)
                 if w < weight[end]:
                     weight[end], last[end] = w, (k, begin)
-            if weight[end] == math.inf and part[end - 1] not in ids:
-                weight[end], last[end] = weight[end - 1] + (0.0 if merging else 1e9), (-2, end - 1)
-        out: list[int] = []
-        at = n
+        path, at = [], n
         while at:
-            k, begin = last[at]
-            if k >= 0:
-                out.append(k)
-            elif self.bytes:
-                out.extend(self.bytes[b] for b in reversed(part[begin:at].encode()))
-            else:
-                out.append(self.unknown)
-            at = begin
-        return tuple(reversed(out))
+            path.append((last[at][0], at))
+            at = last[at][1]
+        return path[::-1]
 
     def normalise(self, text: str) -> str:
         return (MARK if self.prefix else "") + text.replace(" ", MARK) if text else ""
@@ -134,25 +177,29 @@ class PieceTransducer:
         for part in _PARTS.findall(line) if self.splits else [line] if line else []:
             ids = table.get(part)
             if ids is None:
-                ids = self.solve(part)
+                ids = self.older.get(part) or self.solve(part)
                 if len(part) <= LONGEST_KEPT:
                     if len(table) >= PART_TABLE:
-                        table.clear()
+                        self.older, self.parts = table, {}
+                        table = self.parts
                     table[part] = ids
             out.extend(ids)
         return out
 
     def decode(self, ids: list[int]) -> str:
-        out, raw = [], bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                continue
-            if raw:
-                out.append(raw.decode(errors="replace"))
-                raw = bytearray()
-            out.append(self.pieces[i])
-        out.append(raw.decode(errors="replace"))
+        if self.byte_of.keys().isdisjoint(ids):
+            out = map(self.pieces.__getitem__, ids)
+        else:
+            out, raw = [], bytearray()
+            for i in ids:
+                if i in self.byte_of:
+                    raw.append(self.byte_of[i])
+                    continue
+                if raw:
+                    out.append(raw.decode(errors="replace"))
+                    raw = bytearray()
+                out.append(self.pieces[i])
+            out.append(raw.decode(errors="replace"))
         text = "".join(out).replace(MARK, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
@@ -172,14 +219,17 @@ def encode_documents(docs: DataFrame, model_file: str, id_col: str = "doc_id", t
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                out = [], [], [], [], []
+                out = [], [], [], []
                 for text in part.column(1).to_pylist():
                     ids = machine.encode(text or "")
                     back = machine.decode(ids)
-                    for column, value in zip(out, (ids, len(ids), sum(map(machine.byte_of.__contains__, ids)), hashlib.sha256(back.encode()).hexdigest(), back == (text or ""))):
+                    for column, value in zip(out, (np.asarray(ids, dtype=np.int32), len(ids), hashlib.sha256(back.encode()).hexdigest(), back == (text or ""))):
                         column.append(value)
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(out[1])]).astype(np.int32)), pa.array(np.concatenate([np.asarray(x, dtype=np.int32) for x in out[0]] or [np.zeros(0, np.int32)])))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string()), pa.array(out[4], pa.bool_())], names=["id", "ids", "n_pieces", "n_fallback", "decoded_sha256", "exact"])
+                ends = np.concatenate([[0], np.cumsum(out[1])]).astype(np.int32)
+                flat = np.concatenate([*out[0], np.zeros(0, np.int32)])
+                fallback = np.concatenate([[0], np.cumsum(machine.is_byte[flat])])[ends]
+                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(out[1], pa.int64()), pa.array(np.diff(fallback).astype(np.int64)), pa.array(out[2], pa.string()), pa.array(out[3], pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "n_pieces", "n_fallback", "decoded_sha256", "exact"])
 
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {id_type}, ids array<int>, n_pieces long, n_fallback long, decoded_sha256 string, exact boolean").withColumnRenamed("id", id_col)
