@@ -36,7 +36,7 @@ ROUNDS = 4
 OWN = 1 << 15
 CLASSES = 1 << 12
 FREQUENT = 1 << 17
-BLOCK = 256
+BLOCK = 512
 SMOOTHING = 2000.0
 SEED = 11
 CHUNK = 4 << 20
@@ -135,10 +135,21 @@ class Blocks:
         size = np.minimum(block, starts[1:][self.doc] - begin)
         self.is_first, self.is_last = step == 0, step == count[self.doc] - 1
         self.order = np.argsort(-size, kind="stable")
-        self.begin, self.length = begin[self.order], size[self.order]
-        self.symbols = symbols
-        self.steps = int(self.length[0]) if len(size) else 0
-        self.active = [int(np.searchsorted(-self.length, -t, side="left")) for t in range(self.steps)]
+        self.place = np.empty(len(size), dtype=np.int64)
+        self.place[self.order] = np.arange(len(size))
+        self._lay(symbols, begin[self.order], size[self.order])
+
+    def _lay(self, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray) -> None:
+        self.symbols, self.begin, self.length = symbols, begin, length
+        self.steps = int(length[0]) if len(length) else 0
+        self.active = [int(np.searchsorted(-length, -t, side="left")) for t in range(self.steps)]
+
+    def only(self, blocks: np.ndarray) -> tuple["Blocks", np.ndarray]:
+        """The columns of some blocks (numbered in document order), and their rows in this layout."""
+        rows = np.sort(self.place[blocks])
+        part = object.__new__(Blocks)
+        part._lay(self.symbols, self.begin[rows], self.length[rows])
+        return part, rows
 
 
 def forward(blocks: Blocks, model, entering: np.ndarray, keep: bool = False):
@@ -169,13 +180,7 @@ def entering_vectors(blocks: Blocks, model, start: np.ndarray):
     inner = np.flatnonzero(~blocks.is_last)
     matrices = logs = None
     if len(inner):
-        place = np.empty(total, dtype=np.int64)
-        place[blocks.order] = np.arange(total)
-        part = Blocks.__new__(Blocks)
-        rows = np.sort(place[inner])
-        part.symbols, part.begin, part.length = blocks.symbols, blocks.begin[rows], blocks.length[rows]
-        part.steps = int(part.length[0])
-        part.active = [int(np.searchsorted(-part.length, -t, side="left")) for t in range(part.steps)]
+        part, rows = blocks.only(inner)
         eye = np.broadcast_to(np.eye(states), (len(rows), states, states)).copy()
         after, scale, _ = forward(part, model, eye)
         number = np.full(total, -1, dtype=np.int64)
@@ -197,14 +202,7 @@ def sequence_log_likelihood(symbols, starts, model, start, block=BLOCK) -> np.nd
     blocks = Blocks(symbols, starts, block)
     entering, before, *_ = entering_vectors(blocks, model, start)
     out = np.zeros(len(starts) - 1)
-    last = np.flatnonzero(blocks.is_last)
-    place = np.empty(len(blocks.doc), dtype=np.int64)
-    place[blocks.order] = np.arange(len(blocks.doc))
-    rows = np.sort(place[last])
-    part = Blocks.__new__(Blocks)
-    part.symbols, part.begin, part.length = symbols, blocks.begin[rows], blocks.length[rows]
-    part.steps = int(part.length[0]) if len(rows) else 0
-    part.active = [int(np.searchsorted(-part.length, -t, side="left")) for t in range(part.steps)]
+    part, rows = blocks.only(np.flatnonzero(blocks.is_last))
     which = blocks.order[rows]
     _, scale, _ = forward(part, model, entering[which])
     out[blocks.doc[which]] = before[which] + scale
@@ -224,14 +222,11 @@ def expected_counts(symbols, starts, model, start, size: int, block=BLOCK):
     # Last blocks first: their backward vector before the block, by one backward sweep.
     need = np.flatnonzero(blocks.is_last & ~blocks.is_first)
     if len(need):
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        rows = np.sort(place[need])
+        part, rows = blocks.only(need)
         beta = np.ones((len(rows), states))
-        length, begin = blocks.length[rows], blocks.begin[rows]
-        for t in range(int(length[0]) - 1, -1, -1):
-            n = int(np.searchsorted(-length, -t, side="left"))
-            b = emission[symbols[begin[:n] + t]]
+        for t in range(part.steps - 1, -1, -1):
+            n = part.active[t]
+            b = emission[symbols[part.begin[:n] + t]]
             beta[:n] = (beta[:n] * b) @ transition.T
             beta[:n] /= beta[:n].sum(axis=1, keepdims=True)
         before_last = np.zeros((len(order), states))
