@@ -50,3 +50,33 @@ def test_ratio_is_the_mean_weight(spark):
     assert weights.max() > 0 > weights.min()
     r = {x["c0"]: x["f_ratio"] for x in Q.judged(df, weights).collect()}
     assert np.sign(r[1]) == 1 and np.sign(r[2]) == -1
+
+
+def test_counters_grow_with_the_corpus_and_shards_equal_the_broadcast(spark, monkeypatch):
+    assert Q.bucket_count(10) == Q.BUCKETS and all(Q.bucket_count(n) >= n for n in (1 << 17, 8_000_000, 12_000_000_000))
+    data = rows(2)
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 5 != 4), 0) for i in range(100)], "doc_id long, quality int, toxic int")
+    trusted, text = Q.trusted_ids(labels), Q.F.coalesce("text", Q.F.lit(""))
+    whole = df.withColumns({"h1": Q.F.xxhash64(text), "h2": Q.F.xxhash64(Q.F.lit(17), text)})
+    for hot_share in (20_000, 10):  # nearly all n-grams are frequent, or few are
+        monkeypatch.setattr(Q, "HOT_SHARE", hot_share)
+        total, good, hot = Q.corpus_grams(df, trusted)
+        expected = Q.judged(df, Q.ratio_weights(df, trusted, 1 << 22)).select("c1", "f_ratio").collect()
+        got = whole.join(Q.joined_ratios(whole, trusted, total, good, hot, 1 << 22, 18), ["h1", "h2"]).select("text", "ratio").collect()
+        assert len(got) == len(expected) == len(data)
+        by_text = {r["text"]: r["ratio"] for r in got}
+        assert max(abs(by_text[r["c1"]] - r["f_ratio"]) for r in expected) < 1e-6
+    plain, dealt = (sorted((r["c0"], r["f_kept"], r["f_base_failed"]) for r in Q.judge(df, labels, shared=x).collect()) for x in (1 << 30, 0))
+    assert plain == dealt
+
+
+def test_junk_that_shares_no_counter_is_rejected_in_a_large_vocabulary(spark):
+    rng = random.Random(7)
+    word = lambda kind: f"{kind}{rng.randrange(200_000)}"
+    junk = [f"j{i}" for i in range(6000)]
+    data = [(i, " ".join(rng.choice(junk) if i % 20 == 0 else word("w") for _ in range(400))) for i in range(1200)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1200) if i % 20], "doc_id long, quality int, toxic int")
+    out = Q.judge(df, labels).where("NOT f_base_failed").collect()
+    assert all(r["f_kept"] == (r["c0"] % 20 != 0) for r in out) and len(out) == len(data)
