@@ -72,3 +72,33 @@ def test_solver_reaches_the_bound_or_best_fit():
 def test_solver_with_few_lengths():
     assert sum(k for _, k in P.solve({600: 3, 424: 3, 500: 2, 24: 2})) == 5
     assert P.solve({}) == []
+
+
+def fewest(sizes, capacity):
+    """Brute force over all ways to put sizes into sequences."""
+    best = len(sizes)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(sizes):
+            best = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms) if r >= sizes[i]}.values():
+            place(i + 1, [r - sizes[i] * (j == k) for j, r in enumerate(rooms)])
+        place(i + 1, [*rooms, capacity - sizes[i]])
+
+    place(0, [])
+    return best
+
+
+def test_solver_backtracks_between_sequences():
+    sizes = [992, 736, 608, 608, 352, 224, 192, 160, 128, 64, 32]
+    assert sum(k for _, k in P.greedy(collections.Counter(sizes))) > sum(k for _, k in P.solve(collections.Counter(sizes))) == 4
+    rng = random.Random(9)
+    for _ in range(150):
+        sizes = sorted((rng.randint(1, 30) for _ in range(rng.randint(1, 11))), reverse=True)
+        patterns = P.solve(collections.Counter(sizes), 30)
+        assert sorted((s for p, k in patterns for s in p * k), reverse=True) == sizes and all(sum(p) <= 30 for p, _ in patterns)
+        assert sum(k for _, k in patterns) == fewest(sizes, 30)

@@ -6,11 +6,15 @@ solved on that histogram, whatever the number of rows: the driver's part is boun
 capacity. Each solution step is a pattern (a filling around the largest length left) with the
 number of sequences that it stands for.
 
-Bin completion: take the largest length left, enumerate the undominated fillings of the room
-beside it, best first (a filling is dominated if one of its items can be replaced by a larger one
-that is left and fits), and keep the best-fit filling as the incumbent. A filling without waste
-stops the search; so does a node budget, which leaves the incumbent. The lower bound ceil(sum /
-capacity) prunes: while the waste so far stays below the slack of that bound nothing can be better.
+Bin completion: take the largest length left, fill the room beside it as well as can be found, and
+go on; that greedy solution is the incumbent. If it needs more sequences than the lower bound (ceil(sum / capacity),
+or what lengths over half the capacity leave no room for), a
+depth-first search branches over the undominated fillings of the largest length left (a filling is
+dominated if a length that is left fits beside it, or can replace a smaller one in it) and over how
+often each is taken, backtracks between sequences, and leaves a branch as soon as its waste exceeds
+the slack of the number of sequences aimed at. The aim is the bound at first, then by bisection between
+the bound and the incumbent. SEARCH_BUDGET nodes, and half as many for every further aim, bound the
+search (packing is NP-hard); when they are used up the incumbent may stay above the optimum.
 
 A piece is assigned by its rank among the pieces of equal length: ranks come from a count table
 per (partition, length), and a pattern's ranges of ranks are looked up by bisection in a table
@@ -37,6 +41,7 @@ from .textkit import cut, documents, narrow
 CAPACITY = 1024
 END_ID = 2
 NODE_BUDGET = 4000
+SEARCH_BUDGET = 200_000
 
 
 class RankEncoder:
@@ -159,8 +164,127 @@ def best_filling(room: int, counts: np.ndarray, top: int) -> list[int]:
     return best
 
 
+def fillings(room: int, counts: np.ndarray, top: int, slack: int, nodes: list[int]):
+    """All undominated fillings of `room` by lengths up to `top` with a waste of `slack` at most, larger lengths first."""
+    sizes = [s for s in np.flatnonzero(counts[: min(room, top) + 1]).tolist()[::-1] if s]
+    left_of = {s: int(counts[s]) for s in sizes}
+    below = [0] * (len(sizes) + 1)  # sum of all lengths from a place on
+    for i in range(len(sizes) - 1, -1, -1):
+        below[i] = below[i + 1] + sizes[i] * left_of[sizes[i]]
+    chosen: list[int] = []
+
+    def undominated(waste: int) -> bool:
+        spare = [s for s in sizes if left_of[s]]
+        if spare and spare[-1] <= waste:
+            return False
+        return not any(s < t <= s + waste for s in set(chosen) for t in spare)
+
+    stack = [(0, room, -1)]  # place, room left, length to give back when the branch is done
+    while stack:
+        i, left, back = stack.pop()
+        if i < 0:
+            left_of[back] += 1
+            chosen.pop()
+            continue
+        if back > 0:
+            chosen.append(back)
+            left_of[back] -= 1
+            stack.append((-1, 0, back))
+        nodes[0] -= 1
+        if nodes[0] <= 0:
+            return
+        while i < len(sizes) and (sizes[i] > left or not left_of[sizes[i]]):
+            i += 1
+        if left - below[i] > slack:
+            continue
+        if i == len(sizes):
+            if left <= slack and undominated(left):
+                yield chosen.copy()
+            continue
+        # Popped in this order: take the length, or go on without any more of it.
+        stack.append((i + 1, left, -1))
+        stack.append((i, left - sizes[i], sizes[i]))
+
+
+def search(histogram: dict[int, int], capacity: int, aim: int, budget: int = SEARCH_BUDGET) -> list[tuple[list[int], int]] | None:
+    """A solution of `aim` sequences by branch and bound; None if there is none, or the budget is used up."""
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    for s, n in histogram.items():
+        counts[s] = n
+    nodes = [budget]
+
+    def choices(slack: int):
+        top = int(np.flatnonzero(counts)[-1])
+        counts[top] -= 1
+        found = fillings(capacity - top, counts.copy(), top, slack, nodes)
+        counts[top] += 1
+        for filling in found:
+            filling = [top, *filling]
+            waste = capacity - sum(filling)
+            times = min(int(counts[s]) // filling.count(s) for s in set(filling))
+            if waste:
+                times = min(times, slack // waste)
+            for k in dict.fromkeys((times, 1)):
+                yield filling, k, waste * k
+
+    def take(filling: list[int], k: int) -> None:
+        for s in filling:
+            counts[s] -= k
+
+    path: list[tuple[list[int], int, int]] = []
+    slack = aim * capacity - sum(s * n for s, n in histogram.items())
+    levels = [choices(slack)]
+    while levels and nodes[0] > 0:
+        step = next(levels[-1], None)
+        if step is None:
+            levels.pop()
+            if path:
+                filling, k, waste = path.pop()
+                take(filling, -k)
+                slack += waste
+            continue
+        take(*step[:2])
+        slack -= step[2]
+        path.append(step)
+        if not counts.any():
+            return [(filling, k) for filling, k, _ in path]
+        levels.append(choices(slack))
+    return None
+
+
+def lower_bound(histogram: dict[int, int], capacity: int) -> int:
+    """ceil(sum / capacity), or what the lengths over half the capacity leave no room for (Martello and Toth)."""
+    n = np.zeros(capacity + 1, dtype=np.int64)
+    for s, k in histogram.items():
+        n[s] = k
+    size = n * np.arange(capacity + 1)
+    half = capacity // 2
+    best = -(-int(size.sum()) // capacity)
+    for least in range(half + 1):
+        big = int(n[half + 1 :].sum())
+        room = int((capacity * n - size)[half + 1 : capacity - least + 1].sum())
+        best = max(best, big + max(0, -(-(int(size[least : half + 1].sum()) - room) // capacity)))
+    return best
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
     """Patterns (lengths of one sequence, largest first) and how many sequences take each."""
+    histogram = {s: n for s, n in histogram.items() if n}
+    best = greedy(histogram, capacity)
+    low, high = lower_bound(histogram, capacity), sum(k for _, k in best)
+    aim, budget = low, SEARCH_BUDGET
+    while low < high and budget:
+        found, budget = search(histogram, capacity, aim, budget), budget // 2
+        if found:
+            best, high = found, sum(k for _, k in found)
+        else:
+            low = aim + 1
+        aim = (low + high) // 2
+    return best
+
+
+def greedy(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
+    """The incumbent: the best filling found around the largest length left, committed at once."""
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for s, n in histogram.items():
         counts[s] = n
