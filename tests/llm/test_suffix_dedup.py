@@ -73,3 +73,31 @@ def test_radix_passes_find_equal_windows():
     starts = np.arange(len(data) - 12)
     got = S.repeated_windows(data, starts, np.zeros(len(starts), np.int64), 13)
     assert got.tolist() == [seen[bytes(data[i : i + 13])] > 1 for i in starts]
+
+
+def test_no_task_compares_all_runs_of_a_hot_anchor(spark, monkeypatch):
+    rng = random.Random(4)
+    other = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    head = other(150)
+    rows = [(i, other(rng.randint(0, 90)) + head + other(rng.randint(0, 90))) for i in range(120)]
+    rows += [(1000 + i, rows[i][1][:200] + "#" + other(40)) for i in range(0, 60, 3)] + [(2000, rows[7][1]), (2001, head + head + head)]
+    rows += [(3000 + i, other(30) + head + "0123456789" * 6) for i in range(40)]
+    kept = S.compare_runs
+
+    def compare_runs(window):
+        compare = kept(window)
+
+        def run(table):
+            anchors = np.frombuffer(b"".join(table.column("heads").to_pylist()), dtype=np.int64).reshape(-1, 7)[:, 0]
+            assert np.unique(anchors, return_counts=True)[1].max() <= 60, "one anchor's runs in one task"
+            return compare(table)
+
+        return run
+
+    monkeypatch.setattr(S, "compare_runs", compare_runs)
+    monkeypatch.setattr(S, "HOT_ENTRIES", 40)
+    assert run(spark, rows) == brute(rows, 200)
+    assert len(S.hot_anchors(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 200, 64)) > 0
+    monkeypatch.setattr(S, "HOT_ENTRIES", 1)
+    monkeypatch.setattr(S, "FLUSH_WINDOWS", 500)
+    assert run(spark, corpus(1)) == brute(corpus(1), 200)

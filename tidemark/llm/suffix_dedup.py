@@ -17,7 +17,11 @@ anchors at equal places, and neighbouring windows mostly share theirs, so an anc
    are repeated whole. Where runs of one anchor differ, the bytes of one run of each kind are
    fetched, and step 3 finds which of its windows are repeated.
 3. Radix passes over the windows of these runs, dealt by anchor.
-4. The intervals found go back to their texts. A text that two or more rows hold is repeated whole
+4. An anchor with more than HOT_ENTRIES entries (a text that many documents hold, with different
+   text around it) takes no part in steps 2 and 3: its windows are dealt by their hash (128 bits:
+   window and anchor). What repeats inside one batch of entries is known there, and a batch sends
+   a window once, so no group grows with an anchor or with the holders of a window.
+5. The intervals found go back to their texts. A text that two or more rows hold is repeated whole
    if it is as long as a window.
 
 Null text: empty. Texts shorter than the window: nothing goes. Repeated rows are two documents.
@@ -42,6 +46,8 @@ GRAM = 64
 BUCKET_ENTRIES = 1_000_000
 BUCKET_RUNS = 30_000
 FLUSH_ENTRIES = 600_000
+HOT_ENTRIES = 20_000
+FLUSH_WINDOWS = 1_000_000
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -156,7 +162,122 @@ def found_table(parts) -> pa.Table:
     )
 
 
-def anchor_entries(texts: DataFrame, buckets: int, window: int, gram: int) -> DataFrame:
+def hot_anchors(texts: DataFrame, window: int, gram: int) -> list[int]:
+    """Anchors with more than HOT_ENTRIES entries; one that a chunk of texts holds once doesn't count there."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = buffers(batch.column("text"))
+            for _, _, part, at in chunks(data, offsets):
+                found = anchor_runs(part, at, window, gram)
+                if found is not None:
+                    anchor, count = np.unique(found[1], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor[count > 1].view(np.int64)), pa.array(count[count > 1])], names=["anchor", "n"])
+
+    counts = texts.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    return sorted(r[0] for r in counts.where(F.col("n") > HOT_ENTRIES).select("anchor").collect())
+
+
+WINDOWS = np.dtype([("key", "<u8"), ("anchor", "<u8"), ("begin", "<u4"), ("end", "<u4"), ("known", "u1")])
+
+
+def joined_places(owner: np.ndarray, begin: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owners, begins and ends of the intervals that windows at consecutive places make up."""
+    if not len(owner):
+        return owner, begin, begin
+    order = np.lexsort((begin, owner))
+    owner, begin = owner[order], begin[order]
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (begin[1:] > begin[:-1] + 1)]))
+    last = np.append(new[1:], len(owner)) - 1
+    return owner[new], begin[new], begin[last] + window
+
+
+def hot_entries(texts: DataFrame, buckets: int, window: int, gram: int, hot: list[int]) -> DataFrame:
+    """Windows of hot anchors: known 0 stands alone in its batch, 1 is a found interval, 2 a window found already."""
+    anchors = texts.sparkSession.sparkContext.broadcast(np.asarray(hot, dtype=np.int64).view(np.uint64))
+
+    def run(batches):
+        parts, h1s, h2s, size, seen = [], [], [], 0, set()
+
+        def flush():
+            key, anchor, owner, begin = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((anchor, key))
+            key, anchor, owner, begin = key[order], anchor[order], owner[order], begin[order]
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (anchor[1:] != anchor[:-1])])
+            twice = ~(new & np.append(new[1:], True))
+            who, first, end = joined_places(owner[twice], begin[twice], window)
+            sent = np.zeros(int(new.sum()), dtype=WINDOWS)
+            for name, values in zip(WINDOWS.names, (key[new], anchor[new], begin[new], begin[new] + window, 2 * twice[new])):
+                sent[name] = values
+            known = np.zeros(len(who), dtype=WINDOWS)
+            known["begin"], known["end"], known["known"] = first, end, 1
+            bucket = np.concatenate([sent["key"] >> np.uint64(17), mix(who.astype(np.uint64))]) % np.uint64(buckets)
+            return packed_by_bucket(bucket.astype(np.int32), np.concatenate([owner[new], who]), [np.asarray(h1s, dtype=np.int64), np.asarray(h2s, dtype=np.int64)], np.concatenate([sent, known]))
+
+        for batch in batches:
+            data, offsets = buffers(batch.column("text"))
+            h1, h2 = batch.column("h1").to_pylist(), batch.column("h2").to_pylist()
+            for first, end, part, at in chunks(data, offsets):
+                found = anchor_runs(part, at, window, gram)
+                if found is None:
+                    continue
+                doc, anchor, _, place, back0, back1 = found
+                mine = np.isin(anchor, anchors.value)
+                number = np.full(end - first, -1, dtype=np.int64)
+                for d in np.unique(doc[mine]).tolist():
+                    key = (h1[first + d], h2[first + d])
+                    if key not in seen:
+                        seen.add(key)
+                        number[d] = len(h1s)
+                        h1s.append(key[0])
+                        h2s.append(key[1])
+                mine &= number[doc] >= 0
+                doc, anchor, count = doc[mine], anchor[mine], (back0 - back1 + 1)[mine]
+                start = np.repeat(place[mine] - back0[mine], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                running = prefix_hash(part)
+                for some in range(0, len(start), FLUSH_WINDOWS):
+                    pick = slice(some, some + FLUSH_WINDOWS)
+                    who = np.repeat(doc, count)[pick]
+                    begin = start[pick] + at[who]
+                    parts.append((span_hash(running, begin, begin + window), np.repeat(anchor, count)[pick], number[who], start[pick]))
+                    size += len(begin)
+                    if size >= FLUSH_WINDOWS:
+                        yield flush()
+                        parts, size = [], 0
+                if not parts:
+                    h1s, h2s, seen = [], [], set()
+        if size:
+            yield flush()
+
+    return texts.select("text", "h1", "h2").mapInArrow(run, PACKED)
+
+
+def resolve_windows(window: int):
+    """Function of one bucket of windows of hot anchors: the repeated intervals."""
+
+    def run(table: pa.Table) -> pa.Table:
+        h1, h2, e = unpacked(table, WINDOWS)
+        given = e["known"] == 1
+        parts = [(h1[given], h2[given], e["begin"][given], e["end"][given])]
+        h1, h2, e = h1[~given], h2[~given], e[~given]
+        if len(e):
+            order = np.lexsort((e["begin"], h2, h1, e["anchor"], e["key"]))
+            h1, h2, e = h1[order], h2[order], e[order]
+            same = (e["key"][1:] == e["key"][:-1]) & (e["anchor"][1:] == e["anchor"][:-1])
+            other = same & ((h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]) | (e["begin"][1:] != e["begin"][:-1]))
+            group = np.cumsum(np.concatenate([[True], ~same])) - 1
+            again = np.bincount(group, weights=np.concatenate([[False], other]) + (e["known"] == 2)) > 0
+            pick = again[group]
+            parts.append((h1[pick], h2[pick], e["begin"][pick], e["end"][pick]))
+        h1, h2, begin, end = (np.concatenate(x) for x in zip(*parts))
+        return found_table([(0, by_entity(h1, h2, np.stack([begin, end], axis=1).astype(np.int64)))])
+
+    return run
+
+
+def anchor_entries(texts: DataFrame, buckets: int, window: int, gram: int, hot: list[int]) -> DataFrame:
+    anchors = texts.sparkSession.sparkContext.broadcast(np.asarray(hot, dtype=np.int64).view(np.uint64))
+
     def run(batches):
         parts, h1s, h2s, size, seen = [], [], [], 0, set()
 
@@ -181,7 +302,7 @@ def anchor_entries(texts: DataFrame, buckets: int, window: int, gram: int) -> Da
                         h1s.append(key[0])
                         h2s.append(key[1])
                 doc, anchor, run_hash, place, back0, back1 = found
-                mine = number[doc] >= 0
+                mine = (number[doc] >= 0) & ~np.isin(anchor, anchors.value)
                 records = np.empty(int(mine.sum()), dtype=ENTRY)
                 for name, values in zip(ENTRY.names, (anchor, run_hash, place, back0, back1)):
                     records[name] = values[mine]
@@ -312,7 +433,11 @@ def removal_table(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_co
     measured = texts.select("key", "h1", "h2", F.octet_length("text").alias("bytes"))
     total = measured.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(8, math.ceil(total / ((window - gram + 2) / 2) / BUCKET_ENTRIES))
-    found, found_path = store(anchor_entries(texts, buckets, window, gram).groupBy("bucket").applyInArrow(resolve_entries(window), FOUND))
+    hot = hot_anchors(texts, window, gram)
+    found = anchor_entries(texts, buckets, window, gram, hot).groupBy("bucket").applyInArrow(resolve_entries(window), FOUND)
+    if hot:
+        found = found.union(hot_entries(texts, 8 * buckets, window, gram, hot).groupBy("bucket").applyInArrow(resolve_windows(window), FOUND))
+    found, found_path = store(found)
 
     asked = found.where("kind = 1")
     runs = asked.agg(F.sum(F.octet_length("records"))).first()[0] or 0
