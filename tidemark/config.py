@@ -10,7 +10,6 @@ class Horizon:
     oos_days: int = 28
     forecast_days: int = 28
     block_days: int = 28
-    recent_blocks: int = 20
 
 
 @dataclass(frozen=True)

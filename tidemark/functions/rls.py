@@ -17,7 +17,7 @@ def coefficient_path(x: np.ndarray, y: np.ndarray, decay: float, min_y: float, s
     coef[0] = float((y[:seed] - x[:seed, 1:] @ coef[1:]).mean()) if n else 0.0
     spread = np.eye(p) * prior_scale
     spread[0, 0] = prior_scale * coef[0]
-    path = np.empty((n, p))
+    path, outer = np.empty((n, p)), np.empty((p, p))
     for i in range(n):
         if y[i] > min_y:
             row = x[i]
@@ -26,8 +26,11 @@ def coefficient_path(x: np.ndarray, y: np.ndarray, decay: float, min_y: float, s
             right = spread @ row
             gain = 1.0 / (decay + left @ row)
             error = y[i] - row @ coef
-            spread = (spread - gain * np.outer(right, left)) / decay
-            coef = coef + gain * error * left
+            np.outer(right, left, out=outer)  # in place: no p x p array a row
+            outer *= gain
+            spread -= outer
+            spread /= decay
+            coef += gain * error * left
         path[i] = coef
     return path
 

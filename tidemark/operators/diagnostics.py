@@ -85,7 +85,9 @@ def residual_extremes(fc: DataFrame, per_store: int = 4) -> DataFrame:
 def gamma_strength(fc: DataFrame, gammas=(0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:
     """Per section the strength with which the latest block should move the older mean: history chooses, the holdout validates."""
     older = fc.groupBy(*LEAF).agg(sum_if(F.col("k") > 0, F.col("y")).alias("older"))
-    rows = fc.where(F.col("y") > 0).join(older, LEAF).withColumn("level", F.bround(F.col("older") / (19 * 28.0) * 16, 0) / 16)
+    blocks = fc.groupBy("section").agg(F.max("k").alias("older_blocks"))
+    level = F.bround(F.col("older") / (F.greatest("older_blocks", F.lit(1)) * 28.0) * 16, 0) / 16
+    rows = fc.where(F.col("y") > 0).join(older.join(blocks, "section").select(*LEAF, level.alias("level")), LEAF)
     rows = rows.withColumn("gamma", F.explode(F.array(*(F.lit(g) for g in gammas))))
     forecast = F.col("level") + F.col("gamma") * (F.col("yhat") - F.col("level"))
     grid = rows.groupBy("section", "gamma").agg(sum_if(F.col("k") > 0, F.abs(forecast - F.col("y"))).alias("history_error"), sum_if(F.col("k") == 0, F.abs(forecast - F.col("y"))).alias("holdout_error"))

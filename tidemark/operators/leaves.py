@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Horizon
 from tidemark.functions.exprs import ratio
 from tidemark.functions.ses import AHEAD, HISTORY, HOLDOUT, walk_forward
+from tidemark.sources.stage import dealt
 
 LEAF = ["section", "store", "sku"]
 PERIODS = {"in_sample": HISTORY, "out_sample": HOLDOUT, "forecast_only": AHEAD}
@@ -72,7 +73,7 @@ def forecast_leaf(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def leaf_forecasts(days: DataFrame, nodes: DataFrame, cadence: int = 28) -> DataFrame:
-    return leaf_rows(days, selected_parent(nodes, cadence)).groupBy(*LEAF).applyInPandas(forecast_leaf, OUTPUT)
+    return dealt(leaf_rows(days, selected_parent(nodes, cadence)), *LEAF).groupBy(*LEAF).applyInPandas(forecast_leaf, OUTPUT)
 
 
 def parent_candidates(forecast: DataFrame, nodes: DataFrame, cadence: int = 28) -> DataFrame:

@@ -12,7 +12,9 @@ from tidemark.functions.effect import relative_effect
 from tidemark.functions.exprs import unique_id
 from tidemark.functions.rls import coefficient_path, lag_matrix, predict_log_ar, predict_log_base
 from tidemark.operators.calendar import HOLIDAYS, MONTHS, OFFSETS, WEEKDAYS, calendar_dummies, holiday_offsets, holiday_ramp, holiday_table, offset_column
+from tidemark.operators.panel import horizons
 from tidemark.operators.price import decompose, last_prices
+from tidemark.sources.stage import dealt, stage
 
 PRICES = ["asp", "edp", "discount"]
 CALENDAR = [*WEEKDAYS.values(), *MONTHS.values(), *(offset_column(h, o) for h in HOLIDAYS for o in OFFSETS), "mothers_day", "fathers_day"]
@@ -24,14 +26,12 @@ OUTPUT = (
 
 
 def node_panel(spark: SparkSession, days: DataFrame, horizon: Horizon = Horizon()) -> DataFrame:
-    """Dense days of section and store nodes with causal prices and calendar drivers, history to forecast horizon."""
-    length = horizon.recent_blocks * horizon.block_days
-    bounds = days.groupBy("section").agg(F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
-    recent = days.join(bounds, "section").withColumn("start", F.greatest("first_ds", F.date_sub("last_ds", length + horizon.oos_days - 1))).where("ds >= start")
-    nodes = recent.groupingSets([[F.col("section"), F.col("ds")], [F.col("section"), F.col("store"), F.col("ds")]], F.col("section"), F.col("store"), F.col("ds")).agg(
-        F.sum("y").alias("y"), F.sum("value").alias("value"), F.min("start").alias("start"), F.max("last_ds").alias("last_ds")
-    )
-    nodes = nodes.withColumn("unique_id", unique_id("section", "store", None))
+    """Dense days of section and store nodes with causal prices and calendar drivers: all of the canonical training window, holdout and forecast horizon.
+
+    The facts are read once: the sums of the nodes are a stage, and all that follows reads them."""
+    sums = stage(days.groupingSets([[F.col("section"), F.col("ds")], [F.col("section"), F.col("store"), F.col("ds")]], F.col("section"), F.col("store"), F.col("ds")).agg(F.sum("y").alias("y"), F.sum("value").alias("value")))
+    windows = horizons(sums, horizon).select("section", F.col("train_start").alias("start"), F.col("oos_end").alias("last_ds"))
+    nodes = sums.join(windows, "section").where("ds >= start").withColumn("unique_id", unique_id("section", "store", None))
     keys = ["unique_id", "section"]
     grid = nodes.groupBy(*keys).agg(F.max("store").alias("store"), F.min("start").alias("start"), F.max("last_ds").alias("last_ds"))
     grid = grid.select("*", F.explode(F.sequence("start", F.date_add("last_ds", horizon.forecast_days))).alias("ds"))
@@ -129,8 +129,8 @@ def forecast_node(frame: pd.DataFrame, cadences=CADENCES, rls: Rls = Rls()) -> p
 
 
 def node_forecasts(panel: DataFrame, cadences=CADENCES) -> DataFrame:
-    """One group a node; a node's recent history is bounded by the horizon."""
-    return panel.groupBy("unique_id").applyInPandas(lambda frame: forecast_node(frame, cadences), OUTPUT)
+    """One group a node: its days from the start of training to the forecast horizon."""
+    return dealt(panel, "unique_id").groupBy("unique_id").applyInPandas(lambda frame: forecast_node(frame, cadences), OUTPUT)
 
 
 # --- candidate records and driver screens --------------------------------------------------------
@@ -181,7 +181,7 @@ def node_candidates(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataF
         ]
         return pd.DataFrame(out, columns=[c.split()[0] for c in CANDIDATES.split(", ")])
 
-    return panel.groupBy("unique_id").applyInPandas(run, CANDIDATES)
+    return dealt(panel, "unique_id").groupBy("unique_id").applyInPandas(run, CANDIDATES)
 
 
 def driver_screen(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataFrame:
@@ -198,4 +198,4 @@ def driver_screen(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataFra
                 out.append((frame["unique_id"][0], group, period, number, error, other[2], sales))
         return pd.DataFrame(out, columns=[c.split()[0] for c in SCREEN.split(", ")])
 
-    return panel.groupBy("unique_id").applyInPandas(run, SCREEN)
+    return dealt(panel, "unique_id").groupBy("unique_id").applyInPandas(run, SCREEN)

@@ -21,6 +21,7 @@ from tidemark.operators import rollup as A
 from tidemark.operators import serving as W
 from tidemark.plans import sqltext as S
 from tidemark.sources import retail as T
+from tidemark.sources.stage import stage
 from tidemark.streaming import closed_blocks as C
 
 QUERIES: dict = {}
@@ -445,7 +446,8 @@ def residual_extremes(spark, sf):
 
 
 @query(with_(S.FC + """, old AS (SELECT section, store, sku, coalesce(sum(y) FILTER (k > 0), 0.0) AS older FROM fc GROUP BY ALL),
-lv AS (SELECT fc.*, round_even(older / (19 * 28.0::DOUBLE) * 16, 0) / 16 AS level FROM fc JOIN old USING (section, store, sku) WHERE y > 0),
+ob AS (SELECT section, max(k) AS older_blocks FROM fc GROUP BY section),
+lv AS (SELECT fc.*, round_even(older / (greatest(older_blocks, 1) * 28.0::DOUBLE) * 16, 0) / 16 AS level FROM fc JOIN old USING (section, store, sku) JOIN ob USING (section) WHERE y > 0),
 gr AS (SELECT section, g AS gamma, coalesce(sum(abs(level + g * (yhat - level) - y)) FILTER (k > 0), 0.0) AS history_error, coalesce(sum(abs(level + g * (yhat - level) - y)) FILTER (k = 0), 0.0) AS holdout_error FROM lv, (VALUES (0.0::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (1.0::DOUBLE)) t(g) GROUP BY ALL),
 gb AS (SELECT *, max(CASE WHEN gamma = 1.0 THEN holdout_error END) OVER (PARTITION BY section) AS base_holdout, row_number() OVER (PARTITION BY section ORDER BY history_error, gamma) AS r FROM gr)""", "SELECT section, gamma, history_error, holdout_error, base_holdout, CASE WHEN gamma = 1.0 THEN 'keep_current' WHEN holdout_error < base_holdout THEN 'validated_calibration' ELSE 'holdout_regime_shift' END AS status FROM gb WHERE r = 1"))
 def gamma_strength(spark, sf):
@@ -478,7 +480,7 @@ cg AS (SELECT section, store, sku, min(total) AS low, max(total) AS high, max(sc
 def cadence_gate(spark, sf):
     days = T.leaf_days(spark, sf)
     rows = T.with_blocks(days).where("k >= 1").withColumn("c", F.explode(F.array(F.lit(28), F.lit(56), F.lit(112)))).where("k <= c DIV 28")
-    totals = rows.groupBy(*LEAF, "c").agg((F.sum("y") / (F.first("c") / 28) / 4).alias("total"))
+    totals = rows.groupBy(*LEAF, "c").agg((F.sum("y") / (F.col("c") / 28) / 4).alias("total"))
     return V.cadence_gate(totals.join(days.groupBy(*LEAF).agg(F.max("y").alias("scale")), LEAF))
 
 
@@ -518,8 +520,8 @@ def simple_ses_fold(spark, sf):
 
 
 def nodes_of(spark, days):
-    """Node forecasts of one cadence, kept for the several joins that read them (a row a node and day)."""
-    return N.node_forecasts(N.node_panel(spark, days), (28,)).cache()
+    """Node forecasts of one cadence, a stage for the several joins that read them (a row a node and day)."""
+    return stage(N.node_forecasts(N.node_panel(spark, days), (28,)))
 
 
 @query()

@@ -10,10 +10,10 @@ BLOCKS = DAYS + """,
 bounds AS (SELECT section, min(ds) AS first_ds, max(ds) AS last_ds FROM days GROUP BY section),
 blocks AS (SELECT d.*, CAST(floor(date_diff('day', ds, last_ds) / 28.0) AS BIGINT) AS k FROM days d JOIN bounds USING (section))"""
 FC = BLOCKS + """,
-block_sums AS (SELECT section, store, sku, k - 1 AS k, sum(y) AS s, sum(value) AS v FROM blocks WHERE k <= 20 GROUP BY ALL),
+block_sums AS (SELECT section, store, sku, k - 1 AS k, sum(y) AS s, sum(value) AS v FROM blocks GROUP BY ALL),
 fc AS (SELECT b.section, b.store, b.sku, b.ds, b.k, b.y, b.value, round_even(coalesce(s, 0.0) / 28 * 16, 0) / 16 AS yhat, round_even(coalesce(v, 0.0) / 28 * 16, 0) / 16 AS valuehat,
          CASE WHEN b.k = 0 THEN 'out_sample' ELSE 'in_sample' END AS period_type
-       FROM blocks b LEFT JOIN block_sums t ON b.section = t.section AND b.store = t.store AND b.sku = t.sku AND b.k = t.k WHERE b.k < 20)"""
+       FROM blocks b LEFT JOIN block_sums t ON b.section = t.section AND b.store = t.store AND b.sku = t.sku AND b.k = t.k)"""
 
 PARTS = """coalesce(sum(y) FILTER (y <> 0), 0.0) AS sum_y, coalesce(sum(yhat) FILTER (y <> 0), 0.0) AS sum_yhat, coalesce(sum(abs(y)) FILTER (y <> 0), 0.0) AS sum_abs_y,
   coalesce(sum(abs(yhat - y)) FILTER (y <> 0), 0.0) AS sum_abs_error, coalesce(sum(yhat - y) FILTER (y <> 0), 0.0) AS sum_signed_error,

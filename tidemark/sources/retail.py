@@ -44,32 +44,34 @@ def leaf_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_bounds(days: DataFrame) -> DataFrame:
+    """First and last day of each section, from leaf days or from the facts."""
     return days.groupBy("section").agg(F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"))
 
 
-def with_blocks(days: DataFrame, horizon: Horizon = Horizon()) -> DataFrame:
+def with_blocks(days: DataFrame, bounds: DataFrame | None = None, horizon: Horizon = Horizon()) -> DataFrame:
     """Adds k: 0 for the last block of a section's days, 1 for the one before, and so on."""
-    return days.join(section_bounds(days), "section").withColumn("k", F.floor(F.date_diff("last_ds", "ds") / horizon.block_days))
+    bounds = section_bounds(days) if bounds is None else bounds
+    return days.join(bounds, "section").withColumn("k", F.floor(F.date_diff("last_ds", "ds") / horizon.block_days))
 
 
-def naive_forecast(days: DataFrame, horizon: Horizon = Horizon()) -> DataFrame:
-    """Recent leaf days with a causal forecast: the block before, spread evenly over its days."""
-    blocks = with_blocks(days, horizon).where(F.col("k") <= horizon.recent_blocks)
-    sums = blocks.groupBy(*LEAF, "k").agg(F.sum("y").alias("s"), F.sum("value").alias("v"))
-    before = sums.select(*LEAF, (F.col("k") - 1).alias("k"), "s", "v")
+def naive_forecast(days: DataFrame, bounds: DataFrame | None = None, horizon: Horizon = Horizon()) -> DataFrame:
+    """All leaf days with a causal forecast: the block before, spread evenly over its days (0 where it had no sales).
+
+    The block before is a window over the leaf's own rows, so history is neither joined to itself nor cut."""
+    before = Window.partitionBy(*LEAF).orderBy("k").rangeBetween(1, 1)
 
     def even(c):
-        return F.bround(F.coalesce(F.col(c), F.lit(0.0)) / horizon.block_days * 16, 0) / 16
+        return F.bround(F.coalesce(F.sum(c).over(before), F.lit(0.0)) / horizon.block_days * 16, 0) / 16
 
-    out = blocks.where(F.col("k") < horizon.recent_blocks).join(before, [*LEAF, "k"], "left")
-    return out.select(
-        *LEAF, "ds", "k", "y", "value", even("s").alias("yhat"), even("v").alias("valuehat"),
+    return with_blocks(days, bounds, horizon).select(
+        *LEAF, "ds", "k", "y", "value", even("y").alias("yhat"), even("value").alias("valuehat"),
         F.when(F.col("k") == 0, "out_sample").otherwise("in_sample").alias("period_type"),
     )
 
 
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return naive_forecast(leaf_days(spark, sf_dir))
+    """The bounds come from two columns of the facts, not from a second aggregation of the leaf days."""
+    return naive_forecast(leaf_days(spark, sf_dir), section_bounds(facts(spark, sf_dir)))
 
 
 def first_in_group(df: DataFrame, keys: list[str], *order) -> DataFrame:
