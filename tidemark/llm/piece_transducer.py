@@ -1,18 +1,28 @@
 """SentencePiece encoding and decoding as weighted finite-state transduction.
 
-A model file is compiled to three machines: the normaliser (blanks become the blank mark, one mark
-goes in front), the piece machine with an arc per piece, and byte fallback for characters without a
-piece. The piece machine of a byte-pair model is a bigram machine: its states are the last piece
-read, and an arc u -> v weighs 0 where merging the characters of u + v by rank gives just [u, v],
-and infinity elsewhere. A sequence of pieces is what the merge procedure makes of a string if and
-only if every two neighbours are such a pair, so the composition with an input has one path of
-finite weight, and it is the tropical-semiring shortest path. Arcs are composed lazily and kept in
-bounded tables.
+A model file is compiled to three machines. The normaliser rewrites characters: blanks become the
+blank mark, and as the model has it a mark goes in front and runs of blanks shrink (a model with a
+table of character rewritings brings its own compiled normaliser, which is used as it is). The piece
+machine is a trie with a final state per piece. Byte fallback has an arc per character without a
+piece. The machines are composed with an input lazily: `arcs_from` gives the arcs that leave a
+place of the normalised input, `weight` an arc's weight behind the piece before it, and a path's
+weight is the sum of its arcs', so the best path is the shortest in the tropical semiring.
+
+In a unigram model a piece weighs minus its score and an unknown character 10 more than the heaviest
+piece; `lightest_path` relaxes the arcs place by place. In a byte-pair model the piece machine is a
+bigram machine: its states are the last piece read, and an arc u -> v weighs 0 where merging the
+characters of u + v by rank gives just [u, v], and infinity elsewhere. A sequence of pieces is what
+the merge procedure makes of a string if and only if every two neighbours are such a pair, so the
+composition has one path of finite weight, and that is the shortest. `lightest_path` finds it by
+relaxing all arcs between (place, piece) states, `zero_path`, which the encoder takes, by following
+arcs of weight 0 depth first: with no weights but 0 and infinity, the first path that arrives is
+shortest. The tests hold the two against each other, and both kinds of model against the library.
+Weights of arcs are kept in a bounded table.
 
 No piece holds a blank mark behind another character, so the composition falls apart in front of
 each run of marks; these parts are solved once and kept in a bounded table. Inputs of a model whose
-pieces break that rule are solved in one part. Models of other kinds than byte-pair (unigram)
-weigh a piece by minus its score, with no pair condition, and are solved by the same search.
+pieces break that rule are solved in one part. Neighbouring unknown characters of a model without
+byte fallback are one unknown piece, as in the library.
 
 Decoding concatenates pieces and bytes, turns marks into blanks and drops the first. It gives the
 text back exactly unless the text holds the mark itself.
@@ -60,10 +70,15 @@ class PieceTransducer:
         self.unknown = model.unk_id()
         # The piece machine as a trie: every prefix of a piece, with the piece's id or -1.
         self.prefixes = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        # The normaliser's settings, read off what it does.
         self.prefix = model.normalize(f"a{MARK}")[:1] == MARK
+        self.shrinks = model.normalize(" a  b ").strip(MARK) == f"a{MARK}b" and not model.normalize("b ").endswith(MARK)
+        probe = "ﬁ½Å\u3000Ⅳ\tx\u200b"
+        self.own_normaliser = None if model.normalize(probe).lstrip(MARK) == probe else model
         self.splits = not any(MARK in p.lstrip(MARK) for p in self.ids)
         # Fixed by the format: byte-pair models number their merges, so scores fall by whole steps.
         self.merging = all(float(s).is_integer() for s in self.scores.values())
+        self.unknown_weight = 10.0 - min(self.scores.values(), default=0.0)
         self.parts: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}  # the table before the last change of tables
         self.arcs: dict[int, bool] = {}
@@ -107,8 +122,10 @@ class PieceTransducer:
         for k, end in path:
             if k >= 0:
                 out.append(k)
-            else:
-                out.extend(self.bytes[b] for b in part[at:end].encode()) if self.bytes else out.append(self.unknown)
+            elif self.bytes:
+                out.extend(self.bytes[b] for b in part[at:end].encode())
+            elif out[-1:] != [self.unknown]:
+                out.append(self.unknown)
             at = end
         return tuple(out)
 
@@ -153,22 +170,37 @@ class PieceTransducer:
                     levels.append((step[1], step[0], self.arcs_from(part, step[1])))
         return path
 
+    def weight(self, left: int, right: int) -> float:
+        """Weight of the arc that reads piece right (-1: a character without a piece) behind piece left (-1: none)."""
+        if not self.merging:
+            return -self.scores[right] if right >= 0 else self.unknown_weight
+        return 0.0 if right < 0 or self.passes(left, right) else math.inf
+
     def lightest_path(self, part: str) -> list[tuple[int, int]]:
-        """Shortest path where a piece weighs minus its score."""
+        """Shortest path by relaxing all arcs in order of places; a state is a place, with the last piece where weights ask for it."""
         n = len(part)
-        weight, last = [0.0] + [math.inf] * n, [(-1, 0)] * (n + 1)
+        # Of each place: state -> weight so far, piece read, where it began, state before.
+        reached: list[dict[int, tuple[float, int, int, int]]] = [{} for _ in range(n + 1)]
+        reached[0][-1] = (0.0, -1, 0, -1)
         for begin in range(n):
-            for k, end in self.arcs_from(part, begin):
-                w = weight[begin] - (self.scores[k] if k >= 0 else -1e9)
-                if w < weight[end]:
-                    weight[end], last[end] = w, (k, begin)
-        path, at = [], n
+            arcs = self.arcs_from(part, begin) if reached[begin] else ()
+            for state, (so_far, *_) in reached[begin].items():
+                for k, end in arcs:
+                    w, after = so_far + self.weight(state, k), k if self.merging else -1
+                    if w < reached[end].get(after, (math.inf,))[0]:
+                        reached[end][after] = (w, k, begin, state)
+        path, at, state = [], n, min(reached[n], key=lambda k: reached[n][k][0], default=-1)
         while at:
-            path.append((last[at][0], at))
-            at = last[at][1]
+            _, k, begin, before = reached[at][state]
+            path.append((k, at))
+            at, state = begin, before
         return path[::-1]
 
     def normalise(self, text: str) -> str:
+        if self.own_normaliser is not None:
+            return self.own_normaliser.normalize(text)
+        if self.shrinks:
+            text = " ".join(x for x in text.split(" ") if x)
         return (MARK if self.prefix else "") + text.replace(" ", MARK) if text else ""
 
     def encode(self, text: str) -> list[int]:
@@ -183,6 +215,8 @@ class PieceTransducer:
                         self.older, self.parts = table, {}
                         table = self.parts
                     table[part] = ids
+            if not self.bytes and out[-1:] == [self.unknown] and ids[:1] == (self.unknown,):
+                ids = ids[1:]
             out.extend(ids)
         return out
 
