@@ -3,11 +3,13 @@
 Texts are lower-cased (A-Z) and reduced to their words (ASCII letters and digits, and every
 non-ASCII character) with one blank between them, so a phrase is found where its words stand
 consecutively, whatever stands between them. One automaton finds the notice phrases and the tags
-that announce a licence expression. Behind a tag the expression is read from the same line of the
-original text: identifiers, `and`, `or`, `with` and parentheses, turned into postfix order by the
-shunting-yard method (`with` binds tighter than `and`, `and` tighter than `or`) and evaluated to
-the sets of licences that satisfy it; an expression that doesn't parse yields the identifiers that
-it names. An expression's identifiers become labels.
+that announce a licence expression. Behind a tag that stands on one line the expression is read up
+to the line's end or the next tag: identifiers, `and`, `or`, `with` and parentheses, turned into
+postfix order by the shunting-yard method (`with` binds tighter than `and`, `and` tighter than `or`)
+and evaluated on the postfix stack: it is permissive if a choice among its alternatives needs
+permissive licences only. An expression that doesn't parse (`and mit`, `(mit or x`) yields the
+identifiers that it names and counts as not permissive. An expression's identifiers become labels.
+A tag whose words stand on several lines announces nothing.
 
 Score: the share of the found phrases and expressions that name a permissive licence, weighted by
 how specific they are, or 0 if nothing is found.
@@ -60,7 +62,8 @@ for _lo, _hi in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
 WORD_TABLE = _TABLE.tobytes()
 
 _TOKEN = re.compile(r"\s*(\(|\)|[a-z0-9.+\-]+)")
-_TAG_LINE = re.compile(r"(?:spdx[^a-z0-9\n]+license[^a-z0-9\n]+identifier|license[^a-z0-9\n]+expression)[^a-z0-9\n(]*([^\n]*)")
+_TAG = r"(?:spdx[^a-z0-9\n]+license[^a-z0-9\n]+identifier|license[^a-z0-9\n]+expression)"
+_TAG_LINE = re.compile(_TAG + r"[^a-z0-9\n(]*((?:(?!" + _TAG + r")[^\n])*)")
 _BINDING = {"or": 1, "and": 2, "with": 3}
 
 
@@ -99,33 +102,39 @@ def to_postfix(text: str) -> list[str] | None:
     return best
 
 
-def alternatives(postfix: list[str]) -> list[frozenset[str]]:
-    """The minimal sets of licences each of which satisfies the expression (at most 64 of them are told apart)."""
-    stack: list[list[frozenset[str]]] = []
+def permissive(postfix: list[str]) -> bool:
+    """Whether some choice among the alternatives needs permissive licences only; an exception leaves its licence as it is."""
+    stack: list[bool] = []
     for token in postfix:
         if token not in _BINDING:
-            stack.append([frozenset([token])])
+            stack.append(token.startswith(PERMISSIVE))
             continue
         right, left = stack.pop(), stack.pop()
-        if token == "or":
-            both = left + right
-        elif token == "and":
-            both = [x | y for x in left for y in right]
-        else:
-            both = [frozenset([f"{a} with {b}" for a in x for b in y]) for x in left for y in right]
-        minimal = [x for x in dict.fromkeys(both) if not any(y < x for y in both)]
-        stack.append(minimal[:64])
+        stack.append(left or right if token == "or" else left and right if token == "and" else left)
     return stack[0]
 
 
+def named_first(text: str) -> list[str]:
+    """The identifiers at the start of a text, as far as operators and parentheses hold them together."""
+    out, at, joined = [], 0, True
+    while m := _TOKEN.match(text, at):
+        if m[1] in _BINDING:
+            joined = True
+        elif m[1] not in "()":
+            if not joined:
+                break
+            out.append(m[1])
+            joined = False
+        at = m.end()
+    return out
+
+
 def expression_labels(text: str) -> tuple[set[str], bool]:
     """Identifiers named by the expression, and whether a permissive choice satisfies it."""
     postfix = to_postfix(text)
     if not postfix:
-        return set(), False
-    choices = alternatives(postfix)
-    named = {t for t in postfix if t not in _BINDING}
-    return named, any(all(x.startswith(PERMISSIVE) for x in choice) for choice in choices)
+        return set(named_first(text)), False
+    return {t for t in postfix if t not in _BINDING}, permissive(postfix)
 
 
 def build_automaton():
@@ -156,10 +165,10 @@ def scan_text(machine, text: str):
             base.add(label)
     if tagged:
         for m in _TAG_LINE.finditer(text.lower()):
-            named, permissive = expression_labels(m[1])
+            named, choice = expression_labels(m[1])
             labels |= named
             weight += 4 * bool(named)
-            good += 4 * permissive
+            good += 4 * choice
     first = line.count(" ", 0, min(starts)) if starts else None
     last = line.count(" ", 0, max(starts)) if starts else None
     return len(words), len(starts), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), good / weight if weight else 0.0
