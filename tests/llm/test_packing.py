@@ -7,14 +7,13 @@ import pytest
 
 from tidemark.llm import packing as P
 
-TEXTS = ["", None, "a", "Hello  world\n\n foo's bar 12,5\t x", "<|endoftext|> é ü 漢字   x ", "word " * 3000, "   ", "\n \n", "x" * 5000, "don't DON'T we'll"]
+TEXTS = ["", None, "a", "Hello  world\n\n foo's bar 12,5\t x", "<|endoftext|> é ü 漢字   x ", "word " * 3000, "   ", "\n \n", "x" * 5000, "don't DON'T we'll", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftext"]
 
 
 def library_ids(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.default_tokenizer())
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -23,6 +22,12 @@ def test_ids_equal_those_of_the_library(text):
     assert np.frombuffer(P.encoder_of(P.default_tokenizer()).encode([text or ""])[0], "<u4").tolist() == library_ids(text)
 
 
+def test_special_tokens_are_the_librarys_or_ordinary_text():
+    text = "a <|endoftext|> b"
+    assert 50256 in np.frombuffer(P.RankEncoder(P.default_tokenizer()).encode([text])[0], "<u4")
+    assert 50256 not in np.frombuffer(P.RankEncoder(P.default_tokenizer(), special_as_text=True).encode([text])[0], "<u4")
+
+
 def test_pieces_and_places(spark):
     rows = [(i, t, i) for i, t in enumerate(TEXTS)] + [(3, TEXTS[3], 3)] + [(100 + i, "ab cd " * (i % 90), 0) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, length int")

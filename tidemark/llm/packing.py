@@ -20,8 +20,9 @@ A piece is assigned by its rank among the pieces of equal length: ranks come fro
 per (partition, length), and a pattern's ranges of ranks are looked up by bisection in a table
 whose size depends on the capacity alone.
 
-Null text: empty, so the document is its end token alone. Empty table: no rows. Repeated rows are
-packed as documents of their own. Extra columns are ignored.
+Null text: empty, so the document is its end token alone. A text that spells a special token holds
+that token, as the library has it. Empty table: no rows. Repeated rows are packed as documents of
+their own. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,26 +46,32 @@ SEARCH_BUDGET = 200_000
 
 
 class RankEncoder:
-    """Ids of texts as little-endian 32-bit bytes, for a byte-level vocabulary file of `tokenizers`.
-
-    In such a file a merged piece's id grows with the rank of its merge, so the ids are the ranks
-    of a byte-pair encoder, and `tiktoken`'s merge loop over them gives the very ids that the
-    `tokenizers` library gives, at a fifth of its time (the tests hold one against the other).
-    Special tokens' strings in a text are ordinary text. Any other kind of file is encoded by
-    `tokenizers` itself.
+    """Ids of texts as little-endian 32-bit bytes, as `tokenizers` gives them without added special tokens.
+
+    In a byte-level vocabulary file a merged piece's id grows with the rank of its merge, so the ids
+    are the ranks of a byte-pair encoder, and `tiktoken`'s merge loop over them gives the very ids
+    that the `tokenizers` library gives, at a fifth of its time (the tests hold one against the
+    other). Texts that hold the string of an added token, which the library looks up before it
+    splits words, and files of any other kind are encoded by `tokenizers` itself. With
+    `special_as_text` the strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         plain = spec["model"].get("type", "BPE") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer")
+        self.path, self.special_as_text = path, special_as_text
         self.encoding = self._ranks(spec) if plain else None
-        if self.encoding is None:
-            from tokenizers import Tokenizer
+        self.added = [t["content"] for t in spec.get("added_tokens", []) if not (special_as_text and t.get("special"))]
+
+    @functools.cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
 
-            self.tokenizer = Tokenizer.from_file(path)
-            self.tokenizer.encode_special_tokens = True
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = self.special_as_text
+        return found
 
     @staticmethod
     def _ranks(spec: dict):
@@ -79,9 +86,14 @@ class RankEncoder:
         return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.encoding is not None:
-            return [np.asarray(self.encoding.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out = []
+        for text in texts:
+            if self.encoding is None or any(t in text for t in self.added):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            else:
+                ids = self.encoding.encode_ordinary(text)
+            out.append(np.asarray(ids, dtype="<u4").tobytes())
+        return out
 
 
 @functools.lru_cache(maxsize=1)
