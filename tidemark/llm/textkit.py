@@ -140,10 +140,12 @@ def narrow(df: DataFrame, *names: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; set here only where the session names none (tests)."""
+    """The folder that all executors share; where the session names none, a folder of this machine in local mode, an error elsewhere."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or (context._jsc.sc().getCheckpointDir().get() if context._jsc.sc().getCheckpointDir().isDefined() else None)
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         found = "file://" + tempfile.mkdtemp(prefix="tidemark-checkpoint-")
