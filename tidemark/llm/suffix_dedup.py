@@ -13,8 +13,8 @@ anchors at equal places, and neighbouring windows mostly share theirs, so an anc
 
 1. A map finds the anchors of all texts and sends packed (anchor hash, hash of the run's bytes,
    place) entries. Equal texts are one entity (128-bit hash), however many rows hold it.
-2. Anchors met once end here. Runs equal to another run (96 bytes of hash and run bounds agree)
-   are repeated whole. Where runs of one anchor differ, the bytes of one run of each kind are
+2. Anchors met once end here. Runs equal to another run (64 bits each of anchor and run, the
+   latter over the run's bytes and bounds) are repeated whole. Where runs of one anchor differ, the bytes of one run of each kind are
    fetched, and step 3 finds which of its windows are repeated.
 3. Radix passes over the windows of these runs, dealt by anchor.
 4. An anchor with more than HOT_ENTRIES entries (a text that many documents hold, with different
@@ -425,6 +425,8 @@ def kept_runs(n: int, spans: np.ndarray) -> list[tuple[int, int]]:
 
 def removal_table(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of `docs` with `spans`: int64 pairs (begin, end) of repeated bytes, overlapping in any order, or null."""
+    if not gram <= window <= gram + 255:
+        raise ValueError("a window is at most 255 bytes longer than a gram")  # distances to an anchor are kept in a byte
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     h1, h2 = F.xxhash64(text), F.xxhash64(F.lit(17), text)
