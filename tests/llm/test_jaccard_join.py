@@ -74,6 +74,34 @@ def test_repeated_rows_extra_columns_and_empty_table(spark):
     assert J.similar_groups(df.limit(0)).count() == 0
 
 
+def test_one_id_on_two_texts_keeps_both_texts_links(spark):
+    rng = random.Random(4)
+    a, b = ([f"{k}{rng.randrange(10_000)}" for _ in range(40)] for k in "ab")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, " ".join(a[:-1])), (9, " ".join(b[:-1])), (11, " ".join(a[:-1])), (20, "x y z")]
+    want = brute(rows)
+    assert run(spark, rows) == want == [(5, 36, 5), (5, 36, 5), (7, 35, 5), (9, 35, 5), (11, 35, 5), (20, 1, 20)]
+    assert run(spark, rows, group_grams=1) == want
+    assert run(spark, rows, small=1) == want
+    df = spark.createDataFrame([(*r, 1, "k") for r in [*rows, rows[0], (None, rows[0][1]), (None, None), (30, None), (30, None), (31, "")]], "doc_id long, text string, `a.b` int, component long".replace("component long", "component string"))
+    kept = J.one_of_each_group(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(5, rows[0][1]), (5, rows[1][1]), (20, "x y z"), (None, rows[0][1]), (None, None), (30, None), (30, None), (31, "")], key=str)
+    assert J.one_of_each_group(df.limit(0)).count() == 0
+
+
+def test_random_ids_on_several_texts_match_brute_force(spark):
+    rows = [(i % 40, t) for i, t in near_rows(5, 25, 5)]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows, group_grams=200) == brute(rows)
+
+
+def test_a_very_long_text_and_its_near_copy(spark):
+    words = [f"w{i % 9973}x{i % 7}" for i in range(60_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-3000])), (3, " ".join(words[:30_000])), (4, "a b c d e f")]
+    assert run(spark, rows) == brute(rows)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 100, 501])
 def test_prefix_keeps_every_link(n):
     need = -(-75 * n // 100)

@@ -1,7 +1,9 @@
 """Exact n-gram Jaccard self-join and its groups.
 
-A document's set holds the 64-bit hashes of its distinct word n-grams. Documents with one and the
-same set are one entity (64-bit sum signature and set size), so copies are never paired.
+A document's set holds the 64-bit hashes of its distinct word n-grams; "exact" below is up to these
+hashes. Documents with one and the same set are one entity, known by a 64-bit sum signature to the
+end, so copies are never paired and one id on several texts is several entities. An entity's text is
+read from the rows of its smallest id.
 
 1. Candidates. All n-grams get one global order: those seen often go last. With similarity t, two
    linked sets share an n-gram among the first n - ceil(t n) + 1 of each (the prefix), so an
@@ -26,8 +28,9 @@ same set are one entity (64-bit sum signature and set size), so copies are never
    A document's component is the smallest id in it.
 
 Null and empty texts: empty set, linked with nothing. Fewer words than n: the whole sequence is
-one n-gram. Repeated rows come back as often as they came. Empty table: no rows. Extra columns are
-ignored.
+one n-gram. Repeated rows come back as often as they came. One id on several texts: each row has its
+own text's component. A row without an id has the component of the rows with its set, else none, and
+links nothing. Empty table: no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -116,11 +119,11 @@ def overlap_bound(a: np.ndarray, na: int, b: np.ndarray, nb: int) -> int:
     return min(na - int(np.bitwise_count(a & ~b).sum()), nb - int(np.bitwise_count(b & ~a).sum()))
 
 
-SCAN = ["kind", "id", "n", "s", "bits"]
+SCAN = ["kind", "id", "t", "n", "s", "bits"]
 
 
 def scan_sets(docs: DataFrame, words: int) -> DataFrame:
-    """Kind 0: id, size, signature and bitmap of each row. Kind 1: n-grams repeated within one run of texts."""
+    """Kind 0: id, text hash, size, signature and bitmap of each row. Kind 1: n-grams repeated within one run of texts."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -145,14 +148,14 @@ def scan_sets(docs: DataFrame, words: int) -> DataFrame:
                 if size >= 2 * FLUSH_ENTRIES:
                     yield pair_rows(ids.type, *repeated())
                     held, size, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids, pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(bits, pa.binary())], names=SCAN)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(n), np.int32)), ids, batch.column(2), pa.array(n, pa.int64()), pa.array(s, pa.int64()), pa.array(bits, pa.binary())], names=SCAN)
         if held:
             yield pair_rows(ids.type, *repeated())
 
     def pair_rows(id_kind, values, counts):
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), id_kind), pa.array(counts.astype(np.int64)), pa.array(values.view(np.int64)), pa.nulls(len(values), pa.binary())], names=SCAN)
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(values), np.int32)), pa.nulls(len(values), id_kind), pa.nulls(len(values), pa.int64()), pa.array(counts.astype(np.int64)), pa.array(values.view(np.int64)), pa.nulls(len(values), pa.binary())], names=SCAN)
 
-    return docs.mapInArrow(run, f"kind int, id {id_type}, n long, s long, bits binary")
+    return docs.select("id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, f"kind int, id {id_type}, t long, n long, s long, bits binary")
 
 
 def frequent_grams(scanned: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -307,31 +310,21 @@ def long_lists(found: DataFrame) -> DataFrame:
 
 
 def entity_arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """rep, n, bits, grams of the entities in `wanted` (rep, s, n), from the texts of their representatives."""
+    """s, n, grams of the entities in `wanted` (rep, s, n), from the texts of their smallest id."""
 
     def run(batches):
         for batch in batches:
-            s, n = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for first, sets in batch_sets(batch.column(1), words):
+            s, n = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for first, sets in batch_sets(batch.column(0), words):
                 hit = [(first + k, g) for k, g in enumerate(sets) if len(g) == n[first + k] and signature(g) == s[first + k]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array([k for k, _ in hit], pa.int64())),
-                        pa.array([len(g) for _, g in hit], pa.int64()),
-                        pa.array([bitmap(g).tobytes() for _, g in hit], pa.binary()),
-                        pa.array([g.tobytes() for _, g in hit], pa.binary()),
-                    ],
-                    names=["rep", "n", "bits", "grams"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array([k for k, _ in hit], pa.int64())), pa.array([len(g) for _, g in hit], pa.int64()), pa.array([g.tobytes() for _, g in hit], pa.binary())], names=["s", "n", "grams"])
 
-    id_type = docs.schema["id"].dataType.simpleString()
-    texts = docs.join(wanted, docs["id"] == wanted["rep"]).select("rep", "text", "s", "n")
-    return texts.mapInArrow(run, f"rep {id_type}, n long, bits binary, grams binary")
+    texts = docs.join(wanted, docs["id"] == wanted["rep"]).select("text", "s", "n")
+    return texts.mapInArrow(run, "s long, n long, grams binary").dropDuplicates(["s"])
 
 
 def surviving(pairs: DataFrame, column: str, test) -> DataFrame:
     """a, b of the pairs whose two `column` values pass test(blob_a, n_a, blob_b, n_b)."""
-    kind = pairs.schema["a"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
@@ -340,12 +333,12 @@ def surviving(pairs: DataFrame, column: str, test) -> DataFrame:
             ok = [test(a, na, b, nb) for a, na, b, nb in zip(blobs[0], sizes[0], blobs[1], sizes[1])]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("a", "b", f"{column}_a", "n_a", f"{column}_b", "n_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.select("a", "b", f"{column}_a", "n_a", f"{column}_b", "n_b").mapInArrow(run, "a long, b long")
 
 
 def with_sides(pairs: DataFrame, entities: DataFrame, column: str) -> DataFrame:
     for side in ("a", "b"):
-        pairs = pairs.join(entities.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}")), side)
+        pairs = pairs.join(entities.select(F.col("s").alias(side), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"{column}_{side}")), side)
     return pairs
 
 
@@ -369,10 +362,13 @@ def settle_group(ids: list, sets: list[np.ndarray], partners: list, star: bool,
     place = {ids[i]: k for k, i in enumerate(order)}
     sets = [sets[i] for i in order]
     label = np.arange(len(ids))
+    inside = {k: [k] for k in range(len(ids))}
 
     def meet(i, j):
         if label[i] != label[j] and linked(sets[i], sets[j], similarity):
-            label[label == label[j]] = label[i]
+            more, less = sorted((int(label[i]), int(label[j])), key=lambda k: -len(inside[k]))
+            label[inside[less]] = more  # the smaller side moves
+            inside[more] += inside.pop(less)
 
     for k, i in enumerate(order):
         for other in partners[i] or ():
@@ -389,32 +385,27 @@ def settle_group(ids: list, sets: list[np.ndarray], partners: list, star: bool,
 
 def settle_groups(docs: DataFrame, members: DataFrame, words: int, similarity) -> DataFrame:
     """node, component of the entities of candidate groups of bounded size."""
-    id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         held: list[tuple] = []
 
         def settled(rows):
             ids, sets, partners, star = [], [], [], False
-            for _, rep, grams, others, starred in rows:
+            for _, own, grams, others, starred in rows:
                 star = star or starred
-                if rep not in ids[-1:]:  # rows of one id and text
-                    ids.append(rep)
+                if own not in ids[-1:]:  # rows of one id and text
+                    ids.append(own)
                     sets.append(grams)
                     partners.append(others)
-            label = settle_group(ids, sets, partners, star, similarity)
-            lowest: dict[int, object] = {}
-            for k, i in zip(label.tolist(), ids):
-                lowest[k] = min(lowest.get(k, i), i)
-            return [(i, lowest[k]) for k, i in zip(label.tolist(), ids)]
+            label = settle_group(ids, sets, partners, star, similarity).tolist()
+            first = dict(zip(reversed(label), reversed(ids)))
+            return [(i, first[k]) for k, i in zip(label, ids)]
 
         def packed(pairs):
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], names=["node", "component"])
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["node", "component"])
 
-        kind = None
         for batch in batches:
-            kind = batch.column(1).type
-            candidate, rep, s, n, others, star = (batch.column(c).to_pylist() for c in (0, 1, 3, 4, 5, 6))
+            candidate, s, n, others, star = (batch.column(c).to_pylist() for c in (0, 1, 3, 4, 5))
             out = []
             for first, sets in batch_sets(batch.column(2), words):
                 for k, grams in enumerate(sets, first):
@@ -423,34 +414,33 @@ def settle_groups(docs: DataFrame, members: DataFrame, words: int, similarity) -
                     if held and held[0][0] != candidate[k]:
                         out += settled(held)
                         held = []
-                    held.append((candidate[k], rep[k], grams, others[k], star[k]))
+                    held.append((candidate[k], s[k], grams, others[k], star[k]))
             if out:
                 yield packed(out)
         if held:
             yield packed(settled(held))
 
-    texts = docs.join(members, docs["id"] == members["rep"]).select("candidate", "rep", "text", "s", "n", "partners", "star")
-    dealt = texts.repartition("candidate").sortWithinPartitions("candidate", "rep")
-    return dealt.mapInArrow(run, f"node {id_type}, component {id_type}")
+    texts = docs.join(members, docs["id"] == members["rep"]).select("candidate", "s", "text", "n", "partners", "star")
+    dealt = texts.repartition("candidate").sortWithinPartitions("candidate", "s")
+    return dealt.mapInArrow(run, "node long, component long")
 
 
 def settle_by_joins(docs: DataFrame, near: DataFrame, members: DataFrame, listed: DataFrame, described: DataFrame, words: int, similarity) -> DataFrame:
     """node, component of the entities of candidate groups of any size."""
-    id_type = docs.schema["id"].dataType.simpleString()
     entities, path = store(entity_arrays(docs, members.select("rep", "s", "n"), words))
-    pairs = near.select("a", "b").join(members.select(F.col("rep").alias("a")), "a", "left_semi").distinct()
+    pairs = near.select("a", "b").join(members.select(F.col("s").alias("a")), "a", "left_semi").distinct()
     links = cut(verified(pairs, entities, similarity))
     grouped = components(links)
 
-    listed = listed.join(members.select("rep"), "rep", "left_semi")
-    labelled = listed.join(grouped, listed["rep"] == grouped["node"], "left").select("list_id", "rep", F.coalesce("component", "rep").alias("component"))
+    listed = listed.join(members.select("s"), "s", "left_semi")
+    labelled = listed.join(grouped, listed["s"] == grouped["node"], "left").select("list_id", "s", F.coalesce("component", "s").alias("component"))
     split = labelled.groupBy("list_id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list_id")
-    open_lists = labelled.join(split, "list_id").join(described.select("rep", "n", "bits"), "rep").select("list_id", "rep", "n", "component", "bits")
-    more = cut(open_lists.groupBy("list_id").applyInArrow(list_pairs(similarity), f"a {id_type}, b {id_type}").distinct())
+    open_lists = labelled.join(split, "list_id").join(described.select("s", "n", "bits"), "s").select("list_id", "s", "n", "component", "bits")
+    more = cut(open_lists.groupBy("list_id").applyInArrow(list_pairs(similarity), "a long, b long").distinct())
     links = cut(links.union(verified(more, entities, similarity)))
     drop(docs.sparkSession, path)
     grouped = components(links)
-    return members.join(grouped, members["rep"] == grouped["node"], "left").select(F.col("rep").alias("node"), F.coalesce("component", "rep").alias("component"))
+    return members.join(grouped, members["s"] == grouped["node"], "left").select(F.col("s").alias("node"), F.coalesce("component", "s").alias("component"))
 
 
 class Tile:
@@ -478,9 +468,9 @@ class Tile:
 
 
 def sorted_tile(table: pa.Table, similarity) -> tuple[np.ndarray, Tile, np.ndarray]:
-    order = np.lexsort((table.column("rep").to_numpy(), table.column("n").to_numpy()))
+    order = np.lexsort((table.column("s").to_numpy(), table.column("n").to_numpy()))
     bits = [np.frombuffer(x, dtype=np.uint64) for x in table.column("bits").take(pa.array(order)).to_pylist()]
-    return table.column("rep").to_numpy()[order], Tile(table.column("n").to_numpy()[order].astype(np.int64), bits, similarity), order
+    return table.column("s").to_numpy()[order], Tile(table.column("n").to_numpy()[order].astype(np.int64), bits, similarity), order
 
 
 def list_forest(similarity):
@@ -516,45 +506,44 @@ def list_pairs(similarity):
 
 
 def similar_groups(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY, hot: int = HOT, small: int = SMALL, group_grams: int = GROUP_GRAMS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id, entity_id (smallest id with the same set) for every row."""
+    """id, n_shingles, component_id, entity_id (smallest id with the same set), component (a number of its own) and text_hash for every row."""
     spark = docs.sparkSession
     rows = narrow(docs, id_col, text_col).toDF("id", "text")
     id_type = rows.schema["id"].dataType.simpleString()
     scanned, scan_path = store(scan_sets(rows, words))
-    sets = scanned.where("kind = 0").select("id", "n", "s")
+    sets = scanned.where("kind = 0").select("id", "t", "n", "s")
     total = sets.agg(F.sum("n")).first()[0] or 0
     buckets = max(8, math.ceil(total * (1 - similarity[0] / similarity[1]) / BUCKET_ENTRIES))
-    entries = prefix_entries(rows, frequent_grams(scanned), buckets, words, similarity, hot)
+    entries = prefix_entries(rows.where("id IS NOT NULL"), frequent_grams(scanned), buckets, words, similarity, hot)
     find, schema = bucket_candidates(similarity, small)
     found, found_path = store(entries.groupBy("bucket").applyInArrow(find, schema))
 
     reps = sets.where("n > 0").groupBy("s", "n").agg(F.min("id").alias("rep")).where("rep IS NOT NULL")
-    pairs = found.where("kind = 0").select("sa", "na", "sb", "nb").distinct()
-    for side in ("a", "b"):
-        pairs = pairs.join(reps.select(F.col("s").alias(f"s{side}"), F.col("n").alias(f"n{side}"), F.col("rep").alias(side)), [f"s{side}", f"n{side}"])
-    pairs, pairs_path = store(pairs.select("a", "b").where("a <> b"))
-    listed = cut(long_lists(found).join(reps, ["s", "n"]).select("list_id", "rep"))
-    wanted = reps.join(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(listed.select("rep")).distinct(), "rep")
+    pairs, pairs_path = store(found.where("kind = 0").select(F.col("sa").alias("a"), F.col("sb").alias("b")).distinct())
+    listed = cut(long_lists(found).select("list_id", "s"))
+    wanted = reps.join(pairs.select(F.col("a").alias("s")).union(pairs.select("b")).union(listed.select("s")).distinct(), "s")
     bits = scanned.where("kind = 0").select(F.col("id").alias("rep"), "s", "n", "bits")
-    described, bits_path = store(wanted.join(bits, ["rep", "s", "n"]).dropDuplicates(["rep"]))
+    described, bits_path = store(wanted.join(bits, ["rep", "s", "n"]).dropDuplicates(["s"]))
 
-    forest = listed.join(described.select("rep", "n", "bits"), "rep").groupBy("list_id").applyInArrow(list_forest(similarity), f"a {id_type}, b {id_type}")
+    forest = listed.join(described.select("s", "n", "bits"), "s").groupBy("list_id").applyInArrow(list_forest(similarity), "a long, b long")
     near = bounded(pairs, described, similarity).select("a", "b", F.lit(False).alias("star")).union(forest.distinct().select("a", "b", F.lit(True)))
     near = cut(near)
     candidate = components(near)
-    sizes = described.select("rep", "n").join(candidate, F.col("rep") == F.col("node")).groupBy("component").agg(F.sum("n").alias("grams"))
+    sizes = described.select("s", "n").join(candidate, F.col("s") == F.col("node")).groupBy("component").agg(F.sum("n").alias("grams"))
     # One row an entity: its candidate group, its partners, and whether a long list took part.
     partners = near.groupBy("a").agg(F.collect_list("b").alias("partners"), F.max("star").alias("star"))
-    members = candidate.join(sizes, "component").join(partners, F.col("node") == F.col("a"), "left").join(reps, F.col("node") == F.col("rep"))
+    members = candidate.join(sizes, "component").join(partners, F.col("node") == F.col("a"), "left").join(reps, F.col("node") == F.col("s"))
     members = cut(members.select("rep", "s", "n", F.col("component").alias("candidate"), "grams", "partners", F.coalesce("star", F.lit(False)).alias("star")))
     grouped = settle_groups(rows, members.where(F.col("grams") <= group_grams), words, similarity)
     if not (large := members.where(F.col("grams") > group_grams)).isEmpty():
         grouped = grouped.union(settle_by_joins(rows, near, large, listed, described, words, similarity))
     grouped = cut(grouped)
 
-    entity_of = reps.join(grouped, reps["rep"] == grouped["node"], "left").select("s", "n", "rep", F.coalesce("component", "rep").alias("component"))
+    lowest = reps.join(grouped, reps["s"] == grouped["node"]).groupBy("component").agg(F.min("rep").alias("lowest"))
+    linked_ones = grouped.join(lowest, "component")
+    entity_of = reps.join(linked_ones, reps["s"] == linked_ones["node"], "left").select("s", "n", "rep", F.coalesce("component", "s").alias("component"), F.coalesce("lowest", "rep").alias("lowest"))
     out = sets.join(entity_of, ["s", "n"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.coalesce("rep", "id").alias("entity_id")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("lowest", "id").alias("component_id"), F.coalesce("rep", "id").alias("entity_id"), "component", F.col("t").alias("text_hash")
     )
     out = cut(out)
     for path in (scan_path, found_path, pairs_path, bits_path):
@@ -562,5 +551,25 @@ def similar_groups(docs: DataFrame, words: int = WORDS, similarity=SIMILARITY, h
     return out
 
 
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` without all but one row of each group of linked texts: that with the smallest id (then text hash) stays.
+
+    Rows without a set or without an id are in no group, and all of them stay."""
+    names = docs.columns
+    rows = docs.toDF(*(f"c{i}" for i in range(len(names)))).withColumn("t", F.xxhash64(F.col(f"c{names.index('text')}")))
+    own = f"c{names.index('doc_id')}"
+    groups = similar_groups(docs).where("doc_id IS NOT NULL")
+    first = groups.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one")).select("one.*", F.lit(True).alias("grouped"))
+    alone = groups.where("component IS NULL").select("doc_id", "text_hash", F.lit(False).alias("grouped")).distinct()
+    stay = cut(first.union(alone))
+    kept = rows.join(stay, (F.col(own) == stay["doc_id"]) & (rows["t"] == stay["text_hash"]))
+    single = kept.where("grouped")
+    if groups.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        out = kept.select(rows.columns[:-1])
+    else:
+        out = single.dropDuplicates([own, "t"]).union(kept.where("NOT grouped")).select(rows.columns[:-1])
+    return out.union(rows.where(F.col(own).isNull()).select(rows.columns[:-1])).toDF(*names)
+
+
 def op1_jaccard_join(spark, sf_dir):
     return similar_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
