@@ -2,7 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last keep the columns
 of `documents`; the last returns one row per packed piece. Rows without an id are never grouped, so
-they pass the third stage; an empty document passes the fourth and packs as its end token.
+they pass the third stage; of rows with one id and text one stays there, and rows with one id and
+different texts are documents of their own. An empty document passes the fourth stage and packs as
+its end token, but the second rejects it. An empty table has no rows at any stage.
 """
 
 from __future__ import annotations
@@ -30,12 +32,7 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join (1): of each group the document with the smallest id stays."""
-    groups = jaccard_join.similar_groups(docs)
-    stay = groups.where("doc_id = component_id").select("doc_id")
-    kept = docs.join(stay.distinct(), "doc_id", "left_semi")
-    if stay.count() > stay.distinct().count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).union(docs.where("doc_id IS NULL"))
+    return jaccard_join.one_of_each_group(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
