@@ -20,6 +20,42 @@ def test_elements_keep_order_and_captions():
     assert M.parse_html(None) == [] == M.parse_html("")
 
 
+def test_open_heads_and_captions_in_front():
+    assert M.parse_html("<head><title>t</title><meta x><p>one</p>") == [(0, "text", "one", None, None)]
+    assert M.parse_html("<head><title>t</title></head>body") == [(0, "text", "body", None, None)]
+    assert M.parse_html("<figure><figcaption>c</figcaption><img src=a alt=x></figure>after") == [(0, "image", None, "a", "c"), (1, "text", "after", None, None)]
+    assert M.parse_html("<figure><figcaption>alone</figcaption></figure><img src=b>") == [(0, "text", "alone", None, None), (1, "image", None, "b", None)]
+    assert M.parse_html("<figure><figcaption>open") == [(0, "text", "open", None, None)]
+
+
+def test_stored_bytes_are_what_is_measured(spark):
+    texts = ["a", "a ", "a", None, "", "x" * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    made = {r["doc_id"]: r for r in M.text_pages(df).collect()}
+    assert made[0]["digest"] == made[2]["digest"] != made[1]["digest"] and made[2]["media"] is None
+    table = spark.createDataFrame([(r["digest"], bytes(r["media"])) for r in made.values() if r["media"] is not None], "digest string, media binary")
+    got = {r["digest"]: r for r in M.measured(table).collect()}
+    for i, text in enumerate(texts):
+        raw = (text or "").encode()
+        assert (made[i]["digest"], len(raw)) == (got[made[i]["digest"]]["media_sha256"], got[made[i]["digest"]]["n_bytes"])
+    damaged = table.selectExpr("digest", "concat(substring(media, 1, 60), X'00', substring(media, 62)) AS media")
+    with pytest.raises(Exception):
+        M.measured(damaged).collect()
+
+
+def plain_feature(samples):
+    mean = sum(samples) / len(samples)
+    std = (sum((x - mean) ** 2 for x in samples) / len(samples)) ** 0.5
+    cuts = [i * len(samples) // 64 for i in range(65)]
+    bits = "".join(str(int(sum(samples[a:b]) / (b - a) > mean)) for a, b in zip(cuts, cuts[1:]))
+    return f"png;rows={len(samples) // 192};mean={mean:.4f};std={std:.4f};hash={int(bits, 2):016x}"
+
+
+@pytest.mark.parametrize("raw", [b"", b"abc" * 300, bytes(range(256)) * 7])
+def test_features_match_a_plain_computation(raw):
+    assert M.sample_features(M.padded(raw)) == plain_feature(M.padded(raw))
+
+
 @pytest.mark.parametrize("raw", [b"", b"a", b"x" * 192, b"y" * 193, bytes(range(1, 200)) * 50])
 def test_exact_round_trip(raw):
     payload = M.padded(raw)
@@ -43,6 +79,11 @@ def test_query_digests(spark, tmp_path):
         payload = M.padded((text or "").encode())
         assert got[d]["payload_sha256"] == hashlib.sha256(payload).hexdigest() and got[d]["tail_crc32"] == zlib.crc32(payload[-16:])
         assert (got[d]["n_bytes"], got[d]["payload_bytes"]) == (len((text or "").encode()), len(payload))
+        assert got[d]["feature"] == plain_feature(payload)
+        stored = M.store_png(payload, length=len((text or "").encode()))
+        assert (got[d]["media_bytes"], got[d]["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest())
     assert got[1].asDict() | {"doc_id": 4} == got[4].asDict()
+    many = M.op10_media_columns(spark, str(tmp_path)).collect()
+    assert len(many) == len(rows)
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "e" / "documents.parquet"))
     assert M.op10_media_columns(spark, str(tmp_path / "e")).count() == 0

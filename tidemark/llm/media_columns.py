@@ -2,12 +2,19 @@
 
 HTML is parsed into an ordered array of elements: text, or a reference to media with its caption.
 References name media by digest (`sha256:<hex>`); a join on the digest resolves them against a
-media table, and the elements keep their positions, so captions stay with their media. The media
-table holds one row per digest. Only its measures travel in the query's join, the payloads stay
-where they are stored.
+media table that holds stored bytes, and the elements keep their positions, so captions stay with
+their media. A caption belongs to the media of its figure, in front of them or behind; a figure
+without media leaves it as text. An open `head` ends at the first element that can't stand in one.
 
 Payloads are stored as PNG images of 8-bit grey samples, PIXELS wide (lossless, rows unfiltered),
-and read back from the stored bytes.
+in the `media` column of a table in the shared folder; a text block of the image holds the length
+of the payload before padding. A task writes each digest once.
+
+The query makes a page of every text, writes its image to the media table, parses the pages, joins
+the digests that they name with the media table, reads the stored bytes back and measures them
+there, once a digest, and joins the measures to the elements. Payloads move in the first join
+alone, whose digests are distinct; digests named by more than one in HOT_SHARE elements (no more
+than HOT_SHARE of them can be) meet their elements by a broadcast in the second.
 
 Null HTML or text: empty, which gives an empty sequence and a payload of one padded unit. A
 reference that the media table lacks keeps its element with null media. Repeated rows come back as
@@ -19,7 +26,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from html import escape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,11 +38,13 @@ from .textkit import cut, documents, narrow
 
 UNIT = 192
 PIXELS = 192
+HOT_SHARE = 10_000
 _PNG = b"\x89PNG\r\n\x1a\n"
 
-# Elements whose text is not shown, and elements that end a run of text.
-HIDDEN = {"script", "style", "head", "noscript", "template"}
+# Elements whose text is not shown, elements that end a run of text, elements of a head, media.
+HIDDEN = {"script", "style", "noscript", "template"}
 BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "article", "section", "nav", "table", "tr", "td", "br", "hr", "figure", "figcaption", "blockquote", "pre", "header", "footer", "title"}
+IN_HEAD = {"title", "meta", "link", "script", "style", "base", "noscript", "template", "head"}
 MEDIA = {"img": "image", "audio": "audio", "video": "video", "source": "source", "embed": "embed"}
 
 
@@ -48,35 +56,54 @@ class _Sequence(HTMLParser):
         self.elements: list[tuple[int, str, str | None, str | None, str | None]] = []
         self.held: list[str] = []
         self.hidden = 0
+        self.in_head = False
         self.figure: int | None = None
         self.in_caption = False
+        self.caption: str | None = None  # of a figure without media so far
 
     def flush(self) -> None:
         text = " ".join("".join(self.held).split())
         self.held = []
         if not text:
             return
-        if self.in_caption and self.figure is not None and self.figure < len(self.elements):
-            for i in range(self.figure, len(self.elements)):
-                place, kind, body, reference, _ = self.elements[i]
-                if kind != "text":
-                    self.elements[i] = (place, kind, body, reference, text)
+        if self.in_caption and self.figure is not None:
+            if not self.give_caption(text):
+                self.caption = text
             return
         self.elements.append((len(self.elements), "text", text, None, None))
 
+    def give_caption(self, text: str) -> bool:
+        """Names the figure's media; False if it has none yet."""
+        found = [i for i in range(self.figure, len(self.elements)) if self.elements[i][1] != "text"]
+        for i in found:
+            self.elements[i] = (*self.elements[i][:4], text)
+        return bool(found)
+
+    def end_figure(self) -> None:
+        if self.caption is not None:
+            self.elements.append((len(self.elements), "text", self.caption, None, None))
+        self.figure = self.caption = None
+        self.in_caption = False
+
     def handle_starttag(self, tag, attrs):
+        if tag == "head":
+            self.in_head = True
+        elif tag not in IN_HEAD:
+            self.in_head = False
         if tag in HIDDEN:
             self.hidden += 1
         if tag in BLOCKS:
             self.flush()
         if tag == "figure":
+            self.end_figure()
             self.figure = len(self.elements)
         if tag == "figcaption":
             self.in_caption = True
         if tag in MEDIA and not self.hidden:
             self.flush()
             named = dict(attrs)
-            self.elements.append((len(self.elements), MEDIA[tag], None, named.get("src"), named.get("alt") or named.get("title")))
+            self.elements.append((len(self.elements), MEDIA[tag], None, named.get("src"), self.caption or named.get("alt") or named.get("title")))
+            self.caption = None if self.figure is not None else self.caption
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -89,12 +116,14 @@ class _Sequence(HTMLParser):
         if tag == "figcaption":
             self.in_caption = False
         if tag == "figure":
-            self.figure = None
+            self.end_figure()
+        if tag == "head":
+            self.in_head = False
         if tag in HIDDEN and self.hidden:
             self.hidden -= 1
 
     def handle_data(self, data):
-        if not self.hidden:
+        if not self.hidden and not self.in_head:
             self.held.append(data)
 
 
@@ -103,6 +132,7 @@ def parse_html(html: str | None) -> list[tuple[int, str, str | None, str | None,
     parser.feed(html or "")
     parser.close()
     parser.flush()
+    parser.end_figure()
     return parser.elements
 
 
@@ -125,47 +155,77 @@ def sequences(pages: DataFrame, id_col: str, html_col: str = "html") -> DataFram
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, elements {ELEMENTS}").withColumnRenamed("id", id_col)
 
 
-def resolve(sequence: DataFrame, media: DataFrame, key: str) -> DataFrame:
-    """One row per element in order, with the media table's columns (null where it has no such digest).
-
-    `media` has `digest` once per value. Skewed digests are split by the adaptive join."""
+def flat_elements(sequence: DataFrame, key: str) -> DataFrame:
+    """One row per element, with the digest that it names."""
     flat = sequence.select(key, F.explode("elements").alias("e")).select(key, "e.*")
-    flat = flat.withColumn("digest", F.when(F.col("reference").startswith("sha256:"), F.substring("reference", 8, 64)))
-    return flat.join(media, "digest", "left")
+    return flat.withColumn("digest", F.when(F.col("reference").startswith("sha256:"), F.substring("reference", 8, 64)))
+
+
+def with_media(flat: DataFrame, media: DataFrame) -> DataFrame:
+    """The elements with the columns of `media` (a row a digest; null where it has no such digest).
 
+    A digest of more than one in HOT_SHARE elements would fill a task: those, HOT_SHARE at most, are broadcast."""
+    counts = flat.where("digest IS NOT NULL").groupBy("digest").count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("count") * HOT_SHARE > total).select("digest"))
+    named = flat.join(hot.withColumn("hot", F.lit(True)), "digest", "left")
+    rare = named.where("hot IS NULL").drop("hot").join(media.join(hot, "digest", "left_anti"), "digest", "left")
+    often = named.where("hot").drop("hot").join(F.broadcast(media.join(hot, "digest", "left_semi")), "digest", "left")
+    return rare.unionByName(often)
 
-def store_png(payload: bytes, width: int = PIXELS) -> bytes:
-    """PNG of 8-bit grey samples; the payload's length is a multiple of width."""
+
+def resolve(sequence: DataFrame, media: DataFrame, key: str) -> DataFrame:
+    """One row per element in order, with the media table's columns; `media` has `digest` once per value."""
+    return flat_elements(sequence, key).join(media, "digest", "left")
+
+
+def store_png(payload: bytes, width: int = PIXELS, length: int | None = None) -> bytes:
+    """PNG of 8-bit grey samples; the payload's length is a multiple of width. `length`: bytes before padding, as a text block."""
     rows = np.frombuffer(payload, dtype=np.uint8).reshape(-1, width)
     lines = np.concatenate([np.zeros((len(rows), 1), np.uint8), rows], axis=1).tobytes()
 
     def block(kind: bytes, body: bytes) -> bytes:
         return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 
-    return _PNG + block(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), 8, 0, 0, 0, 0)) + block(b"IDAT", zlib.compress(lines, 1)) + block(b"IEND", b"")
+    said = block(b"tEXt", b"Length\0%d" % length) if length is not None else b""
+    return _PNG + block(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), 8, 0, 0, 0, 0)) + said + block(b"IDAT", zlib.compress(lines)) + block(b"IEND", b"")
 
 
-def read_png(stored: bytes) -> bytes:
-    """The samples of a PNG written by store_png, row by row."""
+def png_blocks(stored: bytes):
+    """(kind, body) of the blocks of a PNG, each held against its checksum."""
     if stored[:8] != _PNG:
         raise ValueError("not a PNG")
-    at, width, height, packed = 8, 0, 0, []
+    at = 8
     while at < len(stored):
         size, kind = struct.unpack(">I4s", stored[at : at + 8])
         body = stored[at + 8 : at + 8 + size]
         if zlib.crc32(kind + body) != struct.unpack(">I", stored[at + 8 + size : at + 12 + size])[0]:
             raise ValueError("damaged block")
+        yield kind, body
+        at += 12 + size
+
+
+def read_png(stored: bytes) -> bytes:
+    """The samples of a PNG written by store_png, row by row."""
+    return read_image(stored)[0]
+
+
+def read_image(stored: bytes) -> tuple[bytes, int | None]:
+    """The samples, and the length before padding if the image names it."""
+    width, height, length, packed = 0, 0, None, []
+    for kind, body in png_blocks(stored):
         if kind == b"IHDR":
             width, height, depth, colour = struct.unpack(">IIBB", body[:10])
             if (depth, colour) != (8, 0):
                 raise ValueError("not 8-bit grey samples")
+        elif kind == b"tEXt" and body.startswith(b"Length\0"):
+            length = int(body[7:])
         elif kind == b"IDAT":
             packed.append(body)
-        at += 12 + size
     lines = np.frombuffer(zlib.decompress(b"".join(packed)), dtype=np.uint8).reshape(height, width + 1)
     if lines[:, 0].any():
         raise ValueError("filtered rows")
-    return lines[:, 1:].tobytes()
+    return lines[:, 1:].tobytes(), length
 
 
 def padded(raw: bytes, unit: int = UNIT) -> bytes:
@@ -183,37 +243,53 @@ def sample_features(samples: bytes) -> str:
 MEASURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def text_media(docs: DataFrame, with_payload: bool = False) -> DataFrame:
-    """doc_id, an HTML page that refers to the text's stored form by digest, and that form's measures (and bytes)."""
+def text_pages(docs: DataFrame) -> DataFrame:
+    """doc_id and an HTML page that refers to the text's stored form by digest; digest and media: that form, once a task."""
     rows = narrow(docs, "doc_id", "text")
-    extra = ", media binary" if with_payload else ""
-    names = ["doc_id", "html", "digest", *(m.split()[0] for m in MEASURES.split(", ")), *(["media"] if with_payload else [])]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
 
     def run(batches):
+        seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                out = []
+                pages, digests, media = [], [], []
                 for text in part.column(1).to_pylist():
                     raw = (text or "").encode()
-                    stored = store_png(padded(raw))
-                    back = read_png(stored)
-                    digest = hashlib.sha256(stored).hexdigest()
-                    caption = f"{len(back) // PIXELS} rows"
-                    html = f'<article><p>Text of {len(raw)} bytes</p><figure><img src="sha256:{digest}" alt="{escape(caption)}"></figure></article>'
-                    row = [html, digest, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), digest, sample_features(back)]
-                    out.append(row + [stored] if with_payload else row)
+                    stored = store_png(padded(raw), length=len(raw))
+                    name = hashlib.sha256(stored).digest()
+                    digests.append(name.hex())
+                    pages.append(f'<article><h1>Text</h1><figure><img src="sha256:{name.hex()}"><figcaption>{len(raw)} bytes</figcaption></figure></article>')
+                    media.append(None if name in seen else stored)
+                    seen.add(name)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pages, pa.string()), pa.array(digests, pa.string()), pa.array(media, pa.binary())], names=["doc_id", "html", "digest", "media"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, html string, digest string, media binary")
+
+
+def measured(media: DataFrame) -> DataFrame:
+    """digest and the measures of the stored bytes (digest, media), read back."""
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    names = ["digest", *(m.split()[0] for m in MEASURES.split(", "))]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part, out = batch.slice(at, 200), []
+                for stored in part.column(1).to_pylist():
+                    back, length = read_image(stored)
+                    out.append((length, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), sample_features(back)))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, k) for x, k in zip(zip(*out), kinds))], names=names)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, html string, digest string, {MEASURES}{extra}")
+    return media.select("digest", "media").mapInArrow(run, f"digest string, {MEASURES}")
 
 
 def op10_media_columns(spark, sf_dir):
-    made, path = store(text_media(documents(spark, sf_dir)))
-    measures = [m.split()[0] for m in MEASURES.split(", ")]
-    media = made.select("digest", *measures).dropDuplicates(["digest"])
-    resolved = resolve(sequences(made, "doc_id"), media, "doc_id").where("kind = 'image'")
-    out = cut(resolved.select("doc_id", *measures))
-    drop(spark, path)
+    made, made_path = store(text_pages(documents(spark, sf_dir)))
+    elements, elements_path = store(flat_elements(sequences(made, "doc_id"), "doc_id"))
+    stored = made.where("media IS NOT NULL").select("digest", "media")
+    found = elements.where("digest IS NOT NULL").select("digest").distinct().join(stored, "digest")
+    measures, measures_path = store(measured(found).dropDuplicates(["digest"]))  # a digest that several tasks stored
+    out = cut(with_media(elements.where("kind = 'image'"), measures).select("doc_id", *(m.split()[0] for m in MEASURES.split(", "))))
+    for path in (made_path, elements_path, measures_path):
+        drop(spark, path)
     return out
