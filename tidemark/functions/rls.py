@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
+from tidemark.functions.priors import Prior, start
+
 
-def coefficient_path(x: np.ndarray, y: np.ndarray, decay: float, min_y: float, seed: int, prior_scale: float = 0.5, weights: np.ndarray | None = None, slopes: np.ndarray | None = None) -> np.ndarray:
+def coefficient_path(x: np.ndarray, y: np.ndarray, decay: float, min_y: float, seed: int, prior_scale: float = 0.5, weights: np.ndarray | Callable[[np.ndarray], np.ndarray] | None = None, slopes: np.ndarray | None = None, begin: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Coefficients after each row. The first column is the intercept.
 
     Slopes begin at 0 (or `slopes`), the intercept at the mean of the first `seed` targets less
     what the slopes explain; the inverse information begins diagonal, `prior_scale` a column and
-    `prior_scale` times the intercept for the first. Rows with y <= min_y change nothing.
+    `prior_scale` times the intercept for the first. `begin` gives coefficients and that diagonal
+    instead. `weights`: a weight a row, or a function of the targets. Rows with y <= min_y change nothing.
     """
+    weights = weights(y) if callable(weights) else weights
     n, p = x.shape
     coef = np.zeros(p) if slopes is None else np.concatenate([[0.0], slopes])
     coef[0] = float((y[:seed] - x[:seed, 1:] @ coef[1:]).mean()) if n else 0.0
     spread = np.eye(p) * prior_scale
     spread[0, 0] = prior_scale * coef[0]
+    if begin is not None:
+        coef, spread = begin[0].astype(float), np.diag(begin[1]).astype(float)
     path, outer = np.empty((n, p)), np.empty((p, p))
     for i in range(n):
         if y[i] > min_y:
@@ -35,6 +43,23 @@ def coefficient_path(x: np.ndarray, y: np.ndarray, decay: float, min_y: float, s
     return path
 
 
+def log_weighting(y: np.ndarray) -> np.ndarray:
+    """Weight of rows in log space: sqrt(exp(y) / y)."""
+    return np.sqrt(np.exp(y) / y)
+
+
+def ahead(x: np.ndarray, path: np.ndarray, skip: int | None = None, horizon: int = 12) -> list[np.ndarray]:
+    """Of each row's coefficients the forecasts of this row and those after it, `horizon` of them or as far as rows go; none for the first `skip` rows."""
+    skip = min(x.shape) if skip is None else skip
+    return [x[i : i + horizon] @ path[i] if i >= skip else np.zeros(0) for i in range(len(x))]
+
+
+def behind(x: np.ndarray, path: np.ndarray, skip: int | None = None) -> list[np.ndarray]:
+    """Of each row's coefficients the fitted values of all rows before it; none for the first `skip` rows."""
+    skip = min(x.shape) if skip is None else skip
+    return [x[:i] @ path[i] if i >= skip else np.zeros(0) for i in range(len(x))]
+
+
 def lagged(history: np.ndarray) -> np.ndarray:
     """Lag 7, lag 28, mean of 7 and mean of 28 earlier values; 0 where there is none."""
     n = len(history)
@@ -65,14 +90,14 @@ def predict_log_ar(x: np.ndarray, coef: np.ndarray, tail: np.ndarray) -> np.ndar
 class RecursiveLeastSquares:
     """Checked front of coefficient_path."""
 
-    def __init__(self, decay: float = 0.995, constant_priors: int = 1, metrics: bool = False):
+    def __init__(self, decay: float = 0.995, constant_priors: int = 1, metrics: bool = False, priors: list[Prior] | None = None, weighting: Callable[[np.ndarray], np.ndarray] | None = None):
         if not 0.0 < decay <= 1.0:
             raise ValueError("the forgetting factor lies in (0, 1]")
-        if constant_priors != 1:
+        if constant_priors != 1 or (priors is not None and sum(p.constant for p in priors) != 1):
             raise ValueError("one constant prior is needed")
         if metrics:
             raise NotImplementedError("metrics of the fit are not kept")
-        self.decay = decay
+        self.decay, self.priors, self.weighting = decay, priors, weighting
         self.path: np.ndarray | None = None
 
     def fit(self, x, y, seed: int = 28, min_y: float = 0.0, weights=None) -> RecursiveLeastSquares:
@@ -81,9 +106,16 @@ class RecursiveLeastSquares:
             raise ValueError("x has a row for each y")
         if not (np.isfinite(x).all() and np.isfinite(y).all()):
             raise ValueError("x and y are finite")
-        self.path = coefficient_path(x, y, self.decay, min_y, seed, weights=weights)
+        begin = start(self.priors, x[:seed], y[:seed]) if self.priors else None
+        self.path = coefficient_path(x, y, self.decay, min_y, seed, weights=self.weighting if weights is None else weights, begin=begin)
         return self
 
+    def forecasts(self, x, horizon: int = 12, skip: int | None = None) -> list[np.ndarray]:
+        """Multi-horizon forecasts from the coefficients behind each row."""
+        if self.path is None:
+            raise ValueError("not fitted")
+        return ahead(np.asarray(x, dtype=float), self.path, skip, horizon)
+
     def fit_stacked(self, pairs, seed: int = 28, min_y: float = 0.0) -> list[np.ndarray]:
         return [self.fit(x, y, seed, min_y).path for x, y in pairs]
 

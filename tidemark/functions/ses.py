@@ -19,11 +19,13 @@ def gap_factor(gap: float, cfg: Ses) -> float:
     return max(cfg.decay_floor, cfg.decay ** min(gap, cfg.decay_cap)) if gap >= 1 else 1.0
 
 
-def walk_forward(y, index, block, period, effect, initial: float, warmup, support=None, alphas=None, cfg: Ses = Ses(), gap_aware: bool = True) -> dict[str, np.ndarray]:
+def walk_forward(y, index, block, period, effect, initial: float, warmup, support=None, alphas=None, cfg: Ses = Ses(), gap_aware: bool = True, records: list | None = None) -> dict[str, np.ndarray]:
     """Forecast and traces of each row (in order of block and day); state moves on when a block closes.
 
     index: the store's observable day number; period: 0 history, 1 holdout, 2 ahead; effect: log driver
     factor; warmup: rows that only have the initial level; support: rows that score and update (y > 0).
+    `records` gets, of each block with scored rows, its period and number, absolute and signed errors
+    and sales of every alpha.
     """
     y, index, block, period, effect = (np.asarray(a) for a in (y, index, block, period, effect))
     warmup = np.asarray(warmup, dtype=bool)
@@ -67,10 +69,14 @@ def walk_forward(y, index, block, period, effect, initial: float, warmup, suppor
         out["alpha"][rows], out["cap"][rows], out["gap"][rows] = alphas[chosen], cap, gap
         out["forecast"][rows] = _forecast(levels, effect[rows], cap)
         eligible[rows] = ~warmup[rows] & (period[rows] != AHEAD)
-        for i in rows[support[rows]]:
-            if period[i] == HISTORY and not warmup[i]:
-                error += np.abs(_forecast(state * factor, effect[i], cap) - y[i])
-                sales += float(y[i])
+        scored = rows[support[rows] & ~warmup[rows]]
+        if len(scored) and (period[first] == HISTORY or records is not None):
+            miss = _forecast(state[None] * factor, effect[scored][:, None], cap) - y[scored][:, None]
+            missed = np.abs(miss).sum(axis=0)
+            if period[first] == HISTORY:
+                error, sales = error + missed, sales + float(y[scored].sum())
+            if records is not None:
+                records.append((int(period[first]), int(block[first]), missed, miss.sum(axis=0), float(y[scored].sum())))
         for i in rows[support[rows]]:
             seen = float(np.expm1(np.log1p(y[i]) - effect[i]))
             quiet = float(index[i] - last - 1) if last is not None else 0.0

@@ -125,12 +125,50 @@ def report(tables: dict[str, tuple[DataFrame, list, int]]) -> str:
     return "\n".join(out)
 
 
-def rls_summary(records: DataFrame) -> DataFrame:
-    """Score of each candidate over all nodes, by target and period; with how many nodes and blocks it was scored on."""
-    out = records.groupBy("target", "mode", "decay", "period_type").agg(
-        F.count_distinct("unique_id").alias("n_nodes"), F.count_distinct(F.struct("unique_id", "block")).alias("n_blocks"), F.sum("abs_error").alias("abs_error"), F.sum("abs_y").alias("abs_y")
+def summary(records: DataFrame, keys: list[str], candidate: list[str], folds: list[str]) -> DataFrame:
+    """Per key, period and candidate: error, bias, median and worst fold, and the folds in which no candidate is better.
+
+    `records`: keys, candidate, folds (what makes up a fold within a key), period_type, abs_error, signed_error, abs_y."""
+    fold = records.groupBy(*keys, *candidate, *[c for c in folds if c not in keys], "period_type").agg(F.sum("abs_error").alias("abs_error"), F.sum("signed_error").alias("signed_error"), F.sum("abs_y").alias("abs_y"))
+    fold = fold.withColumn("wmape", ratio(F.col("abs_error"), F.col("abs_y")))
+    best = F.min("wmape").over(Window.partitionBy(*keys, *[c for c in folds if c not in keys], "period_type"))
+    fold = fold.withColumn("won", F.col("wmape") <= best + 1e-15)
+    out = fold.groupBy(*keys, "period_type", *candidate).agg(
+        F.sum("abs_error").alias("abs_error"), F.sum("signed_error").alias("signed_error"), F.sum("abs_y").alias("abs_y"), F.count(F.lit(1)).alias("n_folds"),
+        F.median("wmape").alias("median_fold_wmape"), F.max("wmape").alias("worst_fold_wmape"), count_if(F.col("won")).alias("fold_wins"),
     )
-    return out.withColumn("wmape", ratio(F.col("abs_error"), F.col("abs_y")))
+    return out.withColumn("wmape", ratio(F.col("abs_error"), F.col("abs_y"))).withColumn("bias", ratio(F.col("signed_error"), F.col("abs_y")))
+
+
+def ses_summary(records: DataFrame) -> DataFrame:
+    """Smoothing weights by section and target; a fold is a block."""
+    return summary(records, ["section", "target"], ["alpha"], ["block"])
+
+
+def rls_summary(records: DataFrame) -> DataFrame:
+    """Candidates by section, node level and target; a fold is a node's block."""
+    return summary(records, ["section", "node_level", "target"], ["mode", "decay"], ["unique_id", "block"])
+
+
+def rls_summary_by_node(records: DataFrame) -> DataFrame:
+    return summary(records, ["section", "node_level", "unique_id", "target"], ["mode", "decay"], ["block"])
+
+
+def recommendation(summarised: DataFrame, keys: list[str], candidate: list[str]) -> DataFrame:
+    """The history's best candidate of each key (then by its worst fold, then by its values), next to its holdout, which only bears witness."""
+    order = [F.asc_nulls_last("wmape"), F.asc_nulls_last("worst_fold_wmape"), *(F.asc(c) for c in candidate)]
+    kept = [F.col(n).alias(f"history_{n}") for n in ("wmape", "bias", "median_fold_wmape", "worst_fold_wmape")]
+    history = best_per_key(summarised.where("period_type = 'in_sample'"), keys, *order).select(*keys, *candidate, *kept, "n_folds")
+    holdout = summarised.where("period_type = 'out_sample'").select(*keys, *candidate, F.col("wmape").alias("holdout_wmape"), F.col("bias").alias("holdout_bias"))
+    return history.join(holdout, [*keys, *candidate], "left")
+
+
+def ses_recommendation(summarised: DataFrame) -> DataFrame:
+    return recommendation(summarised, ["section", "target"], ["alpha"])
+
+
+def rls_recommendation(by_node: DataFrame) -> DataFrame:
+    return recommendation(by_node, ["section", "node_level", "unique_id", "target"], ["mode", "decay"])
 
 
 def driver_decisions(screen: DataFrame, margin: float = 0.005, most: float = 0.6) -> DataFrame:

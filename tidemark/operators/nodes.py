@@ -11,17 +11,18 @@ from tidemark.config import CADENCES, Horizon, Rls
 from tidemark.functions.effect import relative_effect
 from tidemark.functions.exprs import unique_id
 from tidemark.functions.rls import coefficient_path, lag_matrix, predict_log_ar, predict_log_base
-from tidemark.operators.calendar import HOLIDAYS, MONTHS, OFFSETS, WEEKDAYS, calendar_dummies, holiday_offsets, holiday_ramp, holiday_table, offset_column
+from tidemark.operators.calendar import MONTHS, RAMPS, WEEKDAYS, calendar_dummies, holiday_offsets, holiday_ramp, holiday_table, offset_columns
 from tidemark.operators.panel import horizons
 from tidemark.operators.price import decompose, last_prices
 from tidemark.sources.stage import dealt, stage
 
 PRICES = ["asp", "edp", "discount"]
-CALENDAR = [*WEEKDAYS.values(), *MONTHS.values(), *(offset_column(h, o) for h in HOLIDAYS for o in OFFSETS), "mothers_day", "fathers_day"]
+CALENDAR = [*WEEKDAYS.values(), *MONTHS.values(), *offset_columns(), *RAMPS]
 
 OUTPUT = (
     "unique_id string, section string, store string, cadence int, ds date, period_type string, block long, y double, value double, "
-    "yhat double, valuehat double, mode_y string, decay_y double, mode_value string, decay_value double, eligible boolean, driver_effect double, driver_reference double"
+    "yhat double, valuehat double, mode_y string, decay_y double, mode_value string, decay_value double, eligible boolean, "
+    "driver_effect double, driver_reference double, driver_center double, driver_effect_value double, driver_reference_value double, driver_center_value double"
 )
 
 
@@ -47,7 +48,7 @@ def node_panel(spark: SparkSession, days: DataFrame, horizon: Horizon = Horizon(
     years = dates.agg(F.min(F.year("ds")), F.max(F.year("ds"))).first()
     holidays = holiday_table(spark, range((years[0] or 2000) - 1, (years[1] or 2000) + 2))
     drivers = calendar_dummies(dates).join(holiday_offsets(dates, holidays), "ds")
-    for ramp in ("mothers_day", "fathers_day"):
+    for ramp in RAMPS:
         drivers = drivers.join(holiday_ramp(dates, holidays, ramp), "ds")
     return panel.join(drivers, "ds")
 
@@ -116,12 +117,14 @@ def forecast_node(frame: pd.DataFrame, cadences=CADENCES, rls: Rls = Rls()) -> p
                     for c, f in ahead.items():
                         error[c] += float(np.abs(f[use] - actual[target][a:b][use]).sum())
             columns[target] = (np.round(hat, 0 if target == "y" else 2), mode_used, decay_used)
-        effect = relative_effect(actual["y"], columns["y"][0], block, known)
         result["block"] = block
+        for target, suffix in (("y", ""), ("value", "_value")):
+            own = relative_effect(actual[target], columns[target][0], block, known)
+            result[f"driver_effect{suffix}"] = np.where(block >= 0, own["effect"], 0.0)
+            result[f"driver_reference{suffix}"], result[f"driver_center{suffix}"] = own["reference"], own["centre"]
         result["yhat"], result["mode_y"], result["decay_y"] = columns["y"]
         result["valuehat"], result["mode_value"], result["decay_value"] = columns["value"]
         result["eligible"] = np.isfinite(result["yhat"].to_numpy(dtype=float)) & known
-        result["driver_effect"], result["driver_reference"] = np.where(block >= 0, effect["effect"], 0.0), effect["reference"]
         out.append(result)
     whole = pd.concat(out, ignore_index=True)
     whole[["yhat", "valuehat", "decay_y", "decay_value"]] = whole[["yhat", "valuehat", "decay_y", "decay_value"]].astype(object).where(np.isfinite(whole[["yhat", "valuehat", "decay_y", "decay_value"]].to_numpy(dtype=float)), None)
@@ -139,15 +142,15 @@ DRIVER_GROUPS = {
     "price": PRICES,
     "weekday": list(WEEKDAYS.values()),
     "month": list(MONTHS.values()),
-    "holiday": [offset_column(h, o) for h in HOLIDAYS for o in OFFSETS],
-    "ramp": ["mothers_day", "fathers_day"],
+    "holiday": list(offset_columns()),
+    "ramp": list(RAMPS),
 }
-CANDIDATES = "unique_id string, target string, mode string, decay double, period_type string, block long, abs_error double, abs_y double, n_days long"
+CANDIDATES = "unique_id string, section string, node_level string, target string, mode string, decay double, period_type string, block long, abs_error double, signed_error double, abs_y double, n_days long"
 SCREEN = "unique_id string, driver_group string, period_type string, block long, abs_error double, abs_error_without double, abs_y double"
 
 
-def block_scores(x: np.ndarray, frame: pd.DataFrame, target: str, mode: str, decay: float, size: int, rls: Rls) -> list[tuple[str, int, float, float, int]]:
-    """Period, block, error and sales of a candidate's causal forecasts, block by block of known days."""
+def block_scores(x: np.ndarray, frame: pd.DataFrame, target: str, mode: str, decay: float, size: int, rls: Rls) -> list[tuple[str, int, float, float, float, int]]:
+    """Period, block, error, signed error and sales of a candidate's causal forecasts, block by block of known days."""
     period = frame["period_type"].to_numpy()
     n = int((period != "forecast_only").sum())
     actual, units = frame[target].to_numpy(dtype=float), frame["y"].to_numpy(dtype=float)
@@ -158,7 +161,8 @@ def block_scores(x: np.ndarray, frame: pd.DataFrame, target: str, mode: str, dec
     for number, (a, b) in enumerate(blocks_of(period[:n], size, rls.seed_days)):
         hat = predict_log_base(x[a:b], path[a - 1]) if mode == "base" else predict_log_ar(x[a:b], path[a - 1], z[:a])
         use = units[a:b] > 0
-        out.append((period[a], number, float(np.abs(hat - actual[a:b])[use].sum()), float(np.abs(actual[a:b])[use].sum()), int(use.sum())))
+        miss = (hat - actual[a:b])[use]
+        out.append((period[a], number, float(np.abs(miss).sum()), float(miss.sum()), float(np.abs(actual[a:b])[use].sum()), int(use.sum())))
     return out
 
 
@@ -173,7 +177,7 @@ def node_candidates(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataF
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("ds", ignore_index=True)
         out = [
-            (frame["unique_id"][0], target, mode, decay, *score)
+            (frame["unique_id"][0], frame["section"][0], "section" if frame["store"].isna().all() else "store", target, mode, decay, *score)
             for target, x in designs_of(frame).items()
             for mode in rls.modes
             for decay in rls.decays
@@ -194,7 +198,7 @@ def driver_screen(panel: DataFrame, size: int = 28, rls: Rls = Rls()) -> DataFra
         for group, columns in DRIVER_GROUPS.items():
             reduced = x.copy()
             reduced[:, [names.index(c) for c in columns]] = 0.0
-            for (period, number, error, sales, _), other in zip(full, block_scores(reduced, frame, "y", *rls.default, size, rls)):
+            for (period, number, error, _, sales, _), other in zip(full, block_scores(reduced, frame, "y", *rls.default, size, rls)):
                 out.append((frame["unique_id"][0], group, period, number, error, other[2], sales))
         return pd.DataFrame(out, columns=[c.split()[0] for c in SCREEN.split(", ")])
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.config import Discrepancy
+from tidemark.config import CADENCES, Discrepancy
 from tidemark.functions import exprs as X
 from tidemark.operators import calendar as K
 from tidemark.operators import diagnostics as D
@@ -185,16 +185,16 @@ def calendar_dummies(spark, sf):
 
 
 YEARS = range(1994, 2003)
-_HOLIDAYS = "hol(holiday, holiday_ds) AS (VALUES " + ", ".join(f"('{n}', DATE '{K.holiday_date(r, y)}')" for y in YEARS for n, r in K.HOLIDAYS.items()) + ")"
-_OFFSETS = ", ".join(f"CAST(coalesce(max(CASE WHEN holiday = '{n}' AND date_diff('day', holiday_ds, ds) = {o} THEN 1 END), 0) AS INTEGER) AS {K.offset_column(n, o)}" for n in K.HOLIDAYS for o in K.OFFSETS)
+_HOLIDAYS = "hol(holiday, holiday_ds) AS (VALUES " + ", ".join(f"('{n}', DATE '{K.holiday_date(h.rule, y)}')" for y in YEARS for n, h in K.HOLIDAYS.items()) + ")"
+_OFFSETS = ", ".join(f"CAST(coalesce(max(CASE WHEN holiday = '{n}' AND date_diff('day', holiday_ds, ds) = {o} THEN 1 END), 0) AS INTEGER) AS {c}" for c, (n, o) in K.offset_columns().items())
 
 
-@query(with_(S.DAYS + ", " + _HOLIDAYS, f"SELECT ds, {_OFFSETS} FROM (SELECT DISTINCT ds FROM days) LEFT JOIN hol ON abs(date_diff('day', holiday_ds, ds)) <= 2 GROUP BY ds"))
+@query(with_(S.DAYS + ", " + _HOLIDAYS, f"SELECT ds, {_OFFSETS} FROM (SELECT DISTINCT ds FROM days) LEFT JOIN hol ON abs(date_diff('day', holiday_ds, ds)) <= 15 GROUP BY ds"))
 def holiday_offsets_pivot(spark, sf):
     return K.holiday_offsets(dates(spark, sf), K.holiday_table(spark, YEARS))
 
 
-@query(with_(S.DAYS + ", " + _HOLIDAYS, "SELECT ds, coalesce(max((14 - date_diff('day', ds, holiday_ds)) / 14.0::DOUBLE), 0.0::DOUBLE) AS mothers_day FROM (SELECT DISTINCT ds FROM days) LEFT JOIN hol ON holiday = 'mothers_day' AND date_diff('day', ds, holiday_ds) BETWEEN 0 AND 13 GROUP BY ds"))
+@query(with_(S.DAYS + ", " + _HOLIDAYS, "SELECT ds, coalesce(max(1 - date_diff('day', ds, holiday_ds) / 15.0::DOUBLE), 0.0::DOUBLE) AS mothers_day FROM (SELECT DISTINCT ds FROM days) LEFT JOIN hol ON holiday = 'mothers_day' AND date_diff('day', ds, holiday_ds) BETWEEN 0 AND 15 GROUP BY ds"))
 def holiday_ramp(spark, sf):
     return K.holiday_ramp(dates(spark, sf), K.holiday_table(spark, YEARS), "mothers_day")
 
@@ -474,20 +474,23 @@ def spike_gate(spark, sf):
     return V.spike_gate(T.forecast(spark, sf))
 
 
-@query(with_(S.BLOCKS + """, ct AS (SELECT section, store, sku, c, sum(y) / (c / 28.0::DOUBLE) / 4 AS total FROM blocks, (VALUES (28), (56), (112)) t(c) WHERE k >= 1 AND k <= c // 28 GROUP BY section, store, sku, c),
-sc AS (SELECT section, store, sku, max(y) AS scale FROM days GROUP BY ALL),
-cg AS (SELECT section, store, sku, min(total) AS low, max(total) AS high, max(scale) AS scale, count(*) AS n FROM ct JOIN sc USING (section, store, sku) GROUP BY ALL)""", "SELECT *, high / greatest(low, 1.0) AS ratio, (high - low) / greatest(scale, 1.0) AS scaled_gap, high / greatest(low, 1.0) > 4.0 AND (high - low) / greatest(scale, 1.0) > 2.0 AS incoherent FROM cg"))
+@query()
 def cadence_gate(spark, sf):
+    """The engine's own leaf forecasts of all four cadences, less the keys that come back after a long gap."""
     days = T.leaf_days(spark, sf)
-    rows = T.with_blocks(days).where("k >= 1").withColumn("c", F.explode(F.array(F.lit(28), F.lit(56), F.lit(112)))).where("k <= c DIV 28")
-    totals = rows.groupBy(*LEAF, "c").agg((F.sum("y") / (F.col("c") / 28) / 4).alias("total"))
-    return V.cadence_gate(totals.join(days.groupBy(*LEAF).agg(F.max("y").alias("scale")), LEAF))
+    nodes = stage(N.node_forecasts(N.node_panel(spark, days)))
+    summaries, gaps = None, None
+    for c in CADENCES:
+        forecast = stage(L.leaf_forecasts(days, nodes, c).where("period_type = 'out_sample'"))
+        a, b = V.cadence_summary(forecast, c), V.long_gaps(forecast, c)
+        summaries, gaps = (a, b) if summaries is None else (summaries.union(a), gaps.union(b))
+    return V.cadence_gate(summaries, skip=gaps)
 
 
-@query(with_(S.DAYS + ", " + HORIZONS, "SELECT section, CAST(1 AS BIGINT) AS n_windows FROM horizons"))
+@query(with_(S.DAYS + ", " + HORIZONS, "SELECT section, train_start, train_end, CAST(1 AS BIGINT) AS n_windows, CAST(4 AS BIGINT) AS n_cadences FROM horizons"))
 def window_identity(spark, sf):
-    windows = P.horizons(T.leaf_days(spark, sf)).withColumn("cadence", F.explode(F.array(*(F.lit(c) for c in (1, 7, 14, 28)))))
-    return V.window_identity(windows)
+    """Windows of the engine's own node forecasts, cadence by cadence, against those that the rule gives."""
+    return V.window_identity(N.node_forecasts(N.node_panel(spark, T.leaf_days(spark, sf))))
 
 
 @query(with_(S.DAYS, "SELECT * FROM (SELECT section, store, sku, ds, y, lag(ds) OVER w AS previous_ds, lag(y) OVER w AS previous_y, CAST(date_diff('day', lag(ds) OVER w, ds) AS BIGINT) AS gap FROM days WHERE y > 0 WINDOW w AS (PARTITION BY section, store, sku ORDER BY ds)) WHERE gap >= 84"))
@@ -495,10 +498,16 @@ def reactivation_gate(spark, sf):
     return V.reactivation_gate(T.leaf_days(spark, sf))
 
 
-@query(with_(S.NODES, "SELECT section, period_type, sum_y, sum_abs_error, 0.0::DOUBLE AS worst, true AS ok FROM nodes WHERE level = 'section'"))
+_AUDITED = " UNION ALL ".join(
+    f"SELECT '{n}' AS level, section, {c} AS store, {k} AS sku, period_type, coalesce(sum(y) FILTER (y <> 0), 0.0) AS sum_y, coalesce(sum(abs(yhat - y)) FILTER (y <> 0), 0.0) AS sum_abs_error, count(*) AS n_points FROM fc GROUP BY ALL"
+    for n, c, k in (("section", "NULL", "NULL"), ("store", "store", "NULL"), ("sku", "NULL", "sku"))
+)
+
+
+@query(with_(S.NODES + ", au AS (" + _AUDITED + ")", "SELECT a.level, a.section, CAST(a.store AS VARCHAR) AS store, CAST(a.sku AS VARCHAR) AS sku, a.period_type, a.sum_y, a.sum_abs_error, greatest(abs(a.sum_y - n.sum_y), abs(a.sum_abs_error - n.sum_abs_error), abs(a.n_points - n.n_points)::DOUBLE) AS worst, a.sum_y = n.sum_y AND a.sum_abs_error = n.sum_abs_error AND a.n_points = n.n_points AS ok FROM au a LEFT JOIN nodes n ON a.level = n.level AND a.section = n.section AND a.store IS NOT DISTINCT FROM n.store AND a.sku IS NOT DISTINCT FROM n.sku AND a.period_type = n.period_type"))
 def identity_audit(spark, sf):
     fc = T.forecast(spark, sf)
-    return V.identity_audit(fc, M.bottom_up(fc, ["section"])).select("section", "period_type", "sum_y", "sum_abs_error", F.col("worst").cast("double").alias("worst"), "ok")
+    return V.identity_audit(fc, M.bottom_up(fc))
 
 
 @query(with_(S.LEAVES + ", t AS (SELECT period_type, " + S.PARTS + " FROM fc GROUP BY period_type)", "SELECT *, sum_abs_error / nullif(sum_abs_y, 0) AS wmape FROM t"))
@@ -529,9 +538,38 @@ def rls_node_forecast(spark, sf):
     return N.node_forecasts(N.node_panel(spark, T.leaf_days(spark, sf)), (28,))
 
 
+def node_records(spark, sf):
+    return N.node_candidates(N.node_panel(spark, T.leaf_days(spark, sf)))
+
+
 @query()
 def rls_candidate_summary(spark, sf):
-    return D.rls_summary(N.node_candidates(N.node_panel(spark, T.leaf_days(spark, sf))))
+    return D.rls_summary(node_records(spark, sf))
+
+
+@query()
+def rls_node_summary(spark, sf):
+    return D.rls_summary_by_node(node_records(spark, sf))
+
+
+@query()
+def rls_recommendation(spark, sf):
+    return D.rls_recommendation(stage(D.rls_summary_by_node(node_records(spark, sf))))
+
+
+def leaf_records(spark, sf):
+    days = T.leaf_days(spark, sf)
+    return L.leaf_candidates(days, nodes_of(spark, days))
+
+
+@query()
+def ses_candidate_summary(spark, sf):
+    return D.ses_summary(leaf_records(spark, sf))
+
+
+@query()
+def ses_recommendation(spark, sf):
+    return D.ses_recommendation(stage(D.ses_summary(leaf_records(spark, sf))))
 
 
 @query()
@@ -559,7 +597,7 @@ def leaf_parent_switches(spark, sf):
 
 @query()
 def structural_validation(spark, sf):
-    return V.structural(leaf_ses_forecast(spark, sf))
+    return V.structural(stage(leaf_ses_forecast(spark, sf)))
 
 
 @query("SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
