@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 import random
 
 import pytest
@@ -15,6 +16,7 @@ from tidemark.operators import nodes as N
 from tidemark.operators import panel as P
 from tidemark.operators import price as R
 from tidemark.operators import ranking as G
+from tidemark.operators import residuals as Y
 from tidemark.operators import serving as W
 from tidemark.sources import files as S
 from tidemark.sources import retail as T
@@ -192,3 +194,72 @@ def test_serving_helpers(spark, days, leaves, tmp_path):
     assert sorted(json.loads(x)["store"] for f in (tmp_path / "j").glob("part*") for x in f.read_text().split()) == ["a", "b"]
     S.save_export(W.forecast_totals(leaves), str(tmp_path / "e"))
     assert spark.read.csv(str(tmp_path / "e"), header=True).count() == 5
+
+
+def test_sample_audit_fires(days):
+    fc = T.naive_forecast(days)
+    stored = M.bottom_up(fc, ["leaf"]).withColumn("unidad", F.lit("units"))
+    rows = V.sample_audit(fc, stored, 3).collect()
+    assert len(rows) == 3 and all(r["ok"] for r in rows)
+    bad = V.sample_audit(fc, stored.withColumn("wmape", F.when(F.col("sku") == "x", F.col("wmape") + 0.01).otherwise(F.col("wmape"))), 3).collect()
+    assert {r["sku"] for r in bad if not r["ok"]} == {"x"}
+
+
+def test_residuals_against_a_loop(leaves):
+    scored = Y.scored_residuals(leaves).cache()
+    rows = [r.asDict() for r in scored.collect()]
+    source = {(r["store"], r["sku"], r["ds"]): r for r in leaves.collect()}
+    for r in rows[:400]:
+        s = source[r["store"], r["sku"], r["ds"]]
+        actual, hat, level, initial, effect = (s["y"], s["yhat"], s["ses_level_y"], s["initial_level_y"], s["driver_effect_y"]) if r["target"] == "units" else (s["value"], s["valuehat"], s["ses_level_value"], s["initial_level_value"], s["driver_effect_value"])
+        scale = max(abs(level), abs(initial), 1.0)
+        gap, floor = abs(hat - actual) / scale, max(scale * 0.05, 1e-9)
+        factor = (max(actual, hat, 0) + floor) / (max(min(actual, hat), 0) + floor)
+        assert r["extreme"] == ((factor >= 4 and gap >= 0.15) or gap >= 3)
+        assert r["unexplained"] == pytest.approx(math.log1p(max(actual, 0)) - math.log1p(max(level, 0)) - effect)
+    extremes = [r for r in rows if r["extreme"]]
+    signals = [r for r in Y.residual_signals(scored).collect()]
+    assert {r["dimension"] for r in signals} == set(Y.DIMENSIONS)
+    for d in Y.DIMENSIONS:
+        assert sum(r["n_extreme"] for r in signals if r["dimension"] == d) == len(extremes)
+    groups = {}
+    for r in signals:
+        groups.setdefault((r["target"], r["period_type"], r["dimension"]), []).append(r["error_share"])
+    assert all(sum(v) == pytest.approx(1) or sum(v) == 0 for v in groups.values())
+    summary = Y.residual_summary(scored).collect()
+    assert sum(r["n_extreme"] for r in summary) == len(extremes) and sum(r["n_points"] for r in summary) == len(rows)
+    assert {r["driver_review"] for r in summary} <= {"strong", "moderate", "low"}
+
+
+def test_effect_strength(spark, leaves):
+    folds = Y.strength_folds(leaves).cache()
+    issued = folds.where("strength = 1.0 AND target = 'units'").agg(F.sum("abs_error")).first()[0]
+    direct = leaves.where("rls_metric_eligible AND y > 0").select(F.sum(F.abs(F.bround(F.greatest(F.expm1(F.log1p("ses_level_y") + F.col("driver_effect_y")), F.lit(0.0)), 0) - F.col("y")))).first()[0]
+    assert issued == pytest.approx(direct)
+    assert Y.strength_recommendation(Y.strength_summary(folds)).count() >= 2
+    schema = "section string, target string, parent_model string, period_type string, rls_block long, strength double, abs_error double, signed_error double, abs_y double, n_points long, wmape double, improvement double, no_worse boolean"
+
+    def status(half_history, half_holdout, bias=0.0, blocks=5):
+        rows = []
+        for b in range(blocks):
+            rows += [("1", "units", "store", "in_sample", b, s, e, 0.0, 10.0, 5, e / 10, 0.2 - e / 10, e <= 2.0) for s, e in ((1.0, 2.0), (0.5, half_history))]
+        rows += [("1", "units", "store", "out_sample", 99, s, e, bias * 10 * (s != 1), 10.0, 5, e / 10, 0.2 - e / 10, e <= 2.0) for s, e in ((1.0, 2.0), (0.5, half_holdout)) if e is not None]
+        return Y.strength_recommendation(Y.strength_summary(spark.createDataFrame(rows, schema))).collect()[0]["status"]
+
+    assert [status(1.0, 1.0), status(1.0, 3.0), status(3.0, 1.0), status(1.0, None), status(1.0, 1.0, 0.008), status(1.0, 1.0, blocks=3)] == ["validated_calibration", "vetoed_by_holdout", "keep_current", "no_holdout", "mixed_holdout", "keep_current"]
+
+
+def test_global_order_pinned_rows_and_samples(spark, days):
+    rng = random.Random(3)
+    rows = [("leaf", "out_sample", str(i % 3), f"s{i % 7}", f"k{i}", rng.choice([None, 0.1, 0.2, rng.random()]), 1.0) for i in range(400)]
+    metrics = spark.createDataFrame(rows, "level string, period_type string, section string, store string, sku string, wmape double, sum_abs_error double").repartition(6)
+    got = sorted((r["rank"], r["sku"]) for r in G.global_leaf_ranking(metrics).collect())
+    want = sorted(rows, key=lambda r: (r[5] is None, r[5] or 0, r[2], r[3], r[4]))
+    assert got == [(i, r[4]) for i, r in enumerate(want, 1)]
+    fc = T.naive_forecast(days)
+    ranking = G.pinned(G.axis_ranking(M.bottom_up(fc, ["store"]), "store"), "store", "b", days).collect()
+    assert ranking[0]["store"] == "b" and ranking[0]["selected"] and 0 < ranking[0]["coverage"] <= 100
+    series = days.select("section", "store", "sku").distinct().unionByName(days.select("section", "store").distinct(), allowMissingColumns=True).unionByName(days.select("section").distinct(), allowMissingColumns=True)
+    kept = [tuple(r) for r in G.sample_nodes(series, 1).collect()]
+    leaf = next(r for r in kept if r[2] is not None)
+    assert sorted(kept, key=str) == sorted([leaf, (leaf[0], leaf[1], None), (leaf[0], None, None)], key=str)

@@ -63,6 +63,24 @@ class Ses:
     reactivation_alpha: float = 0.20
 
 
+@dataclass(frozen=True)
+class Residual:
+    """When a leaf day's error is extreme: forecast and actual a factor apart and materially so, or the gap severe, on the leaf's scale."""
+
+    factor: float = 4.0
+    material: float = 0.15
+    severe: float = 3.0
+    floor_share: float = 0.05
+
+
+@dataclass(frozen=True)
+class Strength:
+    grid: tuple[float, ...] = (0.0, 0.25, 0.50, 0.75, 0.90, 1.0, 1.10, 1.25, 1.50)
+    min_folds: int = 4
+    margin: float = 0.005
+    most: float = 0.60
+
+
 @dataclass(frozen=True)
 class Effect:
     lookback: int = 28

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import clip, count_if, is_finite, median_if, ratio
-from tidemark.operators.metrics import PARTS, leaf_parts
+from tidemark.operators.metrics import PARTS, leaf_parts, with_ratios
 
 LEAF = ["section", "store", "sku"]
 
@@ -136,6 +136,26 @@ def identity_audit(fc: DataFrame, stored: DataFrame, tolerance: float = 1e-9) ->
     return out.withColumn("ok", F.col("worst") <= tolerance)
 
 
+def sample_audit(fc: DataFrame, stored: DataFrame, per_unit: int = 12, tolerance: float = 1e-9) -> DataFrame:
+    """The first leaves by id, each unit: their holdout metrics computed again from the forecast's rows, next to the stored ones. A sampling operator, so it has a limit.
+
+    `stored`: metrics with `unidad`; `fc`: the forecast with y, yhat, value, valuehat."""
+    leaves = stored.where((F.col("level") == "leaf") & (F.col("period_type") == "out_sample"))
+    first = Window.partitionBy("unidad").orderBy(*LEAF)
+    chosen = leaves.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_unit).drop("place")
+    rows = fc.where("period_type = 'out_sample'").join(chosen.select(*LEAF).distinct(), LEAF, "left_semi")
+    long = rows.select(*LEAF, "period_type", F.expr("stack(2, 'units', y, yhat, 'value', value, valuehat) AS (unidad, y, yhat)"))
+    again = with_ratios(leaf_parts(long, [*LEAF, "unidad", "period_type"]))
+    figures = ("wmape", "bias", "wmape_all_points", "bias_all_points", "sum_abs_y", "sum_abs_error", "sum_signed_error")
+    joined = chosen.select(*LEAF, "unidad", *figures).join(again.select(*LEAF, "unidad", *(F.col(n).alias(f"again_{n}") for n in figures)), [*LEAF, "unidad"], "left")
+
+    def off(n):
+        a, b = F.col(n), F.col(f"again_{n}")
+        return F.when(a.isNull() & b.isNull(), 0.0).otherwise(F.coalesce(F.abs(a - b) / F.greatest(F.abs(b), F.lit(1.0)), F.lit(float("inf"))))
+
+    return joined.select(*LEAF, "unidad", F.greatest(*map(off, figures)).alias("worst")).withColumn("ok", F.col("worst") <= tolerance)
+
+
 def sentinel(fc: DataFrame, section: str, store: str) -> DataFrame:
     return leaf_parts(fc.where((F.col("section") == section) & (F.col("store") == store)), ["section", "store", "period_type"])
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import Cohorts
-from tidemark.functions.exprs import clip, cohort, is_finite, ratio, ratio_or_zero, sum_if, unique_id
+from tidemark.functions.exprs import cohort, is_finite, ratio, ratio_or_zero, sum_if, unique_id
 from tidemark.operators.rollup import level_sets
 
 PARTS = ["sum_y", "sum_yhat", "sum_abs_y", "sum_abs_error", "sum_signed_error", "all_abs_y", "all_abs_error", "all_signed_error", "n_points", "n_with_sales"]
@@ -69,6 +69,17 @@ def scope_in_out(fc: DataFrame, keys: list[str]) -> DataFrame:
     return parts.groupBy(*keys).agg(*out, F.sum("n_points").alias("n_points"))
 
 
+def scope_by_cohort(fc: DataFrame, keys: list[str], cohorts: Cohorts = Cohorts()) -> DataFrame:
+    """Holdout metrics of a scope over active leaves, over sparse ones and over both, and what leaves without sales were forecast."""
+    parts = leaf_parts(fc.where("period_type = 'out_sample'"), ["section", "store", "sku"]).withColumn("c", cohort(F.col("n_with_sales"), cohorts.active_days))
+    out = []
+    for name, condition in (("active", F.col("c") == "active"), ("sparse", F.col("c") == "sparse"), ("all", F.col("c") != "zero")):
+        y = sum_if(condition, F.col("sum_abs_y"))
+        out += [ratio_or_zero(sum_if(condition, F.col("sum_abs_error")), y).alias(f"wmape_{name}"), ratio_or_zero(sum_if(condition, F.col("sum_signed_error")), y).alias(f"bias_{name}"), F.count(F.when(condition, 1)).alias(f"n_{name}")]
+    zero = F.col("c") == "zero"
+    return parts.groupBy(*keys).agg(*out, F.count(F.when(zero, 1)).alias("n_zero"), sum_if(zero, F.col("all_abs_error")).alias("zero_demand_error"))
+
+
 def long_units(fc: DataFrame) -> DataFrame:
     """Units and money as rows of one long table."""
     return fc.select("section", "store", "sku", "ds", "k", "period_type", F.expr("stack(2, 'units', y, yhat, 'value', value, valuehat) AS (unidad, y, yhat)"))
@@ -120,6 +131,3 @@ def discrepancy(fc: DataFrame, factor: float, scale: float) -> DataFrame:
     flagged = (high >= factor * F.greatest(low, F.lit(1.0))) & (high >= scale * F.coalesce(reference, F.lit(0.0)))
     return fc.withColumn("reference", reference).withColumn("flagged", flagged)
 
-
-def coverage_share(part, whole):
-    return clip(ratio_or_zero(part, whole) * 100, 0.0, 100.0)

@@ -17,6 +17,7 @@ from tidemark.operators import nodes as N
 from tidemark.operators import panel as P
 from tidemark.operators import price as R
 from tidemark.operators import ranking as G
+from tidemark.operators import residuals as Y
 from tidemark.operators import rollup as A
 from tidemark.operators import serving as W
 from tidemark.plans import sqltext as S
@@ -257,6 +258,14 @@ def scope_in_out(spark, sf):
     return M.scope_in_out(T.forecast(spark, sf), ["section", "store"])
 
 
+_BY_COHORT = ", ".join(f"coalesce(sum({e}) FILTER ({w}) / nullif(sum(sum_abs_y) FILTER ({w}), 0), 0.0) AS {n}_{s}" for s, w in (("active", "c = 'active'"), ("sparse", "c = 'sparse'"), ("all", "c <> 'zero'")) for n, e in (("wmape", "sum_abs_error"), ("bias", "sum_signed_error")))
+
+
+@query(with_(S.LEAVES + f", lc AS (SELECT *, {_COHORT} AS c FROM leaves WHERE period_type = 'out_sample')", f"SELECT section, store, {_BY_COHORT}, count(*) FILTER (c = 'active') AS n_active, count(*) FILTER (c = 'sparse') AS n_sparse, count(*) FILTER (c <> 'zero') AS n_all, count(*) FILTER (c = 'zero') AS n_zero, coalesce(sum(all_abs_error) FILTER (c = 'zero'), 0.0) AS zero_demand_error FROM lc GROUP BY section, store"))
+def scope_by_cohort(spark, sf):
+    return M.scope_by_cohort(T.forecast(spark, sf), ["section", "store"])
+
+
 @query(with_(S.FC + ", lu AS (SELECT section, period_type, 'units' AS unidad, y, yhat FROM fc UNION ALL SELECT section, period_type, 'value', value, valuehat FROM fc), pu AS (SELECT section, unidad, period_type, " + S.PARTS + " FROM lu GROUP BY ALL)", f"SELECT *, {S.RATIOS}, CASE WHEN period_type = 'out_sample' THEN sum_yhat END AS forecast_oos_total FROM pu"))
 def per_unit_metrics(spark, sf):
     return M.per_unit_metrics(T.forecast(spark, sf))
@@ -351,11 +360,11 @@ def global_leaf_ranking(spark, sf):
     return G.global_leaf_ranking(M.bottom_up(T.forecast(spark, sf), ["leaf"]), labels).select(*LEAF, "wmape", "rank", "sku_desc")
 
 
-@query(with_(S.NODES, f"SELECT section, store, sku, wmape, row_number() OVER (PARTITION BY section ORDER BY wmape ASC NULLS LAST, store, sku) AS rank FROM nodes WHERE level = 'leaf' AND period_type = 'out_sample' AND {_COHORT} = 'sparse'"))
+@query(with_(S.NODES, f"SELECT section, store, sku, wmape, row_number() OVER (PARTITION BY section ORDER BY wmape ASC NULLS LAST, store, sku) AS rank FROM nodes WHERE level = 'leaf' AND period_type = 'out_sample' AND {_COHORT} = 'active'"))
 def visible_leaf_ranking(spark, sf):
     leaves = M.bottom_up(T.forecast(spark, sf), ["leaf"]).where("period_type = 'out_sample'")
-    sparse = leaves.where(X.cohort(F.col("n_with_sales")) == "sparse")
-    return G.ranked(sparse, ["section"], ["store", "sku"]).select(*LEAF, "wmape", "rank")
+    active = leaves.where(X.cohort(F.col("n_with_sales")) == "active")
+    return G.ranked(active, ["section"], ["store", "sku"]).select(*LEAF, "wmape", "rank")
 
 
 @query(with_(S.DAYS, "SELECT section, store, sku, total, position FROM (SELECT *, row_number() OVER (PARTITION BY section, store ORDER BY total DESC, sku) AS position FROM (SELECT section, store, sku, sum(y) AS total FROM days GROUP BY ALL)) WHERE position <= 4"))
@@ -510,6 +519,12 @@ def identity_audit(spark, sf):
     return V.identity_audit(fc, M.bottom_up(fc))
 
 
+@query(with_(S.LEAVES, "SELECT section, store, sku, 'units' AS unidad, 0.0::DOUBLE AS worst, true AS ok FROM leaves WHERE period_type = 'out_sample' ORDER BY section, store, sku LIMIT 12"))
+def sample_audit(spark, sf):
+    fc = T.forecast(spark, sf)
+    return V.sample_audit(fc, M.bottom_up(fc, ["leaf"]).withColumn("unidad", F.lit("units")))
+
+
 @query(with_(S.LEAVES + ", t AS (SELECT period_type, " + S.PARTS + " FROM fc GROUP BY period_type)", "SELECT *, sum_abs_error / nullif(sum_abs_y, 0) AS wmape FROM t"))
 def acceptance_report(spark, sf):
     return V.acceptance(T.forecast(spark, sf))
@@ -595,6 +610,21 @@ def leaf_parent_switches(spark, sf):
     return L.parent_switches(L.parent_candidates(L.leaf_forecasts(days, nodes), nodes))
 
 
+@query()
+def leaf_residual_summary(spark, sf):
+    return Y.residual_summary(Y.scored_residuals(leaf_ses_forecast(spark, sf)))
+
+
+@query()
+def leaf_residual_signals(spark, sf):
+    return Y.residual_signals(Y.scored_residuals(leaf_ses_forecast(spark, sf)))
+
+
+@query()
+def effect_strength(spark, sf):
+    return Y.strength_recommendation(stage(Y.strength_summary(Y.strength_folds(leaf_ses_forecast(spark, sf)))))
+
+
 @query()
 def structural_validation(spark, sf):
     return V.structural(stage(leaf_ses_forecast(spark, sf)))

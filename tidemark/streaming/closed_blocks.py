@@ -20,14 +20,15 @@ def smooth_closed_blocks(blocks: DataFrame, alpha: float = 0.1) -> DataFrame:
 
     def advance(key, frames, state):
         level = state.get[0] if state.exists else None
-        for frame in frames:
-            out = []
-            for block, y in frame.sort_values("block")[["block", "y"]].itertuples(index=False):
-                out.append((key[0], int(block), float("nan") if level is None else level))
-                if y > 0:
-                    level = float(y) if level is None else alpha * float(y) + (1 - alpha) * level
-            if level is not None:
-                state.update((level,))
-            yield pd.DataFrame(out, columns=["leaf", "block", "level_before"])
+        # A key's rows of one micro-batch (its closed blocks) may come in several frames: their order holds over all of them.
+        whole = pd.concat([frame[["block", "y"]] for frame in frames], ignore_index=True).sort_values("block")
+        out = []
+        for block, y in whole.itertuples(index=False):
+            out.append((key[0], int(block), float("nan") if level is None else level))
+            if y > 0:
+                level = float(y) if level is None else alpha * float(y) + (1 - alpha) * level
+        if level is not None:
+            state.update((level,))
+        yield pd.DataFrame(out, columns=["leaf", "block", "level_before"])
 
     return blocks.groupBy("leaf").applyInPandasWithState(advance, "leaf string, block long, level_before double", "level double", "append", GroupStateTimeout.NoTimeout)
