@@ -163,16 +163,27 @@ def found_table(parts) -> pa.Table:
 
 
 def hot_anchors(texts: DataFrame, window: int, gram: int) -> list[int]:
-    """Anchors with more than HOT_ENTRIES entries; one that a chunk of texts holds once doesn't count there."""
+    """Anchors with more than HOT_ENTRIES entries; one that FLUSH_ENTRIES entries of a task hold once doesn't count there."""
 
     def run(batches):
+        held, size = [], 0
+
+        def flush():
+            anchor, count = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(anchor[count > 1].view(np.int64)), pa.array(count[count > 1])], names=["anchor", "n"])
+
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             for _, _, part, at in chunks(data, offsets):
                 found = anchor_runs(part, at, window, gram)
                 if found is not None:
-                    anchor, count = np.unique(found[1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(anchor[count > 1].view(np.int64)), pa.array(count[count > 1])], names=["anchor", "n"])
+                    held.append(found[1])
+                    size += len(found[1])
+                if size >= FLUSH_ENTRIES:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
 
     counts = texts.select("text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     return sorted(r[0] for r in counts.where(F.col("n") > HOT_ENTRIES).select("anchor").collect())
@@ -424,7 +435,7 @@ def kept_runs(n: int, spans: np.ndarray) -> list[tuple[int, int]]:
 
 
 def removal_table(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of `docs` with `spans`: int64 pairs (begin, end) of repeated bytes, overlapping in any order, or null."""
+    """All columns of `docs` (as c0..) with `spans`: int64 pairs (begin, end) of repeated bytes, overlapping in any order, or null."""
     if not gram <= window <= gram + 255:
         raise ValueError("a window is at most 255 bytes longer than a gram")  # distances to an anchor are kept in a byte
     spark = docs.sparkSession
@@ -457,8 +468,7 @@ def removal_table(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_co
     drop(spark, compared_path)
     names = docs.columns
     tagged = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), h1.alias("h1"), h2.alias("h2"))
-    out = tagged.join(removals, ["h1", "h2"], "left").select(*(f"c{i}" for i in range(len(names))), "spans", "whole")
-    return out.toDF(*names, "spans", "whole")
+    return tagged.join(removals, ["h1", "h2"], "left").select(*(f"c{i}" for i in range(len(names))), "spans", "whole")
 
 
 def spans_of(whole, lists) -> np.ndarray:
@@ -492,10 +502,10 @@ def removal_digests(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """`docs` with the repeated windows cut out of `text` (a character cut in two goes whole) and `n_chars` renewed."""
-    schema = docs.schema
+    names = docs.columns
+    schema = docs.toDF(*(f"c{i}" for i in range(len(names)))).schema
 
     def run(batches):
-        names = schema.fieldNames()
         where = names.index("text")
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -509,10 +519,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                     texts.append(text)
                 columns = [part.column(i) for i in range(len(names))]
                 columns[where] = pa.array(texts, columns[where].type)
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                if "n_chars" in names:
+                    at_chars = names.index("n_chars")
+                    columns[at_chars] = pa.array([None if t is None else len(t) for t in texts], columns[at_chars].type)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    out = removal_table(docs, window, gram).mapInArrow(run, schema)
-    return out.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+    return removal_table(docs, window, gram).mapInArrow(run, schema).toDF(*names)
 
 
 def op7_suffix_dedup(spark, sf_dir):
