@@ -1,33 +1,40 @@
 """Quality classifier by co-training of two views.
 
 Two judgements are learned, junk (quality 0) and toxic (toxic 1), each by two logistic classifiers
-that see different things: the content view the words of a text, the metadata view its language,
-source, length and layout (shares of symbols, capitals, digits, lines, repeated neighbours).
+that see different things: the content view the text alone (its words, and its layout: shares of
+symbols, capitals, digits, lines, repeated neighbours), the metadata view the page's columns alone
+(language, source, stated length).
 
 1. A bounded sample of labelled rows (the LABELLED with the smallest hash of their id) trains the
-   first classifiers; FEATURES words are selected per judgement by their chi-square statistic.
+   first classifiers. FEATURES words are selected per judgement by their chi-square statistic, which
+   Spark counts over the words of all training rows; the driver sees selected words only.
 2. In each of ROUNDS rounds every unlabelled document of the corpus is scored by both views, and
-   each view hands the other the PER_ROUND documents of each class that it is surest of (at least
-   CONFIDENT sure); both are trained anew on labels and what they were handed.
+   each view hands the other up to PER_ROUND texts, of each class those that it is surest of (at
+   least CONFIDENT sure), in the labels' proportion of the classes, so that no class's share shifts. Words are selected anew, so that what the metadata view hands over can bring
+   words that no labelled row holds, and both are trained anew on labels and what they were handed.
 3. On a fold of the labelled sample that took no part in training, a logistic function calibrates
-   and combines the two views of each judgement.
+   and combines the two views of each judgement; a view that would count against itself there is
+   left out.
 4. All documents are scored: P(not junk) * P(not toxic); those below THRESHOLD are rejected.
 
-Models are tables of bounded size. Equal rows get equal scores. Null text: empty. Null language,
-source or length: a value of its own. Missing metadata columns count as null. Without labels of
-both classes a judgement keeps the prior. Repeated rows come back as often as they came. Empty
-table: no rows. Extra columns are ignored by the query and kept by keep_good().
+Models are tables of bounded size, and what the driver holds of a training row is its features,
+whatever the text's length. Rows that are equally sure are ordered by a hash of their text, and rows
+of one text (but for case) are handed over once, so neither the order of rows nor copies change the
+model. Equal rows get equal scores. Of several labelled rows under one id one is used. Null text:
+empty. Null language, source or length: a value of its own. Missing metadata columns count as null.
+Without labels of both classes a judgement keeps the prior. Repeated rows come back as often as they
+came. Empty table: no rows. Extra columns are ignored by the query and kept by keep_good().
 """
 
 from __future__ import annotations
 
-import heapq
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from .scratch import drop, store
@@ -36,12 +43,13 @@ from .textkit import LOWER, SPACE, buffers, chunks, documents, find_words, mix,
 LABELLED = 8_000
 FEATURES = 768
 ROUNDS = 2
-PER_ROUND = 200
+PER_ROUND = 400
 CONFIDENT = 0.95
 THRESHOLD = 0.4
 MIN_TEXTS = 4
 CERTAIN = 12.0
 HEADS = ("junk", "toxic")
+VIEWS = ("content", "metadata")
 
 _LETTER = np.zeros(256, dtype=bool)
 for _a, _b in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)):
@@ -54,7 +62,7 @@ _DIGIT[0x30:0x3A] = True
 _SYMBOL = ~_LETTER & ~SPACE
 _SYMBOL[list(b".,'-")] = False
 META_SLOTS = 48
-LAYOUT = 9
+LAYOUT = 8
 
 
 def sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -63,7 +71,7 @@ def sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def read_views(data, offsets, lang, source, n_chars):
-    """Metadata rows, word hashes and the document of each word (each document's words may repeat)."""
+    """Metadata rows, layout rows, hashes of the texts in lower case, word hashes, and the document of each word (words may repeat)."""
     docs = len(offsets) - 1
     starts, ends, first = find_words(data, offsets)
     low = LOWER[data]
@@ -77,12 +85,12 @@ def read_views(data, offsets, lang, source, n_chars):
     again = np.zeros(len(raw), dtype=np.int64)
     if len(raw) > 2:
         again[1:] = (raw[1:] == raw[:-1]) & (doc[1:] == doc[:-1])
-    meta = np.zeros((docs, META_SLOTS + LAYOUT), dtype=np.float64)
+    meta = np.zeros((docs, META_SLOTS + 1), dtype=np.float64)
     for i, (x, y) in enumerate(zip(lang, source)):
         meta[i, zlib.crc32(f"l{x}".encode()) % 8] = 1.0
         meta[i, 8 + zlib.crc32(f"s{y}".encode()) % (META_SLOTS - 8)] = 1.0
-    layout = [
-        np.log1p(np.asarray([c or 0 for c in n_chars], dtype=np.float64)),
+    meta[:, META_SLOTS] = np.log1p(np.asarray([max(c or 0, 0) for c in n_chars], dtype=np.float64))
+    layout = np.column_stack([
         np.log1p(words),
         sums(_SYMBOL[data], offsets) / n,
         sums(_CAPITAL[data], offsets) / n,
@@ -91,14 +99,13 @@ def read_views(data, offsets, lang, source, n_chars):
         sums(data == 0x7C, offsets) / words,
         n / words / 10,
         np.bincount(doc, weights=again, minlength=docs) / words,
-    ]
-    for k, column in enumerate(layout):
-        meta[:, META_SLOTS + k] = column
-    return meta, np.concatenate([raw, plain]), np.concatenate([doc, np.repeat(np.arange(docs), np.diff(first_plain))])
+    ])
+    text = span_hash(running, offsets[:-1], offsets[1:])
+    return meta, layout, text, np.concatenate([raw, plain]), np.concatenate([doc, np.repeat(np.arange(docs), np.diff(first_plain))])
 
 
 def batch_views(batch: pa.RecordBatch, at: dict[str, int]):
-    """(first document, end, metadata rows, word hashes, documents of the words) by chunks."""
+    """(first document, end, metadata, layout, text hashes, word hashes, documents of the words) by chunks."""
     data, offsets = buffers(batch.column(at["text"]))
     other = {k: batch.column(at[k]).to_pylist() if k in at else [None] * batch.num_rows for k in ("lang", "source", "n_chars")}
     for start, end, part, where in chunks(data, offsets):
@@ -125,29 +132,18 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, steps: int =
     return w.astype(np.float64)
 
 
-def chi_square(words: list[np.ndarray], y: np.ndarray, top: int) -> np.ndarray:
-    """The words whose presence depends most on the class."""
-    total, positive = len(words), int(y.sum())
-    if not 0 < positive < total:
-        return np.zeros(0, dtype=np.uint64)
-    flat, owner = np.concatenate(words), np.repeat(y, [len(w) for w in words])
-    values, place = np.unique(flat, return_inverse=True)
-    seen = np.bincount(place)
-    a = np.bincount(place, weights=owner)
-    expected = seen * (positive / total)
-    spread = expected * (1 - positive / total) * (1 - seen / total)
-    score = np.where((seen >= MIN_TEXTS) & (seen < total), (a - expected) ** 2 / np.maximum(spread, 1e-9), 0.0)
-    best = np.lexsort((values, -score))[:top]
-    return values[best[score[best] > CERTAIN]]
-
-
 class Views:
     """The two classifiers of each judgement, and how they are combined."""
 
-    def __init__(self, vocabulary: np.ndarray, centre: np.ndarray, width: np.ndarray):
-        self.vocabulary, self.centre, self.width = vocabulary, centre, width
+    def __init__(self, centre: np.ndarray, width: np.ndarray):
+        self.vocabulary = np.zeros(0, dtype=np.uint64)
+        #: Of each judgement, the places of its words in the joint vocabulary.
+        self.own: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(HEADS)
+        self.centre, self.width = centre, width  # of metadata and layout
         self.weights: dict[tuple[str, str], np.ndarray] = {}
         self.combined = {h: np.asarray([0.5, 0.5, 0.0]) for h in HEADS}
+        #: Log odds of each judgement among the labelled rows.
+        self.prior = dict.fromkeys(HEADS, 0.0)
 
     def hits(self, words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (document, feature) pairs of selected words."""
@@ -158,16 +154,18 @@ class Views:
         key = np.unique(doc[hit] * len(self.vocabulary) + at[hit])
         return key // len(self.vocabulary), key % len(self.vocabulary)
 
-    def scaled(self, meta: np.ndarray) -> np.ndarray:
-        return (meta - self.centre) / self.width
+    def scaled(self, meta: np.ndarray, layout: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        m = META_SLOTS + 1
+        return (meta - self.centre[:m]) / self.width[:m], (layout - self.centre[m:]) / self.width[m:]
 
-    def logits(self, meta: np.ndarray, doc: np.ndarray, feature: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
-        out, scaled = {}, self.scaled(meta)
+    def logits(self, meta: np.ndarray, layout: np.ndarray, doc: np.ndarray, feature: np.ndarray) -> dict[tuple[str, str], np.ndarray]:
+        """Content weights: a word of the vocabulary each, then layout, then the bias."""
+        out, (meta, layout) = {}, self.scaled(meta, layout)
         for (head, view), w in self.weights.items():
             if view == "content":
-                out[head, view] = np.bincount(doc, weights=w[:-1][feature], minlength=len(meta)) + w[-1]
+                out[head, view] = np.bincount(doc, weights=w[feature], minlength=len(meta)) + layout @ w[-1 - LAYOUT : -1] + w[-1]
             else:
-                out[head, view] = scaled @ w[:-1] + w[-1]
+                out[head, view] = meta @ w[:-1] + w[-1]
         return out
 
     def probability(self, logits: dict, head: str) -> np.ndarray:
@@ -180,134 +178,262 @@ def labelled_sample(labels: DataFrame, limit: int) -> dict:
     return {r[0]: (1 - r[1], r[2]) for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()}
 
 
-class Training:
-    """Labelled and handed rows, as matrices of both views."""
+EXAMPLE = ["round", "id", "text", "side", "meta", "layout", "words"]
 
-    def __init__(self, ids: list, meta: np.ndarray, words: list[np.ndarray], y: np.ndarray):
-        held = np.asarray([zlib.crc32(f"fold{i}".encode()) % 4 == 0 for i in ids], dtype=bool)
-        self.y, self.held = y, held
-        fit = ~held
-        chosen = [chi_square([w for w, f in zip(words, fit) if f], y[fit, k], FEATURES) for k in range(len(HEADS))]
-        #: Of each judgement, the places of its words in the joint vocabulary.
-        self.own = [np.searchsorted(np.unique(np.concatenate(chosen)), np.sort(c)) for c in chosen]
-        spread = meta[fit].std(axis=0) if fit.any() else np.ones(meta.shape[1])
-        self.views = Views(np.unique(np.concatenate(chosen)), meta[fit].mean(axis=0) if fit.any() else np.zeros(meta.shape[1]), np.where(spread > 1e-9, spread, 1.0))
-        self.meta = self.views.scaled(meta)
-        self.content = np.zeros((len(ids), len(self.views.vocabulary)), dtype=np.float32)
-        flat = np.concatenate([*words, np.zeros(0, np.uint64)])
-        doc, feature = self.views.hits(flat, np.repeat(np.arange(len(ids)), [len(w) for w in words]))
-        self.content[doc, feature] = 1
-        self.handed: dict[tuple[str, str], tuple[list, list]] = {}
-        self.train()
-
-    def train(self) -> None:
-        for k, head in enumerate(HEADS):
-            for view, x in (("content", self.content), ("metadata", self.meta)):
-                y = self.y[~self.held, k]
-                more, answers = self.handed.get((head, view), ([], []))
-                rows = np.concatenate([x[~self.held], np.asarray(more, dtype=x.dtype).reshape(len(more), x.shape[1])])
-                target = np.concatenate([y, np.asarray(answers, dtype=np.float64)])
-                if 0 < y.sum() < len(y):
-                    own = self.own[k] if view == "content" else np.arange(x.shape[1])
-                    fitted, whole = fit_logistic(rows[:, own], target), np.zeros(x.shape[1] + 1)
-                    whole[own], whole[-1] = fitted[:-1], fitted[-1]
-                    self.views.weights[head, view] = whole
-                else:
-                    prior = np.zeros(x.shape[1] + 1)
-                    prior[-1] = np.log((y.sum() + 0.05) / (len(y) - y.sum() + 0.95))
-                    self.views.weights[head, view] = prior
 
-    def combine(self) -> None:
-        held = self.held
-        for k, head in enumerate(HEADS):
-            y = self.y[held, k]
-            if 0 < y.sum() < len(y):
-                pair = [x[held] @ self.views.weights[head, v][:-1] + self.views.weights[head, v][-1] for v, x in (("content", self.content), ("metadata", self.meta))]
-                self.views.combined[head] = fit_logistic(np.column_stack(pair), y, ridge=0.1, steps=2000)
+def side_hash(meta: np.ndarray) -> np.ndarray:
+    """Hash of each row's metadata."""
+    return np.asarray([zlib.crc32(m.tobytes()) for m in meta], dtype=np.int64)
 
 
-def collect_labelled(rows: DataFrame, at: dict[str, int], named: dict) -> Training:
-    shared = rows.sparkSession.sparkContext.broadcast(set(named))  # LABELLED ids at most
+def example_rows(rows: DataFrame, at: dict[str, int], wanted: set, number: int) -> DataFrame:
+    """Training rows (round `number`): metadata, layout and distinct words of the rows whose id is wanted, one row an id and text."""
+    shared = rows.sparkSession.sparkContext.broadcast(wanted)  # LABELLED ids at most, or what a round hands over
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(at["doc_id"]).to_pylist()
-            wanted = [i for i, x in enumerate(ids) if x in shared.value]
-            if not wanted:
+            found = [i for i, x in enumerate(batch.column(at["doc_id"]).to_pylist()) if x in shared.value]
+            if not found:
                 continue
-            part = batch.take(pa.array(wanted, pa.int64()))
-            for start, end, meta, words, doc in batch_views(part, at):
+            part = batch.take(pa.array(found, pa.int64()))
+            for start, end, meta, layout, text, words, doc in batch_views(part, at):
                 order = np.argsort(doc, kind="stable")
                 cuts = np.searchsorted(doc[order], np.arange(1, end - start))
                 mine = [np.unique(w).tobytes() for w in np.split(words[order], cuts)]
-                yield pa.RecordBatch.from_arrays([part.column(at["doc_id"]).slice(start, end - start), pa.array(list(meta), pa.list_(pa.float64())), pa.array(mine, pa.binary())], names=["id", "meta", "words"])
+                ids = part.column(at["doc_id"]).slice(start, end - start)
+                blobs = ([x.tobytes() for x in table] for table in (meta, layout))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(end - start, number, np.int32)), ids, pa.array(text.view(np.int64)), pa.array(side_hash(meta)), *(pa.array(x, pa.binary()) for x in blobs), pa.array(mine, pa.binary())], names=EXAMPLE)
+
+    found = rows.mapInArrow(run, f"round int, id {id_type}, text long, side long, meta binary, layout binary, words binary")
+    one = F.min(F.struct("side", "layout", "meta", "words")).alias("one")
+    return found.groupBy("round", "id", "text").agg(one).select("round", "id", "text", "one.side", "one.meta", "one.layout", "one.words")
+
+
+def selected_words(examples: DataFrame, answers: dict) -> list[np.ndarray]:
+    """Of each judgement, the FEATURES words whose presence depends most on the class (chi-square).
+
+    `answers`: of (round, id, text), each judgement's class, or -1 where the row doesn't train it."""
+    spark = examples.sparkSession
+    shared = spark.sparkContext.broadcast(answers)  # an entry a training row
+
+    def run(batches):
+        for batch in batches:
+            held, marks = [], []
+            for key, words in zip(zip(*(batch.column(c).to_pylist() for c in range(3))), batch.column(3)):
+                if (y := shared.value.get(key)) is not None:
+                    held.append(np.frombuffer(words.as_buffer(), dtype=np.uint64))
+                    marks.append(y)
+            if held:
+                values, place = np.unique(np.concatenate(held), return_inverse=True)
+                y = np.repeat(np.asarray(marks), [len(w) for w in held], axis=0)
+                counts = [np.bincount(place, weights=flags, minlength=len(values)).astype(np.int64) for k in range(len(HEADS)) for flags in (y[:, k] >= 0, y[:, k] == 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), *map(pa.array, counts)], names=names)
+
+    names = ["h", *(f"{x}{k}" for k in range(len(HEADS)) for x in ("n", "a"))]
+    counts = examples.select("round", "id", "text", "words").mapInArrow(run, ", ".join(f"{n} long" for n in names)).groupBy("h").agg(*(F.sum(n).alias(n) for n in names[1:]))
+    counts, path = store(counts.where(" OR ".join(f"n{k} >= {MIN_TEXTS}" for k in range(len(HEADS)))))
+    out = []
+    for k in range(len(HEADS)):
+        y = np.asarray([v[k] for v in answers.values() if v[k] >= 0])
+        total, positive = len(y), int(y.sum())
+        if not 0 < positive < total:
+            out.append(np.zeros(0, dtype=np.uint64))
+            continue
+        seen, a, share = F.col(f"n{k}"), F.col(f"a{k}"), positive / total
+        expected = seen * share
+        score = (a - expected) * (a - expected) / F.greatest(expected * (1 - share) * (1 - seen / total), F.lit(1e-9))
+        best = counts.where((seen >= MIN_TEXTS) & (seen < total)).select("h", score.alias("score")).where(F.col("score") > CERTAIN).orderBy(F.desc("score"), "h").limit(FEATURES)
+        out.append(np.sort(best.toArrow().column("h").to_numpy().view(np.uint64)))
+    drop(spark, path)
+    return out
+
+
+def example_features(examples: DataFrame, vocabulary: np.ndarray) -> dict:
+    """(round, id, text): metadata, layout and the places of its words in the vocabulary, for every training row."""
+    shared = examples.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches):
+        for batch in batches:
+            hits = [np.flatnonzero(np.isin(shared.value, np.frombuffer(w.as_buffer(), dtype=np.uint64), assume_unique=True)).astype("<u2").tobytes() for w in batch.column(5)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(hits, pa.binary())], names=names)
+
+    names = ["round", "id", "text", "meta", "layout", "hits"]
+    id_type = examples.schema["id"].dataType.simpleString()
+    table = examples.select("round", "id", "text", "meta", "layout", "words").mapInArrow(run, f"round int, id {id_type}, text long, meta binary, layout binary, hits binary").toArrow()
+    out = {}
+    for *key, meta, layout, hits in zip(*(table.column(n).to_pylist() for n in names)):
+        out[tuple(key)] = np.frombuffer(meta), np.frombuffer(layout), np.frombuffer(hits, "<u2")
+    return out
+
+
+class Training:
+    """Labelled rows, the rows handed over in this round, and the classifiers that they make."""
+
+    def __init__(self, rows: DataFrame, at: dict[str, int], labels: DataFrame):
+        self.rows, self.at = rows, at
+        self.named = labelled_sample(labels, LABELLED)
+        self.labelled, self.path = store(example_rows(rows, at, set(self.named), 0))
+        self.keys = self._one_an_id(self.labelled.select("round", "id", "text").collect())
+        self.y = np.asarray([self.named[k[1]] for k in self.keys], dtype=np.float64).reshape(-1, len(HEADS))
+        self.held = np.asarray([zlib.crc32(f"fold{k[1]}".encode()) % 4 == 0 for k in self.keys], dtype=bool)
+        self.views = self._scales()
+        self.train({}, None)
+
+    @staticmethod
+    def _one_an_id(keys) -> list[tuple]:
+        lowest = {}
+        for number, i, text in keys:
+            lowest[i] = min(lowest.get(i, text), text)
+        return [(0, i, lowest[i]) for i in sorted(lowest)]
+
+    def _scales(self) -> Views:
+        found = example_features(self.labelled, np.zeros(0, dtype=np.uint64))
+        fit = [np.concatenate(found[k][:2]) for k, h in zip(self.keys, self.held) if not h]
+        wide = np.asarray(fit).reshape(len(fit), META_SLOTS + 1 + LAYOUT) if fit else np.zeros((1, META_SLOTS + 1 + LAYOUT))
+        spread = wide.std(axis=0)
+        return Views(wide.mean(axis=0), np.where(spread > 1e-9, spread, 1.0))
+
+    def train(self, handed: dict, extra: DataFrame | None) -> None:
+        """Selects words and fits all classifiers; handed: (judgement, view) -> [(key, class)], rows of `extra`."""
+        examples = self.labelled if extra is None else self.labelled.union(extra)
+        answers = {k: tuple(y.astype(int).tolist()) for k, y, h in zip(self.keys, self.y, self.held) if not h}
+        for number, head in enumerate(HEADS):
+            for key, y in handed.get((head, "content"), ()):
+                own = list(answers.get(key, (-1,) * len(HEADS)))
+                own[number] = y
+                answers[key] = tuple(own)
+        views = self.views
+        chosen = selected_words(examples, answers)
+        views.vocabulary = np.unique(np.concatenate(chosen))
+        views.own = [np.searchsorted(views.vocabulary, c) for c in chosen]
+        found = example_features(examples, views.vocabulary)
+        for number, head in enumerate(HEADS):
+            y = self.y[~self.held, number]
+            views.prior[head] = float(np.log((y.sum() + 0.05) / (len(y) - y.sum() + 0.95)))
+            for view in VIEWS:
+                more = handed.get((head, view), ())
+                keys = [k for k, h in zip(self.keys, self.held) if not h] + [k for k, _ in more]
+                target = np.concatenate([y, np.asarray([c for _, c in more], dtype=np.float64)])
+                size = len(views.vocabulary) + LAYOUT if view == "content" else META_SLOTS + 1
+                whole = np.zeros(size + 1)
+                if 0 < y.sum() < len(y):
+                    own = np.concatenate([views.own[number], len(views.vocabulary) + np.arange(LAYOUT)]) if view == "content" else np.arange(size)
+                    fitted = fit_logistic(self.matrix(found, keys, view, own), target)
+                    whole[own], whole[-1] = fitted[:-1], fitted[-1]
+                else:
+                    whole[-1] = views.prior[head]
+                views.weights[head, view] = whole
+        self.found = {k: found[k] for k in self.keys}
+
+    def matrix(self, found: dict, keys: list, view: str, own: np.ndarray) -> np.ndarray:
+        """The training rows of one classifier; `own`: the places that it sees."""
+        views = self.views
+        meta, layout = (np.asarray([found[k][i] for k in keys]).reshape(len(keys), n) for i, n in ((0, META_SLOTS + 1), (1, LAYOUT)))
+        meta, layout = views.scaled(meta, layout)
+        if view == "metadata":
+            return meta.astype(np.float32)
+        column = np.full(len(views.vocabulary), -1)
+        words = own[:-LAYOUT]
+        column[words] = np.arange(len(words))
+        x = np.zeros((len(keys), len(own)), dtype=np.float32)
+        for i, k in enumerate(keys):
+            hit = column[found[k][2]]
+            x[i, hit[hit >= 0]] = 1
+        x[:, len(words) :] = layout
+        return x
+
+    def combine(self) -> None:
+        """Calibrates and combines the two views on the held fold."""
+        keys = [k for k, h in zip(self.keys, self.held) if h]
+        for number, head in enumerate(HEADS):
+            y = self.y[self.held, number]
+            if 0 < y.sum() < len(y):
+                pair = []
+                for view in VIEWS:
+                    w = self.views.weights[head, view]
+                    x = self.matrix(self.found, keys, view, np.concatenate([self.views.own[number], len(self.views.vocabulary) + np.arange(LAYOUT)]))
+                    own = np.concatenate([self.views.own[number], np.arange(len(w) - 1 - LAYOUT, len(w) - 1)]) if view == "content" else np.arange(len(w) - 1)
+                    pair.append(x @ w[own] + w[-1])
+                pair, whole = np.column_stack(pair), np.zeros(len(VIEWS) + 1)
+                fitted = fit_logistic(pair, y, ridge=0.1, steps=2000)
+                own = np.append(fitted[:-1] > 0, True)
+                whole[own] = fitted if own.all() else fit_logistic(pair[:, own[:-1]], y, ridge=0.1, steps=2000)
+                self.views.combined[head] = whole
+
+
+def foremost(sure: np.ndarray, text: np.ndarray, side: np.ndarray, top: int) -> np.ndarray:
+    """Places of the `top` surest rows with different texts; ties go by the hashes of text and metadata."""
+    order = np.lexsort((side, text, -sure))
+    _, first = np.unique(text[order], return_index=True)
+    return order[np.sort(first)[:top]]
+
+
+def handed_share(prior: float, per_round: int) -> tuple[int, int]:
+    """How many texts of the negative and the positive class a view hands over: as the labels have them."""
+    positive = min(max(1, round(per_round / (1 + np.exp(-prior)))), per_round - 1)
+    return per_round - positive, positive
+
 
-    table = rows.mapInArrow(run, f"id {id_type}, meta array<double>, words binary").dropDuplicates(["id"]).toArrow()
-    table = table.sort_by("id")
-    ids = table.column("id").to_pylist()
-    meta = np.asarray(table.column("meta").to_pylist(), dtype=np.float64).reshape(-1, META_SLOTS + LAYOUT)
-    words = [np.frombuffer(w, dtype=np.uint64) for w in table.column("words").to_pylist()]
-    return Training(ids, meta, words, np.asarray([named[i] for i in ids], dtype=np.float64).reshape(-1, 2))
+def in_proportion(chosen: list, shares: list[tuple[int, int]]) -> list:
+    """Of the rows (slot, place, ..) of each view and judgement the foremost, both classes in the labels' proportion: none if one class has none."""
+    found = np.bincount([r["slot"] for r in chosen], minlength=2 * len(shares)).reshape(-1, 2)
+    part = [min(n / s for n, s in zip(*pair)) for pair in zip(found.tolist(), shares)]
+    limits = [min(1.0, p) * s for p, share in zip(part, shares) for s in share]
+    return [r for r in chosen if r["place"] <= limits[r["slot"]] + 1e-9]
 
 
 def surest(rows: DataFrame, at: dict[str, int], views: Views, labelled: set, per_slot: int) -> DataFrame:
-    """slot, margin, id, meta, features: of each partition the surest unlabelled documents of each view, judgement and class."""
+    """slot, margin, text, side, id: of each partition the surest unlabelled texts of each view, judgement and class."""
     shared = rows.sparkSession.sparkContext.broadcast((views, labelled))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     margin = float(np.log(CONFIDENT / (1 - CONFIDENT)))
 
     def run(batches):
         model, skip = shared.value
-        best: dict[int, list] = {}
+        quota = [handed_share(model.prior[head], per_slot) for head, _ in model.weights]
+        best: dict[int, tuple] = {}
         for batch in batches:
             ids = batch.column(at["doc_id"]).to_pylist()
-            for start, end, meta, words, doc in batch_views(batch, at):
-                who, feature = model.hits(words, doc)
-                first = np.searchsorted(who, np.arange(end - start + 1))
+            for start, end, meta, layout, text, words, doc in batch_views(batch, at):
                 free = np.asarray([i is not None and i not in skip for i in ids[start:end]], dtype=bool)
-                for slot, z in enumerate(model.logits(meta, who, feature).values()):
+                side = side_hash(meta)
+                for slot, z in enumerate(model.logits(meta, layout, *model.hits(words, doc)).values()):
                     for sign in (0, 1):
                         sure = z if sign else -z
-                        heap = best.setdefault(2 * slot + sign, [])
-                        for k in np.flatnonzero(free & (sure > max(margin, heap[0][0] if len(heap) >= per_slot else margin))).tolist():
-                            item = (float(sure[k]), ids[start + k], meta[k].tolist(), feature[first[k] : first[k + 1]].tolist())
-                            if any(x[1] == item[1] for x in heap):
-                                continue
-                            (heapq.heappushpop if len(heap) >= per_slot else heapq.heappush)(heap, item)
-        for slot, heap in best.items():
-            if heap:
-                heap.sort(reverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array([slot] * len(heap), pa.int32()), pa.array([x[0] for x in heap]), pa.array([x[1] for x in heap]), pa.array([x[2] for x in heap], pa.list_(pa.float64())), pa.array([x[3] for x in heap], pa.list_(pa.int32()))], names=["slot", "margin", "id", "meta", "features"])
+                        some = np.flatnonzero(free & (sure >= margin))
+                        new = sure[some], text[some], side[some], np.asarray([ids[start + k] for k in some.tolist()], dtype=object)
+                        old = best.get(2 * slot + sign)
+                        both = new if old is None else tuple(np.concatenate(x) for x in zip(old, new))
+                        keep = foremost(*both[:3], quota[slot][sign])
+                        best[2 * slot + sign] = tuple(x[keep] for x in both)
+        for slot, (sure, text, side, ids) in best.items():
+            if len(sure):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sure), slot, np.int32)), pa.array(sure), pa.array(text.view(np.int64)), pa.array(side), pa.array(ids.tolist(), id_kind)], names=["slot", "margin", "text", "side", "id"])
 
-    return rows.mapInArrow(run, f"slot int, margin double, id {id_type}, meta array<double>, features array<int>")
+    id_kind = to_arrow_type(rows.schema["doc_id"].dataType)
+    return rows.mapInArrow(run, f"slot int, margin double, text long, side long, id {id_type}")
 
 
 def train_views(rows: DataFrame, at: dict[str, int], labels: DataFrame, rounds: int = ROUNDS) -> Views:
-    named = labelled_sample(labels, LABELLED)
-    training = collect_labelled(rows, at, named)
-    slots = [(h, v) for h in HEADS for v in ("content", "metadata")]
-    for _ in range(rounds if len(training.y) else 0):
-        order = list(training.views.weights)
-        found, path = store(surest(rows, at, training.views, set(named), PER_ROUND))
-        training.handed = {}
-        for number, (head, view) in enumerate(order):
-            other = "metadata" if view == "content" else "content"
-            xs, ys = [], []
-            for sign in (0, 1):
-                for r in found.where(f"slot = {2 * number + sign}").orderBy(F.desc("margin"), "id").limit(PER_ROUND).collect():
-                    if other == "metadata":
-                        xs.append(training.views.scaled(np.asarray(r["meta"])))
-                    else:
-                        x = np.zeros(len(training.views.vocabulary), dtype=np.float32)
-                        x[r["features"]] = 1
-                        xs.append(x)
-                    ys.append(sign)
-            training.handed[head, other] = (xs, ys)
+    training = Training(rows, at, labels)
+    slots = list(training.views.weights)
+    for number in range(1, rounds + 1) if len(training.y) else ():
+        found = surest(rows, at, training.views, set(training.named), PER_ROUND)
+        one = found.groupBy("slot", "text").agg(F.min(F.struct((-F.col("margin")).alias("less"), "side", "id")).alias("one")).select("slot", "text", "one.*")
+        for group in (["slot", F.pmod("text", F.lit(64))], ["slot"]):  # in parts first, so that no task reads all of a slot
+            one = one.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy("less", "text"))).where(F.col("place") <= PER_ROUND)
+        chosen = one.select("slot", "place", "text", "id").collect()  # PER_ROUND rows a slot
+        chosen = in_proportion(chosen, [handed_share(training.views.prior[head], PER_ROUND) for head, _ in slots])
+        extra, path = store(example_rows(rows, at, {r["id"] for r in chosen}, number))
+        handed: dict[tuple[str, str], list] = {}
+        for slot, _, text, i in sorted(map(tuple, chosen)):
+            head, view = slots[slot // 2]
+            handed.setdefault((head, "metadata" if view == "content" else "content"), []).append(((number, i, text), slot % 2))
+        training.train(handed, extra)
         drop(rows.sparkSession, path)
-        training.train()
-    assert set(training.views.weights) == set(slots)
     training.combine()
+    drop(rows.sparkSession, training.path)
     return training.views
 
 
@@ -325,8 +451,8 @@ def classified(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, thresho
     def run(batches):
         model = shared.value
         for batch in batches:
-            for start, end, meta, words, doc in batch_views(batch, at):
-                logits = model.logits(meta, *model.hits(words, doc))
+            for start, end, meta, layout, _, words, doc in batch_views(batch, at):
+                logits = model.logits(meta, layout, *model.hits(words, doc))
                 junk, toxic = (model.probability(logits, h) for h in HEADS)
                 score = (1 - junk) * (1 - toxic)
                 yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns, pa.array(junk), pa.array(toxic), pa.array(score), pa.array(score >= threshold)], names=schema.names)
