@@ -10,7 +10,7 @@ from tidemark.plans import catalogue
 
 HEADLINE = [
     "bottom_up_metrics", "cohort_metrics", "rollup_levels", "dense_store_panel", "price_edp", "ar_features", "parent_choice", "cumulative_metrics",
-    "weekly_resample", "bottom_up_series", "global_leaf_ranking", "residual_taxonomy", "gamma_strength", "holiday_offsets_pivot", "simple_ses_fold", "rls_node_forecast",
+    "weekly_resample", "bottom_up_series", "global_leaf_ranking", "residual_taxonomy", "gamma_strength", "holiday_offsets_pivot", "simple_ses_fold", "rls_node_forecast", "leaf_ses_forecast", "multi_cadence_forecast",
 ]
 
 
