@@ -1,3 +1,5 @@
+import collections
+import math
 import random
 import re
 
@@ -52,23 +54,63 @@ def test_ratio_is_the_mean_weight(spark):
     assert np.sign(r[1]) == 1 and np.sign(r[2]) == -1
 
 
-def test_counters_grow_with_the_corpus_and_shards_equal_the_broadcast(spark, monkeypatch):
-    assert Q.bucket_count(10) == Q.BUCKETS and all(Q.bucket_count(n) >= n for n in (1 << 17, 8_000_000, 12_000_000_000))
+def test_counts_are_exact_sums_over_all_partitions(spark):
     data = rows(2)
-    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
-    labels = spark.createDataFrame([(i, int(i % 5 != 4), 0) for i in range(100)], "doc_id long, quality int, toxic int")
-    trusted, text = Q.trusted_ids(labels), Q.F.coalesce("text", Q.F.lit(""))
-    whole = df.withColumns({"h1": Q.F.xxhash64(text), "h2": Q.F.xxhash64(Q.F.lit(17), text)})
-    for hot_share in (20_000, 10):  # nearly all n-grams are frequent, or few are
-        monkeypatch.setattr(Q, "HOT_SHARE", hot_share)
-        total, good, hot = Q.corpus_grams(df, trusted)
-        expected = Q.judged(df, Q.ratio_weights(df, trusted, 1 << 22)).select("c1", "f_ratio").collect()
-        got = whole.join(Q.joined_ratios(whole, trusted, total, good, hot, 1 << 22, 18), ["h1", "h2"]).select("text", "ratio").collect()
-        assert len(got) == len(expected) == len(data)
-        by_text = {r["text"]: r["ratio"] for r in got}
-        assert max(abs(by_text[r["c1"]] - r["f_ratio"]) for r in expected) < 1e-6
-    plain, dealt = (sorted((r["c0"], r["f_kept"], r["f_base_failed"]) for r in Q.judge(df, labels, shared=x).collect()) for x in (1 << 30, 0))
-    assert plain == dealt
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    buckets, trusted = 1 << 15, [i for i in range(0, 100) if i % 5 != 4]
+    want = np.zeros((2, buckets), dtype=np.int64)
+    for i, text in data:
+        data_, offsets = np.frombuffer((text or "").encode(), np.uint8), np.asarray([0, len((text or "").encode())])
+        starts, ends, first = Q.find_words(data_, offsets)
+        bucket, _ = Q.gram_buckets(Q.span_hash(Q.prefix_hash(data_), starts, ends), first, buckets)
+        want[0] += np.bincount(bucket, minlength=buckets)
+        want[1] += np.bincount(bucket, minlength=buckets) * (i in trusted)
+    got = np.zeros((2, buckets), dtype=np.int64)
+    for r in Q.gram_counts(df, trusted, buckets).collect():
+        width = len(r["raw"]) // 8
+        got[0, r["slice"] * width :][:width], got[1, r["slice"] * width :][:width] = np.frombuffer(r["raw"], np.int64), np.frombuffer(r["good"], np.int64)
+    assert (got == want).all()
+    share = want[1].sum() / want[0].sum()
+    assert np.allclose(Q.ratio_weights(df, trusted, buckets), np.log((want[1] + Q.PRIOR) / (want[0] * share + Q.PRIOR)), atol=1e-6)
+
+
+def test_ratios_match_a_plain_count(spark):
+    data = rows(3)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 != 4), 0) for i in range(0, 100)], "doc_id long, quality int, toxic int")
+
+    def grams(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        return [*words, *zip(words, words[1:])]
+
+    raw = collections.Counter(g for _, t in data for g in grams(t))
+    good = collections.Counter(g for i, t in data if i < 100 and i % 5 != 4 for g in grams(t))
+    share = sum(good.values()) / sum(raw.values())
+    weight = {g: math.log((good[g] + Q.PRIOR) / (raw[g] * share + Q.PRIOR)) for g in raw}
+    want = {t or "": sum(weight[g] for g in grams(t)) / max(1, len(grams(t))) for _, t in data}
+    got = Q.judge(df, labels).collect()
+    assert len(got) == len(data)
+    for r in got:
+        assert math.isclose(r["f_ratio"], want[r["c1"] or ""], abs_tol=5e-3)  # a few of the n-grams share a counter
+        assert r["f_kept"] == (not r["f_base_failed"] and want[r["c1"] or ""] >= Q.THRESHOLD)
+
+
+def test_weights_depend_on_shares_not_on_the_size_of_the_corpus(spark):
+    rng = random.Random(9)
+    text = lambda i: " ".join(f"j{rng.randrange(40)}" if i % 5 == 0 else f"w{rng.randrange(40)}" for _ in range(200))
+    once = [(i, text(i)) for i in range(100)]
+    scores = []
+    for copies in (1, 8):
+        df = spark.createDataFrame([(i + 1000 * k, t) for k in range(copies) for i, t in once], "doc_id long, text string")
+        trusted = [i + 1000 * k for k in range(copies) for i, _ in once if i % 5]
+        at_least = Q.PRIOR_SHARE
+        Q.PRIOR_SHARE = 1e-3  # as if the table were small, so that the prior is its share in both
+        try:
+            weights = Q.ratio_weights(df, trusted, 1 << 16)
+        finally:
+            Q.PRIOR_SHARE = at_least
+        scores.append({r["c0"]: r["f_ratio"] for r in Q.judged(df, weights).where("c0 < 1000").collect()})
+    assert all(math.isclose(scores[0][i], scores[1][i], abs_tol=1e-6) for i in scores[0])
 
 
 def test_junk_that_shares_no_counter_is_rejected_in_a_large_vocabulary(spark):

@@ -1,42 +1,47 @@
 """Quality rules: page rules, and a hashed n-gram log-likelihood ratio between trusted texts and the corpus.
 
-Words and neighbouring word pairs of every text are hashed into counters, at least as many as the
-corpus has n-grams, so that junk and clean n-grams seldom share one at any size. They are counted
+Words and neighbouring word pairs of every text are hashed into BUCKETS counters. They are counted
 over the whole corpus and over trusted texts (all that are named, or the TRUSTED of them with the
 smallest hash of their id, if there are more: the sample is of labelled rows and bounded).
 A bucket's weight is
 
-    log((trusted count + PRIOR) / (expected trusted count + PRIOR))
+    log((trusted count + prior) / (expected trusted count + prior)),
 
-with the count expected from the corpus, which leaves buckets that neither side knows near 0. A
-text's score is the mean weight of its n-grams; texts at or above THRESHOLD are kept unless a page
-rule fails. Up to SHARED buckets the weights are broadcast. Beyond that the n-grams meet their
-counters in shards of 2**LOCAL_BITS buckets, packed, and only sums go back to the texts; n-grams
-that make up a large part of the corpus are counted apart and broadcast, so no shard grows with
-one of them. Nothing is sampled but the trusted texts, and equal texts get equal verdicts.
+the expected count being the bucket's count in the corpus times the trusted texts' share of all
+n-grams, and the prior PRIOR or, if that is more, PRIOR_SHARE of the trusted n-grams. A text's score
+is the mean weight of its n-grams; texts at or above THRESHOLD are kept unless a page rule fails.
 
-Null and empty texts: no words, score 0, base_failed. Without trusted texts all weights are 0.
-Repeated rows count and come back as often as they came. Empty table: no rows. Extra columns are
-ignored by the query and kept by keep_good().
+The prior is a share of the trusted n-grams so that weights depend on how large a part of either
+side an n-gram makes up, which doesn't change with the corpus's size. Nor does what a bucket's other
+n-grams add to it: rare n-grams, however many kinds of them there are, spread evenly, so a bucket
+holds about 1 / BUCKETS of either side in them, an eighth of the prior. So the table has one size
+for all corpora, and it is broadcast (BUCKETS * 4 bytes). Every task counts all its texts into such
+a table and sends it in slices, packed; a slice is added up in one task, at most one row a task.
+
+Nothing is sampled but the trusted texts, and equal texts get equal verdicts. Null and empty texts:
+no words, score 0, base_failed. Without trusted texts all weights are 0. Repeated rows count and
+come back as often as they came. Empty table: no rows. Extra columns are ignored by the query and
+kept by keep_good().
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .textkit import SPACE, buffers, chunks, cut, documents, find_words, gram_hashes, mix, narrow, prefix_hash, span_hash
+from .scratch import drop, store
+from .textkit import SPACE, buffers, chunks, documents, find_words, gram_hashes, mix, narrow, prefix_hash, span_hash
 
-BUCKETS = 1 << 16  # at least
-SHARED = 1 << 20
-LOCAL_BITS = 22
-HOT_SHARE = 20_000  # n-grams that are more than one in so many of all are counted apart
+BUCKETS = 1 << 22
+SLICE_BITS = 14
 TRUSTED = 50_000
 PRIOR = 5.0
+PRIOR_SHARE = 8 / BUCKETS
 THRESHOLD = -0.2
 REPEAT_WINDOW = 8
 
@@ -119,30 +124,73 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> list:
     return [r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).collect()]
 
 
-def ratio_weights(rows: DataFrame, trusted: list, buckets: int = BUCKETS) -> np.ndarray:
-    """Weight of each bucket from counts over all rows (id, text) and over the trusted ones."""
+def planes(values: np.ndarray) -> bytes:
+    """32-bit values by bytes: all lowest bytes first, so that small values compress well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def gram_counts(rows: DataFrame, trusted: list, buckets: int) -> DataFrame:
+    """slice, raw, good: 64-bit counts of each slice of buckets over all rows (id, text) and over the trusted ones."""
     named = rows.sparkSession.sparkContext.broadcast(set(trusted))  # TRUSTED ids at most
+    width = min(buckets, 1 << SLICE_BITS)
 
     def run(batches):
-        raw, good = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
+        raw, good = np.zeros(buckets, dtype=np.uint32), np.zeros(buckets, dtype=np.uint32)
         for batch in batches:
             is_good = np.asarray([i in named.value for i in batch.column(0).to_pylist()], dtype=bool)
             data, offsets = buffers(batch.column(1))
             for start, end, part, at in chunks(data, offsets):
                 a, b, first = find_words(part, at)
                 bucket, doc = gram_buckets(span_hash(prefix_hash(part), a, b), first, buckets)
-                raw += np.bincount(bucket, minlength=buckets)
+                np.add.at(raw, bucket, np.uint32(1))
                 if is_good[start:end].any():
-                    good += np.bincount(bucket[is_good[start:end][doc]], minlength=buckets)
-        used = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(good[used])], names=["bucket", "raw", "good"])
+                    np.add.at(good, bucket[is_good[start:end][doc]], np.uint32(1))
+        for number in range(buckets // width):
+            mine = slice(number * width, (number + 1) * width)
+            used = np.flatnonzero(raw[mine])
+            if len(used):
+                blobs = (planes(np.diff(used, prepend=0)), planes(raw[mine][used]), planes(good[mine][used]))
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), *(pa.array([x], pa.binary()) for x in blobs)], names=["slice", "places", "raw", "good"])
+
+    def add_up(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, good = np.zeros(width, dtype=np.int64), np.zeros(width, dtype=np.int64)
+        for batch in batches:
+            for places, n, g in zip(*(batch.column(c) for c in ("places", "raw", "good"))):
+                at = np.cumsum(from_planes(places.as_py()))
+                raw[at] += from_planes(n.as_py())
+                good[at] += from_planes(g.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([int(raw.sum())]), pa.array([int(good.sum())]), *(pa.array([x.tobytes()], pa.binary()) for x in (raw, good))], names=["slice", "raw_total", "good_total", "raw", "good"])
 
-    counts = rows.mapInArrow(run, "bucket long, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
-    raw, good = np.zeros(buckets), np.zeros(buckets)
-    at = counts.column("bucket").to_numpy()
-    raw[at], good[at] = counts.column("raw").to_numpy(), counts.column("good").to_numpy()
-    expected = raw * (good.sum() / max(raw.sum(), 1.0))
-    return np.log((good + PRIOR) / (expected + PRIOR)) if good.sum() else np.zeros(buckets)
+    packed = rows.mapInArrow(run, "slice int, places binary, raw binary, good binary")
+    return packed.groupBy("slice").applyInArrow(add_up, "slice int, raw_total long, good_total long, raw binary, good binary")
+
+
+def ratio_weights(rows: DataFrame, trusted: list, buckets: int = BUCKETS) -> np.ndarray:
+    """Weight of each bucket from counts over all rows (id, text) and over the trusted ones."""
+    counts, path = store(gram_counts(rows, trusted, buckets))
+    raw_total, good_total = (x or 0 for x in counts.agg(F.sum("raw_total"), F.sum("good_total")).first())
+    out = np.zeros(buckets, dtype=np.float32)
+    if good_total:
+        share, prior = good_total / raw_total, max(PRIOR, PRIOR_SHARE * good_total)
+
+        def weigh(batches):
+            for batch in batches:
+                weights = []
+                for raw, good in zip(batch.column(1), batch.column(2)):
+                    raw, good = np.frombuffer(raw.as_buffer(), np.int64), np.frombuffer(good.as_buffer(), np.int64)
+                    weights.append(np.log((good + prior) / (raw * share + prior)).astype("<f4").tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weights, pa.binary())], names=["slice", "weights"])
+
+        found = counts.select("slice", "raw", "good").mapInArrow(weigh, "slice int, weights binary").toArrow()  # `buckets` numbers in all
+        for number, weights in zip(found.column("slice").to_pylist(), found.column("weights")):
+            values = np.frombuffer(weights.as_buffer(), "<f4")
+            out[number * len(values) : (number + 1) * len(values)] = values
+    drop(rows.sparkSession, path)
+    return out
 
 
 FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -177,166 +225,10 @@ def judged(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD, t
     return rows.mapInArrow(run, schema)
 
 
-def bucket_count(grams: int) -> int:
-    return max(BUCKETS, 1 << max(0, int(grams) - 1).bit_length())
-
-
-def corpus_grams(rows: DataFrame, trusted: list) -> tuple[int, int, list[int]]:
-    """N-grams of all rows and of trusted ones, and hashes of frequent ones.
-
-    An n-gram that is one in HOT_SHARE / 4 of the corpus is as frequent in one chunk at least, so
-    what is left out is rarer than the sum of both bounds.
-    """
-    named = rows.sparkSession.sparkContext.broadcast(set(trusted))
-
-    def run(batches):
-        for batch in batches:
-            is_good = np.asarray([i in named.value for i in batch.column(0).to_pylist()], dtype=bool)
-            data, offsets = buffers(batch.column(1))
-            for start, end, part, at in chunks(data, offsets):
-                a, b, first = find_words(part, at)
-                keys, doc = gram_buckets(span_hash(prefix_hash(part), a, b), first, 1 << 51)
-                n = np.bincount(doc, minlength=end - start)
-                found, count = np.unique(keys, return_counts=True)
-                often = count > max(8, 4 * len(keys) / HOT_SHARE)
-                found, count = np.append(found[often], -1), np.append(count[often], len(keys))
-                good = np.zeros(len(found), dtype=np.int64)
-                good[-1] = n[is_good[start:end]].sum()
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count), pa.array(good)], names=["key", "n", "good"])
-
-    counts = cut(rows.mapInArrow(run, "key long, n long, good long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
-    total = counts.where("key = -1").first()
-    if total is None:
-        return 0, 0, []
-    hot = counts.where((F.col("key") >= 0) & (F.col("n") * HOT_SHARE > total["n"]))
-    return total["n"], total["good"], sorted(r["key"] for r in hot.select("key").collect())
-
-
-def places_of(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which keys stand in a sorted table, and where those do."""
-    if not len(table):
-        return np.zeros(len(keys), bool), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    there = table[at] == keys
-    return there, at[there]
-
-
-def hot_weights(rows: DataFrame, trusted: list, hot: np.ndarray, share: float) -> np.ndarray:
-    """Weights of the frequent n-grams, from exact counts."""
-    shared = rows.sparkSession.sparkContext.broadcast((set(trusted), hot))
-
-    def run(batches):
-        named, hot = shared.value
-        raw, good = np.zeros(len(hot), dtype=np.int64), np.zeros(len(hot), dtype=np.int64)
-        for batch in batches:
-            is_good = np.asarray([i in named for i in batch.column(0).to_pylist()], dtype=bool)
-            data, offsets = buffers(batch.column(1))
-            for start, end, part, at in chunks(data, offsets):
-                a, b, first = find_words(part, at)
-                keys, doc = gram_buckets(span_hash(prefix_hash(part), a, b), first, 1 << 51)
-                there, place = places_of(keys, hot)
-                raw += np.bincount(place, minlength=len(hot))
-                good += np.bincount(place[is_good[start:end][doc[there]]], minlength=len(hot))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(hot))), pa.array(raw), pa.array(good)], names=["at", "raw", "good"])
-
-    out = np.zeros(len(hot))
-    if len(hot):
-        counts = rows.mapInArrow(run, "at long, raw long, good long").groupBy("at").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toArrow()
-        raw, good = counts.column("raw").to_numpy(), counts.column("good").to_numpy()
-        out[counts.column("at").to_numpy()] = np.log((good + PRIOR) / (raw * share + PRIOR))
-    return out
-
-
-HEADER = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("n", "<i8"), ("hot", "<f8")])
-
-
-def joined_ratios(rows: DataFrame, trusted: list, total: int, good_total: int, hot: list[int], buckets: int, local_bits: int = LOCAL_BITS) -> DataFrame:
-    """h1, h2, ratio of every distinct text of rows (id, text, h1, h2).
-
-    A packed row holds the n-grams of one chunk of texts that fall into one shard: the text's
-    number as a step, the bucket's low 16 bits, and its high bits with the mark of trusted texts.
-    """
-    share, shards = good_total / total, max(1, buckets >> local_bits)
-    hot_keys = np.asarray(hot, dtype=np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast((set(trusted), hot_keys, hot_weights(rows, trusted, hot_keys, share)))
-    packed = "shard int, chunk long, docs binary, low binary, high binary"
-
-    def deal(batches):
-        named, hot, weights = shared.value
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            is_good = np.asarray([i in named for i in batch.column(0).to_pylist()], dtype=bool)
-            data, offsets = buffers(batch.column(1))
-            h1, h2 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            for start, end, part, at in chunks(data, offsets):
-                a, b, first = find_words(part, at)
-                keys, doc = gram_buckets(span_hash(prefix_hash(part), a, b), first, 1 << 51)
-                header = np.zeros(end - start, dtype=HEADER)
-                header["h1"], header["h2"], header["n"] = h1[start:end], h2[start:end], np.bincount(doc, minlength=end - start)
-                there, place = places_of(keys, hot)
-                header["hot"] = np.bincount(doc[there], weights=weights[place], minlength=end - start)
-                out = [(number % shards, number, header.tobytes(), None, None)]
-                bucket, doc = keys[~there] & (buckets - 1), doc[~there]
-                shard = (bucket >> local_bits).astype(np.int32)
-                order = np.lexsort((doc, shard))
-                bucket, doc, shard = bucket[order] & ((1 << local_bits) - 1), doc[order], shard[order]
-                low, high = (bucket & 0xFFFF).astype("<u2"), (bucket >> 16).astype(np.uint8) | (is_good[start:end][doc].astype(np.uint8) << 7)
-                cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-                for x, y in zip(cuts[:-1], cuts[1:]):
-                    out.append((int(shard[x]), number, np.diff(doc[x:y], prepend=0).astype("<u4").tobytes(), low[x:y].tobytes(), high[x:y].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), *[pa.binary()] * 3))], names=["shard", "chunk", "docs", "low", "high"])
-                number += 1
-
-    def weigh(table: pa.Table) -> pa.Table:
-        chunk, docs, low, high = (table.column(c).to_pylist() for c in ("chunk", "docs", "low", "high"))
-        cold = [k for k, x in enumerate(low) if x is not None]
-        raw, good = np.zeros(1 << local_bits, np.int64), np.zeros(1 << local_bits, np.int64)
-
-        def places(k):
-            top = np.frombuffer(high[k], np.uint8)
-            return ((top & 0x7F).astype(np.int64) << 16) | np.frombuffer(low[k], "<u2"), top >= 0x80
-
-        for some in range(0, len(cold), 500):
-            found = [places(k) for k in cold[some : some + 500]]
-            at, named = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
-            np.add.at(raw, at, 1)
-            np.add.at(good, at[named], 1)
-        weights = np.log((good + PRIOR) / (raw * share + PRIOR))
-        out = [(chunk[k], docs[k], None) for k, x in enumerate(low) if x is None]
-        for k in cold:
-            doc = np.cumsum(np.frombuffer(docs[k], "<u4").astype(np.int64))
-            new = np.flatnonzero(np.diff(doc, prepend=-1))
-            out.append((chunk[k], doc[new].astype("<u4").tobytes(), np.add.reduceat(weights[places(k)[0]], new).tobytes()))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names=["chunk", "docs", "sums"])
-
-    def add_up(table: pa.Table) -> pa.Table:
-        docs, sums = table.column("docs").to_pylist(), table.column("sums").to_pylist()
-        header = next(np.frombuffer(d, HEADER) for d, s in zip(docs, sums) if s is None)
-        score = header["hot"].copy()
-        for d, s in zip(docs, sums):
-            if s is not None:
-                score[np.frombuffer(d, "<u4")] += np.frombuffer(s, np.float64)
-        return pa.table({"h1": header["h1"], "h2": header["h2"], "ratio": score / np.maximum(header["n"], 1)})
-
-    partial = rows.mapInArrow(deal, packed).groupBy("shard").applyInArrow(weigh, "chunk long, docs binary, sums binary")
-    return partial.groupBy("chunk").applyInArrow(add_up, "h1 long, h2 long, ratio double").groupBy("h1", "h2").agg(F.max("ratio").alias("ratio"))
-
-
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, shared: int = SHARED, with_text: bool = True) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, with_text: bool = True) -> DataFrame:
     """judged() with weights of this corpus; without `with_text` the text's column is null."""
-    rows, trusted = narrow(docs, "doc_id", "text"), trusted_ids(labels)
-    total, good, hot = corpus_grams(rows, trusted)
-    buckets = bucket_count(total)
-    if buckets <= shared or not good:
-        return judged(docs, ratio_weights(rows, trusted, buckets if good else 1), threshold)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keys = F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(17), text).alias("h2")
-    ratios = joined_ratios(rows.select("doc_id", "text", *keys), trusted, total, good, hot, buckets)
-    facts = judged(docs.select(*(F.col(f"`{n}`") for n in docs.columns), *keys).toDF(*docs.columns, "f h1", "f h2"), np.zeros(1), threshold, with_text=with_text)
-    n = len(docs.columns)
-    facts = facts.withColumnsRenamed({f"c{n}": "h1", f"c{n + 1}": "h2"}).drop("f_kept", "f_ratio")
-    out = facts.join(ratios, ["h1", "h2"], "left").withColumn("f_ratio", F.coalesce("ratio", F.lit(0.0)))
-    return out.select(*(f"c{i}" for i in range(n)), *(f"f_{x}" for x in FACTS), "f_base_failed", (~F.col("f_base_failed") & (F.col("f_ratio") >= threshold)).alias("f_kept"), "f_ratio")
+    weights = ratio_weights(narrow(docs, "doc_id", "text"), trusted_ids(labels), buckets)
+    return judged(docs, weights, threshold, with_text=with_text)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
