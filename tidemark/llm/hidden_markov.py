@@ -11,7 +11,11 @@ The first term comes from the scaled forward recursion over the broadcast model
 on the parameters above, not on the corpus). The second is additive over words: rare words meet
 their counts in a join on the word's hash, frequent ones have none.
 
-Training is Baum-Welch: each partition runs forward and backward over all its training texts and
+Once the symbols are known, one pass over the texts writes a table in the shared folder: what the
+bounded tables say of each row, its rare words, and the symbol sequences, packed. The rounds and the
+final forward pass read the sequences and never see a text.
+
+Training is Baum-Welch: each partition runs forward and backward over all its training sequences and
 emits expected counts per symbol, which Spark sums; a round is one job. Long texts are cut into
 blocks whose transfer matrices are computed side by side, so that a long text doesn't make a
 long chain of small steps; the matrices carry the exact forward and backward vectors over the cuts.
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +41,8 @@ ROUNDS = 4
 OWN = 1 << 15
 CLASSES = 1 << 12
 FREQUENT = 1 << 17
-BLOCK = 512
+BLOCK = 1024
+RESCALE = 16
 SMOOTHING = 2000.0
 SEED = 11
 CHUNK = 4 << 20
@@ -153,23 +159,32 @@ class Blocks:
 
 
 def forward(blocks: Blocks, model, entering: np.ndarray, keep: bool = False):
-    """Scaled forward pass of every block from its entering state vectors (… x states).
+    """Scaled forward pass of every block from its entering state vectors (blocks x … x states).
 
-    Returns the vectors after the block, the log of their scale, and with `keep` all vectors."""
+    Returns the vectors after the block, the log of their scale, and with `keep` all vectors. Without
+    it the vectors are scaled every RESCALE steps, which stays far from the smallest numbers."""
     transition, emission = model
+    states = len(transition)
     alpha = entering.copy()
     scale = np.zeros(alpha.shape[:-1])
     kept = []
     for t in range(blocks.steps):
         n = blocks.active[t]
         b = emission[blocks.symbols[blocks.begin[:n] + t]]
-        now = (alpha[:n] @ transition) * (b if alpha.ndim == 2 else b[:, None, :])
-        total = now.sum(axis=-1)
-        now /= total[..., None]
+        now = (alpha[:n].reshape(-1, states) @ transition).reshape(n, -1, states)  # one product, however many vectors a block has
+        now *= b[:, None]
+        now = now.reshape(alpha[:n].shape)
+        if keep or t % RESCALE == RESCALE - 1:
+            total = now.sum(axis=-1)
+            now /= total[..., None]
+            scale[:n] += np.log(total)
+            if keep:
+                kept.append((now, total))
         alpha[:n] = now
-        scale[:n] += np.log(total)
-        if keep:
-            kept.append((now, total))
+    if not keep and blocks.steps:
+        total = alpha.sum(axis=-1)
+        alpha /= total[..., None]
+        scale += np.log(total)
     return alpha, scale, kept
 
 
@@ -228,7 +243,8 @@ def expected_counts(symbols, starts, model, start, size: int, block=BLOCK):
             n = part.active[t]
             b = emission[symbols[part.begin[:n] + t]]
             beta[:n] = (beta[:n] * b) @ transition.T
-            beta[:n] /= beta[:n].sum(axis=1, keepdims=True)
+            if t % RESCALE == 0:
+                beta[:n] /= beta[:n].sum(axis=1, keepdims=True)
         before_last = np.zeros((len(order), states))
         before_last[order[rows]] = beta
         for i in inner[::-1].tolist():
@@ -242,22 +258,23 @@ def expected_counts(symbols, starts, model, start, size: int, block=BLOCK):
     flat_symbols, flat_gamma = [], []
     for t in range(blocks.steps - 1, -1, -1):
         n = blocks.active[t]
-        alpha, _ = kept[t]
+        alpha, total = kept[t]
         gamma = alpha * beta[:n]
-        gamma /= gamma.sum(axis=1, keepdims=True)
+        mass = gamma.sum(axis=1)
+        gamma /= mass[:, None]
         at = symbols[blocks.begin[:n] + t]
         flat_symbols.append(at)
         flat_gamma.append(gamma)
         previous = kept[t - 1][0][:n] if t else alpha0[:n]
         weighted = beta[:n] * emission[at]
-        norm = ((previous @ transition) * weighted).sum(axis=1)
-        moved += (previous / norm[:, None]).T @ weighted
+        moved += (previous / (mass * total)[:, None]).T @ weighted  # mass * total: the step's joint probability, unscaled
         if t == 0:
             joint = previous * (weighted @ transition.T)
             joint /= joint.sum(axis=1, keepdims=True)
             started += joint[first_row[:n]].sum(axis=0)
         beta[:n] = weighted @ transition.T
-        beta[:n] /= beta[:n].sum(axis=1, keepdims=True)
+        if t % RESCALE == 0:  # counts don't depend on the scale of beta
+            beta[:n] /= beta[:n].sum(axis=1, keepdims=True)
     if flat_symbols:
         all_symbols, all_gamma = np.concatenate(flat_symbols), np.concatenate(flat_gamma)
         for k in range(states):
@@ -284,59 +301,26 @@ def renewed(started, moved, emitted, unigram, smoothing=SMOOTHING):
     return start, (transition, emission / emission.sum(axis=0))
 
 
-def train_round(rows: DataFrame, lexicon: Lexicon, start, model) -> DataFrame:
-    """k (symbol; below 0: -1 start, -2-i transition from i, -100 log likelihood) and expected counts e0.."""
-    states = len(start)
-    shared = rows.sparkSession.sparkContext.broadcast((lexicon, start, model))
-    names = [f"e{i}" for i in range(states)]
-
-    def run(batches):
-        lex, first_states, parameters = shared.value
-        emitted, moved, started, fit, any_text = np.zeros((lex.size, states)), np.zeros((states, states)), np.zeros(states), 0.0, False
-        for batch in batches:
-            train = ~np.asarray(batch.column(1).to_pylist(), dtype=bool)
-            for first, hashes, at in batch_words(batch.column(0)):
-                use = train[first : first + len(at) - 1]
-                if not use.any():
-                    continue
-                mine = np.repeat(use, np.diff(at))
-                places = np.concatenate([[0], np.cumsum(np.diff(at)[use])])
-                symbols, starts, *_ = lex.sequences(hashes[mine], places)
-                s, m, e, f = expected_counts(symbols, starts, parameters, first_states, lex.size)
-                started, moved, fit, any_text = started + s, moved + m, fit + f, True
-                emitted += e
-        if any_text:
-            keys = np.flatnonzero(emitted.any(axis=1))
-            k = np.concatenate([keys, [-1], -2 - np.arange(states), [-100]])
-            values = np.concatenate([emitted[keys], started[None], moved, np.full((1, states), fit)])
-            yield pa.RecordBatch.from_arrays([pa.array(k), *(pa.array(values[:, i]) for i in range(states))], names=["k", *names])
-
-    counts = rows.select("text", "held_out").mapInArrow(run, "k long, " + ", ".join(f"{n} double" for n in names))
-    return counts.groupBy("k").agg(*(F.sum(n).alias(n) for n in names))
-
-
-def score_rows(rows: DataFrame, lexicon: Lexicon, start, model) -> DataFrame:
-    """Kind 0: id, tokens, known, base and model sums over what the bounded tables hold. Kind 1: a rare word of a row."""
-    shared = rows.sparkSession.sparkContext.broadcast((lexicon, start, model))
+def encode_rows(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Kind 0: id, tokens, known, base sum and the words' part of the model's score, from the bounded tables. Kind 1: a rare word of a row. Kind 2: symbols of consecutive rows, with their lengths and which are held out."""
+    shared = rows.sparkSession.sparkContext.broadcast(lexicon)
     id_type = rows.schema["id"].dataType.simpleString()
-    names = ["kind", "id", "held_out", "row", "n_tokens", "n_known", "sum_log", "seq", "h", "n"]
+    symbol_type = "<u2" if lexicon.size <= 1 << 16 else "<u4"
 
-    def run(index, batches):
-        lex, first_states, parameters = shared.value
-        row = index << 40
+    def run(batches):
+        lex = shared.value
+        row = TaskContext.get().partitionId() << 40
         log_total = np.log(lex.class_total)
         for batch in batches:
             ids, held = batch.column(1), np.asarray(batch.column(2).to_pylist(), dtype=bool)
             for first, hashes, at in batch_words(batch.column(0)):
                 docs = len(at) - 1
                 symbols, starts, counts, plain = lex.sequences(hashes, at)
-                seq = sequence_log_likelihood(symbols, starts, parameters, first_states)
                 doc = np.repeat(np.arange(docs), np.diff(at))
                 in_class = plain >= lex.own
-                seq -= np.bincount(doc[in_class], weights=log_total[plain[in_class] - lex.own], minlength=docs)
                 known = counts >= 0
                 logs = np.where(known, np.log(np.maximum(counts, 0) + 1.0), 0.0)
-                seq += np.bincount(doc[in_class], weights=logs[in_class], minlength=docs)
+                words = np.bincount(doc[in_class], weights=logs[in_class] - log_total[plain[in_class] - lex.own], minlength=docs)
                 sums = np.bincount(doc, weights=logs, minlength=docs) + np.log(lex.end_count + 1.0)
                 n_known = np.bincount(doc[known], minlength=docs) + (lex.end_count > 0)
                 rare = np.flatnonzero(~known)
@@ -345,35 +329,88 @@ def score_rows(rows: DataFrame, lexicon: Lexicon, start, model) -> DataFrame:
                 key = key[order]
                 new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(key) else np.zeros(0, np.int64)
                 n = np.diff(np.append(new, len(key)))
-                r = len(new)
-                rows_of = row + np.arange(docs)
-                zero = np.zeros(r)
-                take = pa.array(np.concatenate([first + np.arange(docs), np.zeros(r, np.int64)]), mask=np.concatenate([np.zeros(docs, bool), np.ones(r, bool)]))
+                rows_of, some = row + np.arange(docs), held[first : first + docs]
+                kinds = np.repeat(np.asarray([0, 1, 2], np.int32), (docs, len(new), 1))
+
+                def laid(values, where, kind):
+                    out = np.zeros(len(kinds), dtype=kind)
+                    out[where] = values
+                    return pa.array(out)
+
+                alone, rares = slice(0, docs), slice(docs, docs + len(new))
+                none = [None] * (len(kinds) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([np.zeros(docs, np.int32), np.ones(r, np.int32)])),
-                        ids.take(take),
-                        pa.array(np.concatenate([held[first : first + docs], np.zeros(r, bool)])),
-                        pa.array(np.concatenate([rows_of, rows_of[key[new, 0]]])),
-                        pa.array(np.concatenate([np.diff(at) + 1, zero]).astype(np.int64)),
-                        pa.array(np.concatenate([n_known, zero]).astype(np.int64)),
-                        pa.array(np.concatenate([sums, zero])),
-                        pa.array(np.concatenate([seq, zero])),
-                        pa.array(np.concatenate([np.zeros(docs, np.int64), key[new, 1]])),
-                        pa.array(np.concatenate([np.zeros(docs, np.int64), n]).astype(np.int64)),
+                        pa.array(kinds),
+                        ids.take(pa.array(np.where(kinds == 0, first + np.arange(len(kinds)), 0), mask=kinds != 0)),
+                        laid(some, alone, bool),
+                        pa.array(np.concatenate([rows_of, rows_of[key[new, 0]], rows_of[:1]])),
+                        laid(np.diff(at) + 1, alone, np.int64),
+                        laid(n_known, alone, np.int64),
+                        laid(sums, alone, np.float64),
+                        laid(words, alone, np.float64),
+                        laid(key[new, 1], rares, np.int64),
+                        laid(n, rares, np.int64),
+                        *(pa.array([*none, x], pa.binary()) for x in (np.packbits(some).tobytes(), np.diff(starts).astype("<u4").tobytes(), symbols.astype(symbol_type).tobytes())),
                     ],
-                    names=names,
+                    names=["kind", "id", "held_out", "row", "n_tokens", "n_known", "sum_log", "words", "h", "n", "held", "lengths", "symbols"],
                 )
                 row += docs
 
-    schema = f"kind int, id {id_type}, held_out boolean, row long, n_tokens long, n_known long, sum_log double, seq double, h long, n long"
+    schema = f"kind int, id {id_type}, held_out boolean, row long, n_tokens long, n_known long, sum_log double, words double, h long, n long, held binary, lengths binary, symbols binary"
+    return rows.select("text", "id", "held_out").mapInArrow(run, schema)
+
+
+def packed_sequences(batch: pa.RecordBatch, size: int):
+    """(first row, whether each is held out, symbols, starts) of the rows of kind 2: row, held, lengths, symbols."""
+    symbol_type = "<u2" if size <= 1 << 16 else "<u4"
+    for at in range(batch.num_rows):
+        row, held, lengths, symbols = (c[at].as_py() for c in batch.columns)
+        lengths = np.frombuffer(lengths, "<u4").astype(np.int64)
+        held = np.unpackbits(np.frombuffer(held, np.uint8), count=len(lengths)).astype(bool)
+        yield row, held, np.frombuffer(symbols, symbol_type).astype(np.int64), np.concatenate([[0], np.cumsum(lengths)])
+
 
-    def indexed(batches):
-        from pyspark import TaskContext
+def train_round(sequences: DataFrame, size: int, start, model) -> DataFrame:
+    """k (symbol; below 0: -1 start, -2-i transition from i, -100 log likelihood) and expected counts e0.."""
+    states = len(start)
+    shared = sequences.sparkSession.sparkContext.broadcast((start, model))
+    names = [f"e{i}" for i in range(states)]
 
-        return run(TaskContext.get().partitionId(), batches)
+    def run(batches):
+        first_states, parameters = shared.value
+        emitted, moved, started, fit, any_text = np.zeros((size, states)), np.zeros((states, states)), np.zeros(states), 0.0, False
+        for batch in batches:
+            for _, held, symbols, starts in packed_sequences(batch, size):
+                if held.all():
+                    continue
+                lengths = np.diff(starts)
+                mine, places = symbols[np.repeat(~held, lengths)], np.concatenate([[0], np.cumsum(lengths[~held])])
+                s, m, e, f = expected_counts(mine, places, parameters, first_states, size)
+                started, moved, fit, any_text = started + s, moved + m, fit + f, True
+                emitted += e
+        if any_text:
+            keys = np.flatnonzero(emitted.any(axis=1))
+            k = np.concatenate([keys, [-1], -2 - np.arange(states), [-100]])
+            values = np.concatenate([emitted[keys], started[None], moved, np.full((1, states), fit)])
+            yield pa.RecordBatch.from_arrays([pa.array(k), *(pa.array(values[:, i]) for i in range(states))], names=["k", *names])
+
+    counts = sequences.mapInArrow(run, "k long, " + ", ".join(f"{n} double" for n in names))
+    return counts.groupBy("k").agg(*(F.sum(n).alias(n) for n in names))
+
+
+def sequence_scores(sequences: DataFrame, size: int, start, model) -> DataFrame:
+    """row, seq: log probability of every row's symbols."""
+    shared = sequences.sparkSession.sparkContext.broadcast((start, model))
+
+    def run(batches):
+        first_states, parameters = shared.value
+        for batch in batches:
+            for row, _, symbols, starts in packed_sequences(batch, size):
+                seq = sequence_log_likelihood(symbols, starts, parameters, first_states)
+                yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(len(seq))), pa.array(seq)], names=["row", "seq"])
 
-    return rows.select("text", "id", "held_out").mapInArrow(indexed, schema)
+    return sequences.mapInArrow(run, "row long, seq double")
 
 
 def language_model_scores(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, own: int = OWN, classes: int = CLASSES, frequent: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -408,9 +445,11 @@ def language_model_scores(docs: DataFrame, states: int = STATES, rounds: int = R
     unigram = np.concatenate([c[:own_count] + 0.5, class_count + 0.5, [ends + 0.5]])
     unigram = unigram / unigram.sum()
 
+    encoded, encoded_path = store(encode_rows(rows, lexicon))
+    sequences = encoded.where("kind = 2").select("row", "held", "lengths", "symbols")
     start, model = initial_model(unigram, states, SEED)
     for _ in range(rounds if ends else 0):
-        table = train_round(rows, lexicon, start, model).toArrow()  # a row a symbol
+        table = train_round(sequences, lexicon.size, start, model).toArrow()  # a row a symbol
         key = table.column("k").to_numpy()
         values = np.stack([table.column(f"e{i}").to_numpy() for i in range(states)], axis=1)
         emitted, moved = np.zeros((lexicon.size, states)), np.zeros((states, states))
@@ -420,24 +459,24 @@ def language_model_scores(docs: DataFrame, states: int = STATES, rounds: int = R
             moved[i] = values[key == -2 - i][0]
         start, model = renewed(started, moved, emitted, unigram)
 
-    scored, scored_path = store(score_rows(rows, lexicon, start, model))
-    rare = scored.where("kind = 1").select("row", "h", "n")
-    found = rare.join(counts.select("h", "c"), "h")
-    added = found.groupBy("row").agg(F.sum(F.col("n") * F.log(F.col("c") + 1.0)).alias("more"), F.sum("n").alias("more_known"))
+    rare = encoded.where("kind = 1").select("row", "h", "n")
+    found = rare.join(counts.select("h", "c"), "h").select("row", (F.col("n") * F.log(F.col("c") + 1.0)).alias("more"), F.col("n").alias("more_known"), F.lit(0.0).alias("seq"))
+    scored = sequence_scores(sequences, lexicon.size, start, model).select("row", F.lit(0.0), F.lit(0).cast("long"), "seq")
+    added = found.union(scored).groupBy("row").agg(*(F.sum(n).alias(n) for n in ("more", "more_known", "seq")))
     ln10 = float(np.log(10.0))
     base_total = float(np.log(train_tokens + distinct + 1))
-    out = scored.where("kind = 0").join(added, "row", "left").select(
+    out = encoded.where("kind = 0").select("id", "held_out", "row", "n_tokens", "n_known", "sum_log", "words").join(added, "row").select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.col("more_known")).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
-        ((F.col("sum_log") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * base_total) / ln10).alias("base_score"),
-        ((F.col("seq") + F.coalesce("more", F.lit(0.0))) / ln10).alias("score"),
+        ((F.col("sum_log") + F.col("more") - F.col("n_tokens") * base_total) / ln10).alias("base_score"),
+        ((F.col("seq") + F.col("words") + F.col("more")) / ln10).alias("score"),
     )
     out = cut(out)
     drop(spark, counts_path)
-    drop(spark, scored_path)
+    drop(spark, encoded_path)
     return out
 
 
