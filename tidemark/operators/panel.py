@@ -60,6 +60,15 @@ def ar_features(panel: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def trailing_median(panel: DataFrame, keys: list[str], days: int = 28) -> DataFrame:
+    """Median of the positive values of the days before each day, and how many there are."""
+    w = Window.partitionBy(*keys).orderBy("ds").rowsBetween(-days, -1)
+    positive = F.when(F.col("y") > 0, F.col("y"))
+    rows = panel.select(*keys, "ds", F.sort_array(F.collect_list(positive).over(w)).alias("seen")).withColumn("n_points", F.size("seen").cast("long"))
+    low, high = (F.element_at("seen", F.expr(f"CAST((n_points + {k}) DIV 2 AS INT)")) for k in (1, 2))
+    return rows.select(*keys, "ds", F.when(F.col("n_points") > 0, (low + high) / 2).alias("reference"), "n_points")
+
+
 def initial_levels(days: DataFrame, warmup_days: int = 28) -> DataFrame:
     """Median of a leaf's positive sales in its first calendar days."""
     keys = ["section", "store", "sku"]

@@ -107,6 +107,36 @@ def id_round_trip(spark, sf):
     return ids.select(uid, X.id_section(uid).alias("part_section"), X.id_part(uid, "T").alias("part_store"), X.id_part(uid, "S").alias("part_sku"), X.id_level(uid).cast("long").alias("level"))
 
 
+@query(with_(S.DAYS, f"SELECT DISTINCT unique_id, regexp_matches(unique_id, '^[^|]+[|]{{2}}T:[^|]+[|]{{2}}S:[^|]+$') AS is_leaf FROM (SELECT {S.UID} AS unique_id FROM (SELECT section, store, sku FROM days UNION SELECT section, store, NULL FROM days UNION SELECT section, NULL, NULL FROM days))"))
+def leaf_pattern(spark, sf):
+    """Leaves told from other nodes by their id's pattern."""
+    ids = A.rollup_levels(T.facts(spark, sf)).select("unique_id").distinct()
+    return ids.select("unique_id", F.col("unique_id").rlike(r"^[^|]+[|]{2}T:[^|]+[|]{2}S:[^|]+$").alias("is_leaf"))
+
+
+@query(with_(S.FACTS, "SELECT section, store, sku, ds AS first_ds, sku_desc, store_name FROM (SELECT *, row_number() OVER (PARTITION BY section, store, sku ORDER BY ds, sku_desc, store_name) AS r FROM facts WHERE sku_desc IS NOT NULL) WHERE r = 1"))
+def first_metadata(spark, sf):
+    """The first known metadata of each leaf, in a total order."""
+    known = T.facts(spark, sf).where("sku_desc IS NOT NULL").select(*LEAF, "ds", "sku_desc", "store_name")
+    return T.first_in_group(known, LEAF, "ds", "sku_desc", "store_name").withColumnRenamed("ds", "first_ds")
+
+
+@query(with_(S.DAYS, "SELECT section, store, sku, ds, y FROM days ORDER BY y DESC, section, store, sku, ds LIMIT 40"))
+def top_days(spark, sf):
+    """The days with the largest sales: a top-k report."""
+    return T.leaf_days(spark, sf).orderBy(F.desc("y"), *LEAF, "ds").limit(40).select(*LEAF, "ds", "y")
+
+
+@query(with_(S.DAYS, "SELECT section, store, sku, ds, greatest(least(y, 30.0), 5.0) AS clipped, greatest(y, value / 64) AS larger, least(y, value / 64) AS smaller, round(ln(1 + y), 9) AS log_y, round(exp(ln(1 + y) / 2) - 1, 9) AS half_log, round(sqrt(value), 9) AS root, abs(y - 25) AS off, CASE WHEN isfinite(y / nullif(y - 25, 0)) THEN 1 ELSE 0 END AS finite FROM days"))
+def math_columns(spark, sf):
+    y, value = F.col("y"), F.col("value")
+    share = X.finite_or_zero(X.ratio(y, y - 25))
+    return T.leaf_days(spark, sf).select(
+        *LEAF, "ds", X.clip(y, 5.0, 30.0).alias("clipped"), F.greatest(y, value / 64).alias("larger"), F.least(y, value / 64).alias("smaller"), F.round(F.log1p(y), 9).alias("log_y"),
+        F.round(F.expm1(F.log1p(y) / 2), 9).alias("half_log"), F.round(F.sqrt(value), 9).alias("root"), F.abs(y - 25).alias("off"), (share != 0).cast("int").alias("finite"),
+    )
+
+
 # --- roll-ups and panels -------------------------------------------------------------------------
 
 
@@ -166,6 +196,11 @@ def ar_features(spark, sf):
     return P.ar_features(dense_stores(spark, sf), ["section", "store"])
 
 
+@query(with_(DENSE, "SELECT section, store, ds, median(CASE WHEN y > 0 THEN y END) OVER w AS reference, count(CASE WHEN y > 0 THEN 1 END) OVER w AS n_points FROM dense WINDOW w AS (PARTITION BY section, store ORDER BY ds ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)"))
+def trailing_positive_median(spark, sf):
+    return P.trailing_median(dense_stores(spark, sf), ["section", "store"])
+
+
 @query(with_(S.DAYS, "SELECT section, store, sku, coalesce(median(y) FILTER (y > 0), 0.0) AS initial_level, count(*) FILTER (y > 0) AS warmup_positive_days FROM (SELECT *, min(ds) OVER (PARTITION BY section, store, sku) AS f FROM days) WHERE date_diff('day', f, ds) < 28 GROUP BY section, store, sku"))
 def initial_levels(spark, sf):
     return P.initial_levels(T.leaf_days(spark, sf))
@@ -407,6 +442,29 @@ def section_view(spark, sf):
     return view["series"].select("bucket", "period_type", "ds", "y", "yhat")
 
 
+_SCOPES = {"section": ("0", None, None), "store": ("0", "00000", None), "sku": ("0", None, "Brand#11"), "leaf": ("0", "00000", "Brand#11")}
+
+
+def _scope(store, sku) -> str:
+    return " AND ".join(f"{c} IS NULL" if v is None else f"{c} = '{v}'" for c, v in (("store", store), ("sku", sku)))
+
+
+@query(with_(S.NODES, " UNION ALL ".join(f"SELECT '{n}' AS scope, {S.UID} AS unique_id, period_type, wmape, bias, n_points FROM nodes WHERE section = '{a}' AND {_scope(b, c)}" for n, (a, b, c) in _SCOPES.items())))
+def node_scopes(spark, sf):
+    """Official figures of a section, a store, a SKU and a leaf, each by its own scope."""
+    fc = T.forecast(spark, sf)
+    metrics, series, out = W.node_metrics(fc), W.node_series(fc), None
+    for name, scope in _SCOPES.items():
+        rows = W.node_view(metrics, series, *scope)["figures"].select(F.lit(name).alias("scope"), "unique_id", "period_type", "wmape", "bias", "n_points")
+        out = rows if out is None else out.union(rows)
+    return out
+
+
+@query(with_(S.FC, "SELECT ds, CASE period_type WHEN 'out_sample' THEN 'holdout' ELSE 'history' END AS part, sum(y) AS y, sum(yhat) AS yhat FROM fc WHERE section = '1' AND store = '00001' GROUP BY ALL"))
+def chart_parts(spark, sf):
+    return W.chart_series(W.node_series(T.forecast(spark, sf)), "1||T:00001")
+
+
 # --- diagnostics ---------------------------------------------------------------------------------
 
 FOLDS = S.FC + ", folds AS (SELECT section, store, CAST(c AS DOUBLE) AS candidate, k, period_type, sum(abs(yhat * c - y)) AS abs_error, sum(y) AS abs_y FROM fc, (VALUES (0.5::DOUBLE), (0.75::DOUBLE), (1.0::DOUBLE), (1.25::DOUBLE)) t(c) WHERE y > 0 GROUP BY ALL)"
