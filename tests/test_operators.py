@@ -154,3 +154,29 @@ def test_closed_blocks_stream(spark, tmp_path):
     q.stop()
     got = {(r["leaf"], r["block"]): r["level_before"] for r in spark.table("levels").collect()}
     assert got["a", 1] == 10.0 and len(got) == 3
+
+
+def test_table_fingerprints_json_and_ready_cadences(spark, tmp_path):
+    df = spark.range(7).selectExpr("id", "id * 2 AS y")
+    path = str(tmp_path / "t")
+    S.save(df, path)
+    print_ = S.source_fingerprint(spark, path)
+    assert print_["rows"] == S.row_count(spark, path) == 7 and print_["size"] > 0 and print_ == S.source_fingerprint(spark, path)
+    manifests = {1: {"status": "success", "source": print_}, 7: {"status": "failed", "source": print_}, 14: None, 28: {"status": "success", "source": print_ | {"rows": 8}}}
+    assert S.ready_cadences(manifests, path, spark) == [1]
+    S.save(df.limit(3), path)
+    assert S.stale_reasons(manifests[1], path, spark=spark) == ["source has changed"]
+    S.save_json(df, str(tmp_path / "j"))
+    assert sorted(tuple(r) for r in S.load_json(spark, str(tmp_path / "j")).select("id", "y").collect()) == [(i, 2 * i) for i in range(7)]
+
+
+def test_period_rows_by_mark_or_by_dates(spark):
+    from tidemark.operators import serving as W
+
+    start = dt.date(2024, 1, 1)
+    days = spark.createDataFrame([("1", start + dt.timedelta(days=i), 1.0) for i in range(84)], "section string, ds date, y double")
+    windows = P.horizons(days)
+    oos = W.period_rows(days, "out_sample", windows)
+    assert oos.columns == days.columns and oos.count() == 28 and W.period_rows(days, "in_sample", windows).count() == 56
+    marked = days.withColumn("period_type", F.when(F.col("ds") < dt.date(2024, 1, 11), "in_sample").otherwise("out_sample"))
+    assert W.period_rows(marked, "in_sample").count() == 10

@@ -34,6 +34,14 @@ def node_series(fc: DataFrame) -> DataFrame:
     return leaves.unionByName(nodes).withColumn("unique_id", unique_id())
 
 
+def period_rows(df: DataFrame, period: str, windows: DataFrame | None = None) -> DataFrame:
+    """The rows of a period: by their mark, or by the section's windows where the table has no marks."""
+    if "period_type" in df.columns:
+        return df.where(F.col("period_type") == period)
+    first, last = {"in_sample": ("train_start", "train_end"), "out_sample": ("oos_start", "oos_end"), "forecast_only": ("forecast_start", "forecast_end")}[period]
+    return df.join(windows.select("section", F.col(first).alias("from_ds"), F.col(last).alias("to_ds")), "section").where(F.col("ds").between(F.col("from_ds"), F.col("to_ds"))).drop("from_ds", "to_ds")
+
+
 def chart_series(series: DataFrame, uid: str) -> DataFrame:
     """One node's days with the part of the chart that they belong to."""
     part = F.when(F.col("period_type") == "forecast_only", "forecast").when(F.col("period_type") == "out_sample", "holdout").otherwise("history")

@@ -92,11 +92,32 @@ def save_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
+def load_json(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.json(path)
+
+
 def save_export(df: DataFrame, path: str) -> None:
     """A small aggregated table as one CSV with header."""
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
+def row_count(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet table: no column is read, the footers' counts are added up."""
+    return spark.read.parquet(path).count()
+
+
+def source_fingerprint(spark: SparkSession, path: str, version: int = 1) -> dict:
+    """fingerprint() of a table in any store that Spark reads: latest change, size and rows of its files."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True)
+    latest, size = 0, 0
+    while found.hasNext():  # an entry a file, on the driver
+        status = found.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            latest, size = max(latest, status.getModificationTime()), size + status.getLen()
+    return {"mtime": latest, "size": size, "version": version, "rows": row_count(spark, path)}
+
+
 # --- manifests (small driver files) ------------------------------------------------------------
 
 
@@ -120,15 +141,20 @@ def fingerprint(path: str, version: int = 1, rows: int | None = None) -> dict:
     return {"mtime": max(s.st_mtime_ns for s in stats), "size": sum(s.st_size for s in stats), "version": version, "rows": rows}
 
 
-def stale_reasons(manifest: dict | None, source: str, version: int = 1) -> list[str]:
-    """Why a result isn't usable; empty if it is."""
+def stale_reasons(manifest: dict | None, source: str, version: int = 1, spark: SparkSession | None = None) -> list[str]:
+    """Why a result isn't usable; empty if it is. With a session the source may lie in any store, and its rows are counted."""
     if manifest is None:
         return ["no manifest"]
     out = [] if manifest.get("status") == "success" else [f"status is {manifest.get('status')}"]
-    now = fingerprint(source, version, (manifest.get("source") or {}).get("rows"))
+    now = source_fingerprint(spark, source, version) if spark else fingerprint(source, version, (manifest.get("source") or {}).get("rows"))
     return out + ([] if manifest.get("source") == now else ["source has changed"])
 
 
+def ready_cadences(manifests: dict[int, dict | None], source: str, spark: SparkSession | None = None) -> list[int]:
+    """The cadences whose results may be offered: there, finished and of this source."""
+    return sorted(c for c, m in manifests.items() if not stale_reasons(m, source, spark=spark))
+
+
 def ensure_selected(selected: str, have_raw: bool, have_ingested: bool, rebuild_selection, rebuild_all) -> str:
     """Reuse the selection, rebuild it from ingested tables, rebuild everything from raw files, or fail."""
     if os.path.exists(selected):
