@@ -62,7 +62,7 @@ def framed(tag, body):
 def unigram_model(path, bytes_too, prefix=1, shrink=1):
     """A model file of the public format, put together by hand: pieces with scores, no training."""
     rng = random.Random(6)
-    plain = [P.MARK, *"abcdef", *{"".join(rng.choice("abcdef") for _ in range(rng.randint(2, 4))) for _ in range(60)}, P.MARK + "ab", P.MARK + "c", "xy"]
+    plain = [P.MARK, *"abcdef", *("".join(rng.choice("abcdef") for _ in range(rng.randint(2, 4))) for _ in range(60)), P.MARK + "ab", P.MARK + "c", "xy"]
     pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
     pieces += [(f"<0x{b:02X}>", -20.0, 6) for b in range(256)] * bytes_too + [(p, -rng.uniform(1, 9), 1) for p in dict.fromkeys(plain)]
     body = b"".join(framed(1, framed(1, p.encode()) + varint(2 << 3 | 5) + struct.pack("<f", s) + number(3, k)) for p, s, k in pieces)

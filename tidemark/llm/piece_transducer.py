@@ -60,6 +60,8 @@ class PieceTransducer:
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
+        # What a piece decodes to: control pieces to nothing, the unknown one to the library's sign.
+        self.surfaces = ["" if model.is_control(i) else " ⁇ " if model.is_unknown(i) else p for i, p in enumerate(self.pieces)]
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.ids = {self.pieces[i]: i for i in plain}
         self.scores = {i: model.get_score(i) for i in plain}
@@ -222,7 +224,7 @@ class PieceTransducer:
 
     def decode(self, ids: list[int]) -> str:
         if self.byte_of.keys().isdisjoint(ids):
-            out = map(self.pieces.__getitem__, ids)
+            out = map(self.surfaces.__getitem__, ids)
         else:
             out, raw = [], bytearray()
             for i in ids:
@@ -232,7 +234,7 @@ class PieceTransducer:
                 if raw:
                     out.append(raw.decode(errors="replace"))
                     raw = bytearray()
-                out.append(self.pieces[i])
+                out.append(self.surfaces[i])
             out.append(raw.decode(errors="replace"))
         text = "".join(out).replace(MARK, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
