@@ -263,3 +263,22 @@ def test_global_order_pinned_rows_and_samples(spark, days):
     kept = [tuple(r) for r in G.sample_nodes(series, 1).collect()]
     leaf = next(r for r in kept if r[2] is not None)
     assert sorted(kept, key=str) == sorted([leaf, (leaf[0], leaf[1], None), (leaf[0], None, None)], key=str)
+
+
+def test_parent_candidates_match_a_loop(leaves, nodes):
+    folds = L.parent_candidates(leaves, nodes).cache()
+    effect = {(r["store"], r["ds"]): r for r in nodes.where("cadence = 28").collect()}
+    want = {}
+    for r in leaves.where("rls_metric_eligible AND y > 0 AND sku = 'x'").collect():
+        for target, suffix, issued in (("y", "", r["yhat_raw"]), ("value", "_value", r["valuehat_raw"])):
+            for candidate, store in (("store", r["store"]), ("section", None)):
+                e = effect[store, r["ds"]][f"driver_effect{suffix}"]
+                hat = min(max(math.expm1(math.log1p(r[f"ses_level_{target}"]) + e), 0.0), r[f"leaf_forecast_cap_{target}"])
+                sums = want.setdefault((r["store"], target, candidate, r["period_type"], r["rls_block"]), [0.0, 0.0])
+                sums[0] += abs(hat - r[target])
+                sums[1] += abs(issued - r[target])
+    got = {(r["store"], r["target"], r["candidate"], r["period_type"], r["rls_block"]): (r["abs_error"], r["current_error"]) for r in folds.where("sku = 'x'").collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    summary = L.parent_summary(folds).collect()
+    assert {(r["target"], r["candidate"]) for r in summary} == {(t, c) for t in ("y", "value") for c in ("store", "section")}
+    assert {r["target"] for r in L.parent_switches(folds).collect()} == {"y", "value"}

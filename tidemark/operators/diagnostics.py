@@ -110,9 +110,11 @@ def calendar_recurrence(days: DataFrame, factor: float = 2.0, min_years: int = 2
 
 
 def zero_rates(panel: DataFrame) -> DataFrame:
-    """Share of dense store days without sales, in total, by weekday and by month, in one pass."""
-    rows = panel.withColumn("weekday", (F.weekday("ds") + 1).cast("long")).withColumn("month", F.month("ds").cast("long"))
-    out = rows.groupingSets([[F.col("section"), F.col("store")], [F.col("section"), F.col("store"), F.col("weekday")], [F.col("section"), F.col("store"), F.col("month")]], F.col("section"), F.col("store"), F.col("weekday"), F.col("month"))
+    """Share of dense store days without sales, in total, by weekday, by month and by 28-day block from the store's first day, in one pass."""
+    first = F.min("ds").over(Window.partitionBy("section", "store"))
+    rows = panel.withColumn("weekday", (F.weekday("ds") + 1).cast("long")).withColumn("month", F.month("ds").cast("long")).withColumn("block", F.floor(F.date_diff("ds", first) / 28))
+    by = [F.col("section"), F.col("store")]
+    out = rows.groupingSets([by, *([*by, F.col(c)] for c in ("weekday", "month", "block"))], *by, F.col("weekday"), F.col("month"), F.col("block"))
     return out.agg(F.count(F.lit(1)).alias("n_days"), count_if(F.col("y") == 0).alias("n_zero")).withColumn("zero_rate", ratio(F.col("n_zero").cast("double"), F.col("n_days").cast("double")))
 
 

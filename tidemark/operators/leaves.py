@@ -127,21 +127,33 @@ def leaf_candidates(days: DataFrame, nodes: DataFrame, cadence: int = 28, alphas
 
 
 def parent_candidates(forecast: DataFrame, nodes: DataFrame, cadence: int = 28) -> DataFrame:
-    """Error of each leaf and block if its level moved with the store's or with the section's effect, next to the policy's own."""
+    """Error of each leaf, target and block if its level moved with the store's or with the section's effect, next to the policy's own."""
     rows = nodes.where(F.col("cadence") == cadence)
-    stores = rows.where("store IS NOT NULL").select("section", "store", "ds", F.col("driver_effect").alias("store_effect"))
-    sections = rows.where("store IS NULL").select("section", "ds", F.col("driver_effect").alias("section_effect"))
-    scored = forecast.where(F.col("rls_metric_eligible") & (F.col("y") > 0)).join(stores, ["section", "store", "ds"], "left").join(sections, ["section", "ds"], "left")
-    long = scored.select("*", F.expr("stack(2, 'store', coalesce(store_effect, 0D), 'section', coalesce(section_effect, 0D)) AS (candidate, effect)"))
-    hat = F.least(F.greatest(F.expm1(F.log1p("ses_level_y") + F.col("effect")), F.lit(0.0)), F.col("leaf_forecast_cap_y"))
-    return long.groupBy(*LEAF, "candidate", "period_type", "rls_block").agg(
-        F.sum(F.abs(hat - F.col("y"))).alias("abs_error"), F.sum(F.abs(F.col("yhat_raw") - F.col("y"))).alias("current_error"), F.sum("y").alias("abs_y")
+
+    def effects(at, name):
+        return rows.where(at).select("section", *(["store"] if name == "store" else []), "ds", *(F.col(f"driver_effect{suffix}").alias(f"{name}_effect_{t}") for t, (_, suffix) in TARGETS.items()))
+
+    scored = forecast.where(F.col("rls_metric_eligible") & (F.col("y") > 0)).join(effects("store IS NOT NULL", "store"), ["section", "store", "ds"], "left").join(effects("store IS NULL", "section"), ["section", "ds"], "left")
+    sides = ", ".join(f"'{t}', '{c}', {t}, {hat}_raw, ses_level_{t}, leaf_forecast_cap_{t}, coalesce({c}_effect_{t}, 0D)" for t, (hat, _) in TARGETS.items() for c in ("store", "section"))
+    long = scored.select(*LEAF, "period_type", "rls_block", F.expr(f"stack(4, {sides}) AS (target, candidate, actual, issued, level, cap, effect)"))
+    hat = F.least(F.greatest(F.expm1(F.log1p("level") + F.col("effect")), F.lit(0.0)), F.col("cap"))
+    return long.groupBy(*LEAF, "target", "candidate", "period_type", "rls_block").agg(
+        F.sum(F.abs(hat - F.col("actual"))).alias("abs_error"), F.sum(F.abs(F.col("issued") - F.col("actual"))).alias("current_error"), F.sum("actual").alias("abs_y")
+    )
+
+
+def parent_summary(folds: DataFrame) -> DataFrame:
+    """Per section, target, parent and period: errors of the candidate and of the policy, and the blocks in which it is better."""
+    blocks = folds.groupBy("section", "target", "candidate", "period_type", "rls_block").agg(F.sum("abs_error").alias("abs_error"), F.sum("current_error").alias("current_error"), F.sum("abs_y").alias("abs_y"))
+    out = blocks.groupBy("section", "target", "candidate", "period_type").agg(
+        F.sum("abs_error").alias("abs_error"), F.sum("current_error").alias("current_error"), F.sum("abs_y").alias("abs_y"), F.count(F.lit(1)).alias("n_blocks"), F.count(F.when(F.col("abs_error") < F.col("current_error"), 1)).alias("blocks_better")
     )
+    return out.withColumn("wmape", ratio(F.col("abs_error"), F.col("abs_y"))).withColumn("current_wmape", ratio(F.col("current_error"), F.col("abs_y")))
 
 
 def parent_switches(folds: DataFrame, margin: float = 0.005, most: float = 0.6) -> DataFrame:
-    """Per section and parent: whether history speaks for a switch to it, and whether the holdout bears it out (it can't create one)."""
-    keys = ["section", "candidate"]
+    """Per section (and target) and parent: whether history speaks for a switch to it, and whether the holdout bears it out (it can't create one)."""
+    keys = [c for c in ("section", "target", "candidate") if c in folds.columns]
     better = (F.col("abs_error") < F.col("current_error")).cast("double")
     sums = folds.groupBy(*keys, "period_type").agg(F.sum(F.col("current_error") - F.col("abs_error")).alias("gain"), F.sum("abs_y").alias("weight"), F.avg(better).alias("share_better"), F.count(F.lit(1)).alias("folds"))
     sums = sums.withColumn("delta", ratio(F.col("gain"), F.col("weight")))

@@ -425,6 +425,13 @@ def skus_of_stores(spark, sf):
     return pairs.select("section", "store", "skus", F.size("skus").cast("long").alias("n_skus"))
 
 
+@query(with_(S.DAYS + """, st AS (SELECT section, sku, list_sort(list(DISTINCT store)) AS stores FROM days GROUP BY ALL)""", "SELECT section, sku, stores, len(stores) AS n_stores FROM st"))
+def stores_of_skus(spark, sf):
+    days = T.leaf_days(spark, sf)
+    pairs = W.index(days, P.horizons(days)).select("section", F.explode("stores_of_sku").alias("sku", "stores"))
+    return pairs.select("section", "sku", "stores", F.size("stores").cast("long").alias("n_stores"))
+
+
 @query(with_(S.FC, f"""SELECT {S.UID} AS unique_id, level, period_type, ds, y, yhat FROM (SELECT section, store, sku, ds, min(period_type) AS period_type, {S.LEVEL}, sum(y) AS y, sum(yhat) AS yhat FROM fc GROUP BY GROUPING SETS ((section, ds), (section, store, ds), (section, sku, ds), (section, store, sku, ds)))"""))
 def node_series(spark, sf):
     return W.node_series(T.forecast(spark, sf)).select("unique_id", "level", "period_type", "ds", "y", "yhat")
@@ -527,7 +534,7 @@ def calendar_recurrence(spark, sf):
     return D.calendar_recurrence(T.leaf_days(spark, sf))
 
 
-@query(with_(DENSE, "SELECT section, store, weekday, month, count(*) AS n_days, count(*) FILTER (y = 0) AS n_zero, CAST(count(*) FILTER (y = 0) AS DOUBLE) / count(*) AS zero_rate FROM (SELECT *, CAST(isodow(ds) AS BIGINT) AS weekday, CAST(month(ds) AS BIGINT) AS month FROM dense) GROUP BY GROUPING SETS ((section, store), (section, store, weekday), (section, store, month))"))
+@query(with_(DENSE, "SELECT section, store, weekday, month, block, count(*) AS n_days, count(*) FILTER (y = 0) AS n_zero, CAST(count(*) FILTER (y = 0) AS DOUBLE) / count(*) AS zero_rate FROM (SELECT *, CAST(isodow(ds) AS BIGINT) AS weekday, CAST(month(ds) AS BIGINT) AS month, CAST(floor(date_diff('day', min(ds) OVER (PARTITION BY section, store), ds) / 28.0) AS BIGINT) AS block FROM dense) GROUP BY GROUPING SETS ((section, store), (section, store, weekday), (section, store, month), (section, store, block))"))
 def zero_rate_patterns(spark, sf):
     return D.zero_rates(dense_stores(spark, sf))
 
@@ -661,6 +668,13 @@ def leaf_ses_forecast(spark, sf):
     return L.leaf_forecasts(days, nodes_of(spark, days))
 
 
+@query()
+def leaf_parent_summary(spark, sf):
+    days = T.leaf_days(spark, sf)
+    nodes = nodes_of(spark, days)
+    return L.parent_summary(L.parent_candidates(L.leaf_forecasts(days, nodes), nodes))
+
+
 @query()
 def leaf_parent_switches(spark, sf):
     days = T.leaf_days(spark, sf)
