@@ -51,7 +51,7 @@ FREQUENT = 1 << 18
 LOCAL_REPEATS = 8
 SMALL = 16
 HOT = 50_000
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 500_000
 FLUSH_ENTRIES = 1_000_000
 GROUP_GRAMS = 4_000_000
 

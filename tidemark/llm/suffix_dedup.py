@@ -39,15 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import drop, store
-from .textkit import _INVERSE, buffers, chunks, documents, mix, narrow, powers, prefix_hash, span_hash
+from .textkit import _INVERSE, bounded_batches, buffers, chunks, documents, mix, narrow, powers, prefix_hash, span_hash
 
 WINDOW = 200
 GRAM = 64
-BUCKET_ENTRIES = 1_000_000
-BUCKET_RUNS = 30_000
+BUCKET_ENTRIES = 400_000
+BUCKET_RUNS = 8_000
 FLUSH_ENTRIES = 600_000
 HOT_ENTRIES = 20_000
-FLUSH_WINDOWS = 1_000_000
+FLUSH_WINDOWS = 400_000
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -439,6 +439,7 @@ def removal_table(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_co
     if not gram <= window <= gram + 255:
         raise ValueError("a window is at most 255 bytes longer than a gram")  # distances to an anchor are kept in a byte
     spark = docs.sparkSession
+    bounded_batches(spark)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     h1, h2 = F.xxhash64(text), F.xxhash64(F.lit(17), text)
     key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))

@@ -14,7 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+BATCH_ROWS = "2000"
+DEFAULT_BATCH_ROWS = "10000"
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
@@ -134,8 +136,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows of whole texts go to Python in batches of BATCH_ROWS, not of Spark's default number, so that memory on both sides follows fewer texts; a session's own setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == DEFAULT_BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def narrow(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, by exact name, so that extra columns of any name do no harm."""
+    """Only the named columns, by exact name, so that extra columns of any name do no harm; their rows go to Python in bounded batches."""
+    bounded_batches(df.sparkSession)
     return df.select(*(F.col(f"`{n}`") for n in names))
 
 
