@@ -87,3 +87,13 @@ def test_query_digests(spark, tmp_path):
     assert len(many) == len(rows)
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "e" / "documents.parquet"))
     assert M.op10_media_columns(spark, str(tmp_path / "e")).count() == 0
+
+
+@pytest.mark.parametrize("per_folder,hot", [(3, 10_000), (1, 4)])
+def test_many_folders_and_hot_digests_give_the_same_rows(spark, tmp_path, monkeypatch, per_folder, hot):
+    rows = [(i, f"text {i % 7}" if i % 3 else "the same") for i in range(60)] + [(60, None), (61, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted(map(str, M.op10_media_columns(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(M, "PER_FOLDER", per_folder)
+    monkeypatch.setattr(M, "HOT_SHARE", hot)
+    assert sorted(map(str, M.op10_media_columns(spark, str(tmp_path)).collect())) == want and len(want) == len(rows)

@@ -12,9 +12,12 @@ of the payload before padding. A task writes each digest once.
 
 The query makes a page of every text, writes its image to the media table, parses the pages, joins
 the digests that they name with the media table, reads the stored bytes back and measures them
-there, once a digest, and joins the measures to the elements. Payloads move in the first join
-alone, whose digests are distinct; digests named by more than one in HOT_SHARE elements (no more
-than HOT_SHARE of them can be) meet their elements by a broadcast in the second.
+there, once a digest, and joins the measures to the elements. The media table is dealt into folders
+by digest, one for PER_FOLDER rows of the corpus, so that the distinct digests named of one folder
+are that many at most (but for chance) and go to its stored bytes by a broadcast: payloads never
+move, at any size. A folder with more than twice as many is joined by a shuffle. Digests named by
+more than one in HOT_SHARE elements (no more than HOT_SHARE of them can be) meet their elements by a
+broadcast in the second join, all others by a shuffle.
 
 Null HTML or text: empty, which gives an empty sequence and a payload of one padded unit. A
 reference that the media table lacks keeps its element with null media. Repeated rows come back as
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 import zlib
 from html.parser import HTMLParser
 
@@ -34,11 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import drop, store
-from .textkit import cut, documents, narrow
+from .textkit import cut, documents, narrow, shared_dir
 
 UNIT = 192
 PIXELS = 192
 HOT_SHARE = 10_000
+PER_FOLDER = 250_000
 _PNG = b"\x89PNG\r\n\x1a\n"
 
 # Elements whose text is not shown, elements that end a run of text, elements of a head, media.
@@ -243,8 +248,13 @@ def sample_features(samples: bytes) -> str:
 MEASURES = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def text_pages(docs: DataFrame) -> DataFrame:
-    """doc_id and an HTML page that refers to the text's stored form by digest; digest and media: that form, once a task."""
+def folder_of(digest, folders: int):
+    """A digest's folder of the media table, from its first four bytes."""
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % folders).cast("int")
+
+
+def text_pages(docs: DataFrame, folders: int = 1) -> DataFrame:
+    """doc_id and an HTML page that refers to the text's stored form by digest; digest, folder and media: that form, once a task."""
     rows = narrow(docs, "doc_id", "text")
 
     def run(batches):
@@ -252,18 +262,19 @@ def text_pages(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                pages, digests, media = [], [], []
+                pages, digests, places, media = [], [], [], []
                 for text in part.column(1).to_pylist():
                     raw = (text or "").encode()
                     stored = store_png(padded(raw), length=len(raw))
                     name = hashlib.sha256(stored).digest()
                     digests.append(name.hex())
+                    places.append(int.from_bytes(name[:4], "big") % folders)
                     pages.append(f'<article><h1>Text</h1><figure><img src="sha256:{name.hex()}"><figcaption>{len(raw)} bytes</figcaption></figure></article>')
                     media.append(None if name in seen else stored)
                     seen.add(name)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pages, pa.string()), pa.array(digests, pa.string()), pa.array(media, pa.binary())], names=["doc_id", "html", "digest", "media"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pages, pa.string()), pa.array(digests, pa.string()), pa.array(media, pa.binary()), pa.array(places, pa.int32())], names=["doc_id", "html", "digest", "media", "folder"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, html string, digest string, media binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, html string, digest string, media binary, folder int")
 
 
 def measured(media: DataFrame) -> DataFrame:
@@ -283,13 +294,30 @@ def measured(media: DataFrame) -> DataFrame:
     return media.select("digest", "media").mapInArrow(run, f"digest string, {MEASURES}")
 
 
+def stored_media(spark, path: str, folders: int, named: DataFrame) -> DataFrame:
+    """digest and stored bytes of the named digests (distinct): folder by folder, the digests go to the bytes."""
+    out = None
+    counts = {r["folder"]: r["count"] for r in named.groupBy("folder").count().collect()}  # a row a folder
+    for folder in sorted(counts):
+        media = spark.read.parquet(f"{path}/folder={folder}").where("media IS NOT NULL").select("digest", "media")
+        wanted = named.where(F.col("folder") == folder).select("digest")
+        found = media.join(F.broadcast(wanted) if counts[folder] <= 2 * PER_FOLDER else wanted, "digest", "left_semi")
+        out = found if out is None else out.union(found)
+    return out if out is not None else spark.createDataFrame([], "digest string, media binary")
+
+
 def op10_media_columns(spark, sf_dir):
-    made, made_path = store(text_pages(documents(spark, sf_dir)))
-    elements, elements_path = store(flat_elements(sequences(made, "doc_id"), "doc_id"))
-    stored = made.where("media IS NOT NULL").select("digest", "media")
-    found = elements.where("digest IS NOT NULL").select("digest").distinct().join(stored, "digest")
-    measures, measures_path = store(measured(found).dropDuplicates(["digest"]))  # a digest that several tasks stored
-    out = cut(with_media(elements.where("kind = 'image'"), measures).select("doc_id", *(m.split()[0] for m in MEASURES.split(", "))))
+    docs = documents(spark, sf_dir)
+    folders = max(1, -(-docs.count() // PER_FOLDER))
+    made_path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+    pages = text_pages(docs, folders)
+    pages.write.partitionBy("folder").parquet(made_path)
+    made = spark.read.schema(pages.schema).parquet(made_path)
+    elements, elements_path = store(flat_elements(sequences(made, "doc_id"), "doc_id").where("kind = 'image'").select("doc_id", "digest"))
+    named = cut(elements.where("digest IS NOT NULL").select("digest").distinct().withColumn("folder", folder_of("digest", folders)))
+    # A digest that several tasks stored is measured as often; one row stays.
+    measures, measures_path = store(measured(stored_media(spark, made_path, folders, named)).dropDuplicates(["digest"]))
+    out = cut(with_media(elements, measures).select("doc_id", *(m.split()[0] for m in MEASURES.split(", "))))
     for path in (made_path, elements_path, measures_path):
         drop(spark, path)
     return out
