@@ -15,7 +15,8 @@ the digests that they name with the media table, reads the stored bytes back and
 there, once a digest, and joins the measures to the elements. The media table is dealt into folders
 by digest, one for PER_FOLDER rows of the corpus, so that the distinct digests named of one folder
 are that many at most (but for chance) and go to its stored bytes by a broadcast: payloads never
-move, at any size. A folder with more than twice as many is joined by a shuffle. Digests named by
+move, at any size. A folder with more than twice as many is joined by a shuffle. FOLDERS_AT_ONCE
+folders are one job, so what is broadcast at once doesn't grow with the corpus. Digests named by
 more than one in HOT_SHARE elements (no more than HOT_SHARE of them can be) meet their elements by a
 broadcast in the second join, all others by a shuffle.
 
@@ -44,6 +45,7 @@ UNIT = 192
 PIXELS = 192
 HOT_SHARE = 10_000
 PER_FOLDER = 250_000
+FOLDERS_AT_ONCE = 4
 _PNG = b"\x89PNG\r\n\x1a\n"
 
 # Elements whose text is not shown, elements that end a run of text, elements of a head, media.
@@ -294,16 +296,18 @@ def measured(media: DataFrame) -> DataFrame:
     return media.select("digest", "media").mapInArrow(run, f"digest string, {MEASURES}")
 
 
-def stored_media(spark, path: str, folders: int, named: DataFrame) -> DataFrame:
-    """digest and stored bytes of the named digests (distinct): folder by folder, the digests go to the bytes."""
-    out = None
+def stored_media(spark, path: str, named: DataFrame):
+    """Tables of digest and stored bytes of the named digests (distinct), FOLDERS_AT_ONCE folders each: the digests go to the bytes."""
     counts = {r["folder"]: r["count"] for r in named.groupBy("folder").count().collect()}  # a row a folder
-    for folder in sorted(counts):
-        media = spark.read.parquet(f"{path}/folder={folder}").where("media IS NOT NULL").select("digest", "media")
-        wanted = named.where(F.col("folder") == folder).select("digest")
-        found = media.join(F.broadcast(wanted) if counts[folder] <= 2 * PER_FOLDER else wanted, "digest", "left_semi")
-        out = found if out is None else out.union(found)
-    return out if out is not None else spark.createDataFrame([], "digest string, media binary")
+    folders = sorted(counts)
+    for first in range(0, len(folders), FOLDERS_AT_ONCE):
+        out = None
+        for folder in folders[first : first + FOLDERS_AT_ONCE]:
+            media = spark.read.parquet(f"{path}/folder={folder}").where("media IS NOT NULL").select("digest", "media")
+            wanted = named.where(F.col("folder") == folder).select("digest")
+            found = media.join(F.broadcast(wanted) if counts[folder] <= 2 * PER_FOLDER else wanted, "digest", "left_semi")
+            out = found if out is None else out.union(found)
+        yield out
 
 
 def op10_media_columns(spark, sf_dir):
@@ -315,8 +319,13 @@ def op10_media_columns(spark, sf_dir):
     made = spark.read.schema(pages.schema).parquet(made_path)
     elements, elements_path = store(flat_elements(sequences(made, "doc_id"), "doc_id").where("kind = 'image'").select("doc_id", "digest"))
     named = cut(elements.where("digest IS NOT NULL").select("digest").distinct().withColumn("folder", folder_of("digest", folders)))
-    # A digest that several tasks stored is measured as often; one row stays.
-    measures, measures_path = store(measured(stored_media(spark, made_path, folders, named)).dropDuplicates(["digest"]))
+    measures_path = f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+    measures = measured(spark.createDataFrame([], "digest string, media binary"))
+    measures.write.parquet(measures_path)
+    for media in stored_media(spark, made_path, named):
+        # A digest that several tasks stored is measured as often; one row stays.
+        measured(media).dropDuplicates(["digest"]).write.mode("append").parquet(measures_path)
+    measures = spark.read.schema(measures.schema).parquet(measures_path)
     out = cut(with_media(elements, measures).select("doc_id", *(m.split()[0] for m in MEASURES.split(", "))))
     for path in (made_path, elements_path, measures_path):
         drop(spark, path)
