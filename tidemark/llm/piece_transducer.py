@@ -118,8 +118,9 @@ class PieceTransducer:
     def solve(self, part: str) -> tuple[int, ...]:
         """Ids on the shortest path over a normalised part."""
         path = self.zero_path(part) if self.merging else self.lightest_path(part)
-        if all(k >= 0 for k, _ in path):
-            return tuple(k for k, _ in path)
+        ids = [k for k, _ in path]
+        if min(ids, default=0) >= 0:
+            return tuple(ids)
         out, at = [], 0
         for k, end in path:
             if k >= 0:
@@ -146,31 +147,33 @@ class PieceTransducer:
         """Shortest path where arcs weigh 0 or infinity: depth first, longest piece first.
 
         A place is reached by one path at most (that of its prefix), so one that fails once is dead."""
-        n, arcs, path = len(part), self.arcs, []
-        levels, dead = [(0, -1, self.arcs_from(part, 0))], set()
-        while path is not None and (not path or path[-1][1] < n):
-            begin, before, choices = levels[-1]
-            base, step = before * ARC_STRIDE, None
+        n, known_arc, leaving = len(part), self.arcs.get, self.arcs_from
+        pieces, ends, dead = [], [], set()
+        at, before, levels = 0, -1, [leaving(part, 0)]
+        while at < n:
+            choices, base = levels[-1], before * ARC_STRIDE
             while choices:
                 k, end = choices.pop()
                 if end in dead:
                     continue
                 if k < 0:  # no merge reaches over a character in bytes
-                    step = (k, end)
                     break
-                known = arcs.get(base + k)
+                known = known_arc(base + k)
                 if self.passes(before, k) if known is None else known:
-                    step = (k, end)
                     break
-            if step is None:
-                dead.add(begin)
-                levels.pop()
-                path.pop()
             else:
-                path.append(step)
-                if step[1] < n:
-                    levels.append((step[1], step[0], self.arcs_from(part, step[1])))
-        return path
+                dead.add(at)
+                levels.pop()
+                pieces.pop()
+                ends.pop()
+                at, before = (ends[-1], pieces[-1]) if ends else (0, -1)
+                continue
+            pieces.append(k)
+            ends.append(end)
+            at, before = end, k
+            if end < n:
+                levels.append(leaving(part, end))
+        return list(zip(pieces, ends))
 
     def weight(self, left: int, right: int) -> float:
         """Weight of the arc that reads piece right (-1: a character without a piece) behind piece left (-1: none)."""
@@ -217,9 +220,9 @@ class PieceTransducer:
                         self.older, self.parts = table, {}
                         table = self.parts
                     table[part] = ids
-            if not self.bytes and out[-1:] == [self.unknown] and ids[:1] == (self.unknown,):
-                ids = ids[1:]
-            out.extend(ids)
+            out += ids
+        if not self.bytes:  # unknown characters on both sides of a part's end are one piece
+            out = [k for i, k in enumerate(out) if k != self.unknown or not i or out[i - 1] != k]
         return out
 
     def decode(self, ids: list[int]) -> str:
